@@ -6,7 +6,6 @@ import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -38,6 +37,7 @@ class Contract:
     references: tuple[tuple[str, str], ...] = ()
 
     def schema(self) -> T.StructType:
+        """Column types and nullability; needs a running session to parse them."""
         return T.StructType.fromDDL(
             ", ".join(
                 f"`{f.name}` {f.spark_type}{'' if f.nullable else ' NOT NULL'}" for f in self.fields
@@ -187,7 +187,9 @@ CONTRACTS: dict[str, Contract] = {
 
 def conform(df: DataFrame, contract: Contract) -> DataFrame:
     """Select, cast and order the columns as declared; a value that does not fit raises."""
-    return df.select(*[F.col(f.name).cast(f.spark_type).alias(f.name) for f in contract.fields])
+    return df.selectExpr(
+        *[f"CAST(`{f.name}` AS {f.spark_type}) AS `{f.name}`" for f in contract.fields]
+    )
 
 
 def create_if_absent(

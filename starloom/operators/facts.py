@@ -36,7 +36,13 @@ def fact_sales(
         date_key(F.col("rental_date"), pattern).alias("rental_date_key"),
         return_key.alias("return_date_key"),
     )
-    items = join(rentals, inventory.select("inventory_id", "store_id", "film_id"), "inventory_id")
+    items = join(
+        rentals,
+        inventory.select("inventory_id", "store_id", "film_id"),
+        "inventory_id",
+        "rental",
+        "inventory",
+    )
     payments = payment.select(
         "rental_id",
         "payment_id",
@@ -45,7 +51,9 @@ def fact_sales(
         "staff_id",
         "amount",
     )
-    return join(payments, items.drop("inventory_id"), "rental_id", measurable=False).select(
+    return join(
+        payments, items.drop("inventory_id"), "rental_id", "payment", "rental"
+    ).select(
         F.col("payment_id").alias("sales_key"),
         "payment_date_key",
         "rental_date_key",

@@ -1,86 +1,88 @@
 """Inner lookup joins, declared or probed.
 
-Builders take the join as an argument. ``declared_join`` leaves everything to
-Catalyst and AQE. ``probed_join`` looks at the data first: it broadcasts a lookup
-only after measuring it, and spreads keys that would fill a reducer on their own.
-Both return the same rows.
+Builders take the join as an argument and name the source table behind each side.
+``declared_join`` leaves everything to Catalyst and AQE. ``ProbedJoin`` looks at
+those tables first: it broadcasts a lookup only after measuring it, and spreads keys
+that would fill a reducer on their own. Both return the same rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-Join = Callable[..., DataFrame]
+from starloom.operators.quality import row_counts
 
+# (left, right, key, source table behind left, source table behind right) -> joined
+Join = Callable[[DataFrame, DataFrame, str, str, str], DataFrame]
+
+LARGE_ROWS = 1_000_000
 BROADCAST_MAX_ROWS = 500_000
 BROADCAST_MAX_BYTES = 32 * 1024 * 1024
-HOT_MIN_ROWS = 1_000_000
 HOT_MAX_KEYS = 1_024
 HOT_TRACKED = 8_192
 SKETCH_GROUPS = 512
 
 
 def declared_join(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    measurable: bool = True,
-    probe: DataFrame | None = None,
+    left: DataFrame, right: DataFrame, key: str, left_table: str, right_table: str
 ) -> DataFrame:
     """Plain inner equi-join on a column of the same name in both frames."""
     return left.join(right, key, "inner")
 
 
-def probed_join(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    measurable: bool = True,
-    probe: DataFrame | None = None,
-) -> DataFrame:
-    """Inner equi-join planned from measurements of both sides.
+class ProbedJoin:
+    """Inner equi-join planned from measurements of the source tables.
 
-    ``measurable=False`` says that ``right`` is itself a join, too dear to count;
-    the size decision then stays with Catalyst and AQE. ``probe`` names the base
-    frame ``left`` was joined from, so that its key column is read and not the join.
+    The tables named in ``counted`` are counted together in one action, others when a
+    join first asks. A left table of few rows is then left to Catalyst. Beyond that a
+    measured-small ``right`` is broadcast, so ``left`` is not shuffled at all;
+    otherwise the hot keys of the left table are spread.
     """
-    if measurable and is_small(right):
-        return left.join(F.broadcast(right), key, "inner")
-    hot = hot_keys(left if probe is None else probe, key)
-    return salted_join(left, right, key, hot) if hot.keys else left.join(right, key, "inner")
+
+    def __init__(self, sources: Mapping[str, DataFrame], counted: Iterable[str] = ()) -> None:
+        self._sources = sources
+        self._rows: dict[str, int] = {}
+        self._count(counted)
+
+    def _count(self, tables: Iterable[str]) -> None:
+        frames = {t: self._sources[t] for t in tables}
+        if frames:
+            self._rows.update((r["table"], r["n"]) for r in row_counts(frames).collect())
+
+    def _rows_of(self, table: str) -> int:
+        if table not in self._rows:
+            self._count([table])
+        return self._rows[table]
+
+    def __call__(
+        self, left: DataFrame, right: DataFrame, key: str, left_table: str, right_table: str
+    ) -> DataFrame:
+        rows = self._rows_of(left_table)
+        if rows < LARGE_ROWS:
+            return left.join(right, key, "inner")
+        # the count of the source table rules a large side out before its text is measured
+        if self._rows_of(right_table) <= BROADCAST_MAX_ROWS and is_small(right):
+            return left.join(F.broadcast(right), key, "inner")
+        hot = hot_keys(self._sources[left_table], key, rows, LARGE_ROWS)
+        if hot.keys:
+            return salted_join(left, right, key, hot)
+        return left.join(right, key, "inner")
 
 
 def is_small(
     df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES
 ) -> bool:
-    """True if the whole frame was counted and measured to fit a broadcast.
-
-    The count comes first: it needs no column data, so a large frame is ruled out
-    before any text is read.
-    """
-    rows = df.count()
-    if rows > max_rows:
-        return False
-    fixed = sum(_fixed_width(f.dataType) for f in df.schema)
-    variable = [f.name for f in df.schema if _fixed_width(f.dataType) == 0]
-    if not variable or rows == 0:
-        return rows * fixed <= max_bytes
-    text = sum(
-        (F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)).cast("long") for c in variable),
-        F.lit(0).cast("long"),
-    )
-    measured = df.agg(F.sum(text).alias("n")).first()["n"] or 0
-    return rows * (fixed + 16 * len(variable)) + measured <= max_bytes
-
-
-def _fixed_width(data_type: T.DataType) -> int:
+    """True if the whole frame was counted and measured to fit a broadcast."""
     variable = (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType)
-    return 0 if isinstance(data_type, variable) else 16
+    text = [f.name for f in df.schema if isinstance(f.dataType, variable)]
+    lengths = " + ".join(f"coalesce(octet_length(CAST(`{c}` AS STRING)), 0L)" for c in text) or "0L"
+    rows, size = df.selectExpr("count(*)", f"coalesce(sum({lengths}), 0L)").first()
+    return rows <= max_rows and size + 16 * len(df.columns) * rows <= max_bytes
 
 
 @dataclass(frozen=True)
@@ -91,25 +93,24 @@ class HotKeys:
     top_share: float = 0.0
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_MIN_ROWS) -> HotKeys:
-    """Heavy hitters of one column, found in one pass over that column.
+def hot_keys(df: DataFrame, key: str, rows: int, min_rows: int) -> HotKeys:
+    """Heavy hitters of one column of a frame of ``rows`` rows, in one pass over it.
 
     A mergeable frequent-items sketch is built per task and combined in two steps,
     so neither a shuffle of the keys nor one crowded reducer is needed. The sketch
     only chooses which keys to spread; every choice gives the same join result.
     At most ``HOT_MAX_KEYS`` keys come back, whatever the data.
     """
-    keyed = df.select(F.col(key).alias("k")).where(F.col("k").isNotNull())
-    rows = keyed.count()
-    if rows < min_rows:
-        return HotKeys()
     estimate = (
-        keyed.groupBy((F.spark_partition_id() % SKETCH_GROUPS).alias("g"))
+        df.select(F.col(key).alias("k"))
+        .where(F.col("k").isNotNull())
+        .groupBy((F.spark_partition_id() % SKETCH_GROUPS).alias("g"))
         .agg(F.expr(f"approx_top_k_accumulate(k, {HOT_TRACKED})").alias("s"))
         .agg(F.expr("approx_top_k_combine(s)").alias("s"))
         .select(F.expr(f"approx_top_k_estimate(s, {HOT_MAX_KEYS})").alias("top"))
         .first()["top"]
     )
+    # a key below this fits beside others in an average reducer, or is too small to matter
     limit = max(min_rows, rows / _shuffle_partitions(df))
     hot = [(item["item"], item["count"]) for item in estimate or () if item["count"] >= limit]
     if not hot:

@@ -57,7 +57,7 @@ def check_not_null(
         frames,
         "not_null",
         {
-            name: [(f.name, F.col(f.name).isNull()) for f in contracts[name].fields if not f.nullable]
+            name: [(f.name, f"`{f.name}` IS NULL") for f in contracts[name].fields if not f.nullable]
             for name in frames
         },
     )
@@ -70,7 +70,7 @@ def check_length(frames: Mapping[str, DataFrame], contracts: Mapping[str, Contra
         "length",
         {
             name: [
-                (f.name, F.char_length(F.col(f.name)) > f.length)
+                (f.name, f"char_length(`{f.name}`) > {f.length}")
                 for f in contracts[name].fields
                 if f.length
             ]
@@ -157,12 +157,12 @@ def require_clean(report: DataFrame) -> None:
 def _row_checks(
     frames: Mapping[str, DataFrame],
     check: str,
-    failures: Mapping[str, list[tuple[str, Column]]],
+    failures: Mapping[str, list[tuple[str, str]]],
 ) -> DataFrame:
     return _union(
         [
             _as_rows(
-                df.agg(*[F.count_if(failed).alias(column) for column, failed in failures[name]]),
+                df.selectExpr(*[f"count_if({failed}) AS `{c}`" for c, failed in failures[name]]),
                 name,
                 check,
                 [column for column, _ in failures[name]],

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +18,7 @@ from starloom.operators.dimensions import (
     flatten_geography,
 )
 from starloom.operators.facts import fact_sales
-from starloom.operators.joins import dropped_rows, probed_join
+from starloom.operators.joins import Join, ProbedJoin, dropped_rows
 from starloom.operators.quality import (
     check_foreign_keys,
     check_length,
@@ -28,7 +28,7 @@ from starloom.operators.quality import (
     row_counts,
 )
 from starloom.plans.standins import given, source_tables
-from starloom.plans.star import build_star, load_star
+from starloom.plans.star import JOINING_TABLES, build_star, load_star
 from starloom.sinks.csv_extract import run_path, write_csv_extract
 from starloom.sinks.load import append_new_keys, write_both
 from starloom.sources.files import read_csv_extract
@@ -41,8 +41,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 WIDE = {name: contract.widened() for name, contract in CONTRACTS.items()}
 
 
-def _geography(s: dict[str, DataFrame]) -> DataFrame:
-    return flatten_geography(s["address"], s["city"], s["country"], probed_join)
+def _geography(s: Mapping[str, DataFrame], join: Join) -> DataFrame:
+    return flatten_geography(s["address"], s["city"], s["country"], join)
 
 
 def _run_folder(spark: SparkSession) -> str:
@@ -50,9 +50,8 @@ def _run_folder(spark: SparkSession) -> str:
 
 
 def _star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return build_star(
-        source_tables(spark, sf_dir), open_only=False, join=probed_join, contracts=WIDE
-    )
+    s = source_tables(spark, sf_dir)
+    return build_star(s, open_only=False, join=ProbedJoin(s, JOINING_TABLES), contracts=WIDE)
 
 
 def q_dim_payment_date(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,27 +76,32 @@ def q_dim_rental_date_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_dim_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = source_tables(spark, sf_dir)
-    return dim_customer(s["customer"], _geography(s), probed_join)
+    join = ProbedJoin(s, ["customer", "address", "city"])
+    return dim_customer(s["customer"], _geography(s, join), join)
 
 
 def q_dim_staff(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = source_tables(spark, sf_dir)
-    return dim_staff(s["staff"], _geography(s), probed_join)
+    join = ProbedJoin(s, ["staff", "address", "city"])
+    return dim_staff(s["staff"], _geography(s, join), join)
 
 
 def q_dim_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = source_tables(spark, sf_dir)
-    return dim_store(s["store"], s["staff"], _geography(s), probed_join)
+    join = ProbedJoin(s, ["store", "address", "city"])
+    return dim_store(s["store"], s["staff"], _geography(s, join), join)
 
 
 def q_dim_movie(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = source_tables(spark, sf_dir)
-    return dim_movie(s["film"], s["language"], s["film_category"], s["category"], probed_join)
+    join = ProbedJoin(s, ["film", "film_category"])
+    return dim_movie(s["film"], s["language"], s["film_category"], s["category"], join)
 
 
 def _fact(spark: SparkSession, sf_dir: str, open_only: bool) -> DataFrame:
     s = source_tables(spark, sf_dir)
-    return fact_sales(s["payment"], s["rental"], s["inventory"], open_only, probed_join)
+    join = ProbedJoin(s, ["payment", "rental"])
+    return fact_sales(s["payment"], s["rental"], s["inventory"], open_only, join)
 
 
 def q_fact_sales_open(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,105 +9,142 @@ films.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from collections.abc import Iterator, Mapping
+from functools import lru_cache
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
-def given(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
-
-
-def source_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    region, nation, customer, supplier, part, orders, lineitem = (
-        given(spark, sf_dir, t)
-        for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
-    )
-    c = F.col
-    return {
-        "payment": lineitem.select(
-            (c("l_orderkey") * 8 + c("l_linenumber")).alias("payment_id"),
-            c("l_partkey").alias("customer_id"),
-            c("l_suppkey").alias("staff_id"),
-            c("l_orderkey").alias("rental_id"),
-            c("l_extendedprice").cast("decimal(12,2)").alias("amount"),
-            c("l_shipdate").alias("payment_date"),
-        ),
-        "rental": orders.select(
-            c("o_orderkey").alias("rental_id"),
-            c("o_custkey").alias("inventory_id"),
-            c("o_orderdate").alias("rental_date"),
-            F.when(c("o_orderstatus") == "F", c("o_orderdate") + F.expr("INTERVAL 7 DAYS")).alias(
-                "return_date"
-            ),
-        ),
-        "inventory": customer.select(
-            c("c_custkey").alias("inventory_id"),
-            c("c_nationkey").alias("store_id"),
-            c("c_custkey").alias("film_id"),
+# source table -> (given table, column expressions)
+_STAND_INS: dict[str, tuple[str, tuple[str, ...]]] = {
+    "payment": (
+        "lineitem",
+        (
+            "l_orderkey * 8 + l_linenumber AS payment_id",
+            "l_partkey AS customer_id",
+            "l_suppkey AS staff_id",
+            "l_orderkey AS rental_id",
+            "CAST(l_extendedprice AS DECIMAL(12,2)) AS amount",
+            "l_shipdate AS payment_date",
         ),
-        "customer": customer.select(
-            c("c_custkey").alias("customer_id"),
-            c("c_custkey").alias("address_id"),
-            c("c_name").alias("first_name"),
-            c("c_mktsegment").alias("last_name"),
-            F.concat(F.lower("c_name"), F.lit("@"), F.lower("c_mktsegment")).alias("email"),
-            F.when(c("c_mktsegment") == "BUILDING", 1)
-            .when(c("c_mktsegment") != "MACHINERY", 0)
-            .alias("active"),
-            (
-                F.lit("1995-01-01").cast("timestamp_ntz")
-                + F.make_dt_interval(c("c_nationkey"), c("c_nationkey"))
-            ).alias("create_date"),
+    ),
+    "rental": (
+        "orders",
+        (
+            "o_orderkey AS rental_id",
+            "o_custkey AS inventory_id",
+            "o_orderdate AS rental_date",
+            "CASE WHEN o_orderstatus = 'F' THEN o_orderdate + INTERVAL 7 DAYS END AS return_date",
         ),
-        "staff": supplier.select(
-            c("s_suppkey").alias("staff_id"),
-            c("s_suppkey").alias("address_id"),
-            c("s_name").alias("first_name"),
-            F.concat(F.lit("Nation "), c("s_nationkey").cast("string")).alias("last_name"),
-            F.lower("s_name").alias("email"),
-            (c("s_acctbal") >= 5000).alias("active"),
+    ),
+    "inventory": (
+        "customer",
+        ("c_custkey AS inventory_id", "c_nationkey AS store_id", "c_custkey AS film_id"),
+    ),
+    "customer": (
+        "customer",
+        (
+            "c_custkey AS customer_id",
+            "c_custkey AS address_id",
+            "c_name AS first_name",
+            "c_mktsegment AS last_name",
+            "lower(c_name) || '@' || lower(c_mktsegment) AS email",
+            "CASE WHEN c_mktsegment = 'BUILDING' THEN 1 "
+            "WHEN c_mktsegment <> 'MACHINERY' THEN 0 END AS active",
+            "TIMESTAMP_NTZ '1995-01-01' + make_dt_interval(c_nationkey, c_nationkey) "
+            "AS create_date",
         ),
-        "store": supplier.select(
-            c("s_suppkey").alias("store_id"),
-            c("s_nationkey").cast("bigint").alias("manager_staff_id"),
-            c("s_suppkey").alias("address_id"),
+    ),
+    "staff": (
+        "supplier",
+        (
+            "s_suppkey AS staff_id",
+            "s_suppkey AS address_id",
+            "s_name AS first_name",
+            "'Nation ' || s_nationkey AS last_name",
+            "lower(s_name) AS email",
+            "s_acctbal >= 5000 AS active",
         ),
-        "address": customer.select(
-            c("c_custkey").alias("address_id"),
-            c("c_nationkey").alias("city_id"),
-            c("c_name").alias("address"),
-            F.when(c("c_acctbal") >= 5000, c("c_mktsegment")).alias("address2"),
-            F.nullif(c("c_mktsegment"), F.lit("FURNITURE")).alias("district"),
-            c("c_nationkey").cast("string").alias("postal_code"),
-            c("c_custkey").cast("string").alias("phone"),
+    ),
+    "store": (
+        "supplier",
+        (
+            "s_suppkey AS store_id",
+            "CAST(s_nationkey AS BIGINT) AS manager_staff_id",
+            "s_suppkey AS address_id",
         ),
-        "city": nation.select(
-            c("n_nationkey").alias("city_id"),
-            c("n_regionkey").alias("country_id"),
-            c("n_name").alias("city"),
+    ),
+    "address": (
+        "customer",
+        (
+            "c_custkey AS address_id",
+            "c_nationkey AS city_id",
+            "c_name AS address",
+            "CASE WHEN c_acctbal >= 5000 THEN c_mktsegment END AS address2",
+            "nullif(c_mktsegment, 'FURNITURE') AS district",
+            "CAST(c_nationkey AS STRING) AS postal_code",
+            "CAST(c_custkey AS STRING) AS phone",
         ),
-        "country": region.select(
-            c("r_regionkey").alias("country_id"), c("r_name").alias("country")
+    ),
+    "city": (
+        "nation",
+        ("n_nationkey AS city_id", "n_regionkey AS country_id", "n_name AS city"),
+    ),
+    "country": ("region", ("r_regionkey AS country_id", "r_name AS country")),
+    "film": (
+        "part",
+        (
+            "p_partkey AS film_id",
+            "p_brand AS language_id",
+            "p_name AS title",
+            "p_type AS description",
+            "p_size + 1970 AS release_year",
+            "p_size AS rental_duration",
+            "CAST(p_size AS DECIMAL(4,2)) AS rental_rate",
+            "p_size * 3 AS length",
+            "replace(p_brand, 'Brand', '') AS rating",
+            "split(p_name, ' ') AS special_features",
         ),
-        "film": part.select(
-            c("p_partkey").alias("film_id"),
-            c("p_brand").alias("language_id"),
-            c("p_name").alias("title"),
-            c("p_type").alias("description"),
-            (c("p_size") + 1970).alias("release_year"),
-            c("p_size").alias("rental_duration"),
-            c("p_size").cast("decimal(4,2)").alias("rental_rate"),
-            (c("p_size") * 3).alias("length"),
-            F.regexp_replace("p_brand", "Brand", "").alias("rating"),
-            F.split("p_name", " ").alias("special_features"),
-        ),
-        "language": part.select(
-            c("p_brand").alias("language_id"), c("p_brand").alias("name")
-        ).distinct(),
-        "film_category": lineitem.select(
-            c("l_partkey").alias("film_id"), c("l_suppkey").alias("category_id")
-        ).distinct(),
-        "category": supplier.select(
-            c("s_suppkey").alias("category_id"), c("s_name").alias("name")
-        ),
-    }
+    ),
+    "language": ("part", ("p_brand AS language_id", "p_brand AS name")),
+    "film_category": ("lineitem", ("l_partkey AS film_id", "l_suppkey AS category_id")),
+    "category": ("supplier", ("s_suppkey AS category_id", "s_name AS name")),
+}
+# Stand-ins whose given table repeats the pairs they need.
+_DISTINCT = {"language", "film_category"}
+
+
+@lru_cache(maxsize=None)
+def _schema(spark: SparkSession, path: str) -> T.StructType:
+    return spark.read.parquet(path).schema
+
+
+def given(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A given table; its schema is looked up in the files once per session."""
+    path = f"{sf_dir}/{table}.parquet"
+    return spark.read.schema(_schema(spark, path)).parquet(path)
+
+
+class SourceTables(Mapping[str, DataFrame]):
+    """The thirteen source tables, each read when it is first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self._spark, self._sf_dir = spark, sf_dir
+        self._read: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._read:
+            table, expressions = _STAND_INS[name]
+            df = given(self._spark, self._sf_dir, table).selectExpr(*expressions)
+            self._read[name] = df.distinct() if name in _DISTINCT else df
+        return self._read[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(_STAND_INS)
+
+    def __len__(self) -> int:
+        return len(_STAND_INS)
+
+
+def source_tables(spark: SparkSession, sf_dir: str) -> SourceTables:
+    return SourceTables(spark, sf_dir)

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from functools import partial
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,11 +18,13 @@ from starloom.operators.dimensions import (
     flatten_geography,
 )
 from starloom.operators.facts import fact_sales
-from starloom.operators.joins import Join, declared_join, probed_join
+from starloom.operators.joins import Join, ProbedJoin, declared_join
 from starloom.operators.quality import check_all, require_clean, require_not_empty
 from starloom.sinks.csv_extract import run_path, write_csv_extract
 from starloom.sinks.load import stage
 
+T = TypeVar("T")
+
 # The source columns that the eight targets need.
 SOURCE_COLUMNS: dict[str, tuple[str, ...]] = {
     "payment": ("payment_id", "customer_id", "staff_id", "rental_id", "amount", "payment_date"),
@@ -66,6 +68,18 @@ SOURCE_COLUMNS: dict[str, tuple[str, ...]] = {
     "film_category": ("film_id", "category_id"),
     "category": ("category_id", "name"),
 }
+# The tables that a builder joins others to; counting them decides how.
+JOINING_TABLES = (
+    "payment",
+    "rental",
+    "customer",
+    "staff",
+    "store",
+    "address",
+    "city",
+    "film",
+    "film_category",
+)
 
 
 def build_star(
@@ -126,30 +140,34 @@ def load_star(
     work = f"{folder.rstrip('/')}/star/{run_id}"
     if land:
         sources = land_sources(sources, f"{work}/sources")
+    join = ProbedJoin(sources, JOINING_TABLES)
     geography = stage(
-        flatten_geography(sources["address"], sources["city"], sources["country"], probed_join),
+        flatten_geography(sources["address"], sources["city"], sources["country"], join),
         f"{work}/geography",
     )
-    tables = build_star(sources, open_only, probed_join, contracts, geography)
+    tables = build_star(sources, open_only, join, contracts, geography)
     staged = _stage_all(tables, f"{work}/tables")
     require_not_empty(staged)
     if strict:
         require_clean(check_all(staged, contracts))
-    for name, df in staged.items():
-        write_csv_extract(df, run_path(extract_base, name, run_id))
-        warehouse(name, df)
+
+    def load(name: str) -> None:
+        write_csv_extract(staged[name], run_path(extract_base, name, run_id))
+        warehouse(name, staged[name])
+
+    # the fact refers to the dimensions, which do not refer to each other
+    _side_by_side(load, [name for name in staged if name != "fact_sales"])
+    load("fact_sales")
     return staged
 
 
-def _stage_all(
-    frames: Mapping[str, DataFrame], folder: str, at_once: int = 4
-) -> dict[str, DataFrame]:
-    """Stage independent frames side by side, so small ones fill the gaps of large ones."""
-    names: Iterable[str] = list(frames)
-    with ThreadPoolExecutor(at_once) as pool:
-        staged = pool.map(partial(_stage_one, frames, folder), names)
-        return dict(zip(names, staged))
+def _stage_all(frames: Mapping[str, DataFrame], folder: str) -> dict[str, DataFrame]:
+    names = list(frames)
+    staged = _side_by_side(lambda name: stage(frames[name], f"{folder}/{name}"), names)
+    return dict(zip(names, staged))
 
 
-def _stage_one(frames: Mapping[str, DataFrame], folder: str, name: str) -> DataFrame:
-    return stage(frames[name], f"{folder}/{name}")
+def _side_by_side(work: Callable[[str], T], names: Sequence[str], at_once: int = 4) -> list[T]:
+    """Run independent jobs together, so that small ones fill the gaps of large ones."""
+    with ThreadPoolExecutor(at_once) as pool:
+        return list(pool.map(work, names))

@@ -1,6 +1,8 @@
 import pytest
 from pyspark.sql import SparkSession
 
+from tests.rental_data import make_sources
+
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -17,3 +19,18 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+
+
+@pytest.fixture(scope="session")
+def sources(spark):
+    return make_sources(spark)
+
+
+@pytest.fixture
+def rows():
+    """Sorted plain tuples of a frame."""
+
+    def collect(df):
+        return sorted((tuple(r) for r in df.collect()), key=repr)
+
+    return collect

@@ -1,0 +1,91 @@
+from decimal import Decimal as D
+
+import pytest
+from pyspark.sql import types as T
+
+from starloom.operators.contracts import CONTRACTS, conform, create_if_absent
+from starloom.plans.star import build_star
+
+
+def test_eight_targets_in_load_order():
+    assert list(CONTRACTS) == [
+        "dim_payment_date",
+        "dim_rental_date",
+        "dim_return_date",
+        "dim_customer",
+        "dim_movie",
+        "dim_staff",
+        "dim_store",
+        "fact_sales",
+    ]
+
+
+def test_schema_has_declared_types_and_nullability(spark):
+    schema = CONTRACTS["dim_customer"].schema()
+    assert schema["customer_id"].dataType == T.ShortType()
+    assert schema["email"].nullable and not schema["first_name"].nullable
+    assert schema["create_date"].dataType == T.TimestampType()
+    assert CONTRACTS["dim_movie"].schema()["rental_rate"].dataType == T.DecimalType(4, 2)
+    assert CONTRACTS["dim_rental_date"].schema()["is_weekend"].dataType == T.BooleanType()
+
+
+def test_lengths_reach_ddl_and_jdbc_types():
+    contract = CONTRACTS["dim_store"]
+    assert "`district` varchar(20) NOT NULL" in contract.ddl()
+    assert "postal_code varchar(10)" in contract.jdbc_column_types()
+    assert "store_key" not in contract.jdbc_column_types()
+    assert CONTRACTS["fact_sales"].jdbc_column_types() == ""
+
+
+def test_widened_keys(spark):
+    wide = CONTRACTS["fact_sales"].widened().schema()
+    assert wide["sales_key"].dataType == wide["movie_key"].dataType == T.LongType()
+    assert wide["payment_date_key"].dataType == T.IntegerType()
+    assert CONTRACTS["dim_customer"].widened().schema()["customer_id"].dataType == T.LongType()
+    assert CONTRACTS["dim_movie"].widened().schema()["length"].dataType == T.ShortType()
+
+
+def test_built_star_has_the_declared_types(sources):
+    for name, df in build_star(sources).items():
+        declared = CONTRACTS[name].schema()
+        assert [(f.name, f.dataType) for f in df.schema] == [
+            (f.name, f.dataType) for f in declared
+        ]
+
+
+def test_conform_orders_and_casts(spark):
+    df = spark.createDataFrame(
+        [(2, "050524", "2005-05-24", "2005", 2, "2005Q2", 5, 24, 21, "true")],
+        "extra int, date_key string, date string, year string, quarter int, year_quart string, "
+        "month int, day int, week int, is_weekend string",
+    ).select("is_weekend", "week", "day", "month", "year_quart", "quarter", "year", "date", "date_key")
+    row = conform(df, CONTRACTS["dim_rental_date"]).first()
+    assert (row["date_key"], row["year"], row["is_weekend"]) == (50524, 2005, True)
+    assert list(row.asDict())[0] == "date_key"
+
+
+def test_conform_raises_on_values_that_do_not_fit(spark):
+    columns = [f.name for f in CONTRACTS["fact_sales"].fields]
+    df = spark.range(1).selectExpr(*[f"3000000000L AS {c}" for c in columns])
+    with pytest.raises(Exception, match="OVERFLOW|OUT_OF_RANGE"):
+        conform(df, CONTRACTS["fact_sales"]).collect()
+    dated = df.selectExpr(*["0 AS " + c if c.endswith("date_key") else c for c in columns])
+    wide = conform(dated, CONTRACTS["fact_sales"].widened())
+    assert wide.first()["sales_key"] == 3_000_000_000
+    assert wide.first()["sales_amount"] == D("3000000000.00")
+
+
+def test_create_if_absent_twice_and_enforce_lengths(spark, sources, tmp_path):
+    contract = CONTRACTS["dim_store"]
+    location = f"file://{tmp_path}/dim_store"
+    for _ in range(2):
+        create_if_absent(spark, contract, "contract_dim_store", location)
+    stores = build_star(sources)["dim_store"]
+    stores.write.insertInto("contract_dim_store")
+    assert spark.table("contract_dim_store").count() == 2
+    long_district = stores.selectExpr(
+        *[f"'a district of 21 char' AS {c}" if c == "district" else c for c in stores.columns]
+    )
+    with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH"):
+        long_district.write.insertInto("contract_dim_store")
+    spark.sql("DROP TABLE contract_dim_store")
