@@ -24,8 +24,7 @@ LARGE_ROWS = 1_000_000
 BROADCAST_MAX_ROWS = 500_000
 BROADCAST_MAX_BYTES = 32 * 1024 * 1024
 HOT_MAX_KEYS = 1_024
-HOT_TRACKED = 8_192
-SKETCH_GROUPS = 512
+HOT_SAMPLE_ROWS = 4_000_000
 
 
 def declared_join(
@@ -41,7 +40,7 @@ class ProbedJoin:
     The tables named in ``counted`` are counted together in one action, others when a
     join first asks. A left table of few rows is then left to Catalyst. Beyond that a
     measured-small ``right`` is broadcast, so ``left`` is not shuffled at all;
-    otherwise the hot keys of the left table are spread.
+    otherwise the hot keys of the left table are taken out of the shuffle.
     """
 
     def __init__(self, sources: Mapping[str, DataFrame], counted: Iterable[str] = ()) -> None:
@@ -69,64 +68,79 @@ class ProbedJoin:
         if self._rows_of(right_table) <= BROADCAST_MAX_ROWS and is_small(right):
             return left.join(F.broadcast(right), key, "inner")
         hot = hot_keys(self._sources[left_table], key, rows, LARGE_ROWS)
-        if hot.keys:
-            return salted_join(left, right, key, hot)
-        return left.join(right, key, "inner")
+        if not hot.keys:
+            return left.join(right, key, "inner")
+        if is_small(right.where(F.col(key).isin(list(hot.keys)))):
+            return split_join(left, right, key, hot)
+        return salted_join(left, right, key, hot)
 
 
-def is_small(
-    df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES
-) -> bool:
+def is_small(df: DataFrame) -> bool:
     """True if the whole frame was counted and measured to fit a broadcast."""
     variable = (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType)
     text = [f.name for f in df.schema if isinstance(f.dataType, variable)]
     lengths = " + ".join(f"coalesce(octet_length(CAST(`{c}` AS STRING)), 0L)" for c in text) or "0L"
     rows, size = df.selectExpr("count(*)", f"coalesce(sum({lengths}), 0L)").first()
-    return rows <= max_rows and size + 16 * len(df.columns) * rows <= max_bytes
+    return rows <= BROADCAST_MAX_ROWS and size + 16 * len(df.columns) * rows <= BROADCAST_MAX_BYTES
 
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Keys that hold more than an average reducer's rows, and the share of the largest."""
+    """Keys that hold more than two average reducers' rows, and the share of the largest."""
 
     keys: tuple = ()
     top_share: float = 0.0
 
 
 def hot_keys(df: DataFrame, key: str, rows: int, min_rows: int) -> HotKeys:
-    """Heavy hitters of one column of a frame of ``rows`` rows, in one pass over it.
+    """Heavy hitters of one column of a frame of ``rows`` rows.
 
-    A mergeable frequent-items sketch is built per task and combined in two steps,
-    so neither a shuffle of the keys nor one crowded reducer is needed. The sketch
-    only chooses which keys to spread; every choice gives the same join result.
-    At most ``HOT_MAX_KEYS`` keys come back, whatever the data.
+    They are counted in a sample of that column. The sample only chooses which keys to
+    treat apart: the joins below return every row, whatever is chosen. At most
+    ``HOT_MAX_KEYS`` keys come back, whatever the data.
     """
-    estimate = (
-        df.select(F.col(key).alias("k"))
-        .where(F.col("k").isNotNull())
-        .groupBy((F.spark_partition_id() % SKETCH_GROUPS).alias("g"))
-        .agg(F.expr(f"approx_top_k_accumulate(k, {HOT_TRACKED})").alias("s"))
-        .agg(F.expr("approx_top_k_combine(s)").alias("s"))
-        .select(F.expr(f"approx_top_k_estimate(s, {HOT_MAX_KEYS})").alias("top"))
-        .first()["top"]
+    # a key below this at most doubles an average reducer, or is too small to matter
+    limit = max(min_rows, 2 * rows / _shuffle_partitions(df))
+    fraction = min(1.0, HOT_SAMPLE_ROWS / max(rows, 1))
+    keys = df.select(F.col(key).alias("k")).where(F.col("k").isNotNull())
+    if fraction < 1.0:
+        keys = keys.sample(fraction, seed=1)
+    hot = (
+        keys.groupBy("k")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where(F.col("n") >= limit * fraction)
+        .orderBy(F.desc("n"))
+        .limit(HOT_MAX_KEYS)
+        .collect()
     )
-    # a key below this fits beside others in an average reducer, or is too small to matter
-    limit = max(min_rows, rows / _shuffle_partitions(df))
-    hot = [(item["item"], item["count"]) for item in estimate or () if item["count"] >= limit]
     if not hot:
         return HotKeys()
-    return HotKeys(tuple(k for k, _ in hot), min(1.0, max(n for _, n in hot) / rows))
+    return HotKeys(tuple(r["k"] for r in hot), min(1.0, hot[0]["n"] / (rows * fraction)))
+
+
+def split_join(left: DataFrame, right: DataFrame, key: str, hot: HotKeys) -> DataFrame:
+    """Inner equi-join that keeps hot rows of ``left`` where they are.
+
+    They meet a broadcast of the few matching rows of ``right``, which the caller has
+    measured; all other keys are joined as usual. Both sides are scanned twice, but the
+    hot rows are neither shuffled nor sorted.
+    """
+    is_hot = F.col(key).isin(list(hot.keys))
+    cold_rows = left.where(~is_hot).join(right.where(~is_hot), key, "inner")
+    hot_rows = left.where(is_hot).join(F.broadcast(right.where(is_hot)), key, "inner")
+    return cold_rows.unionByName(hot_rows)
 
 
 def salted_join(left: DataFrame, right: DataFrame, key: str, hot: HotKeys) -> DataFrame:
     """Inner equi-join that spreads the rows of each hot key over several reducers.
 
-    Hot rows of ``left`` get a salt from a hash of the whole row, so a task that is
-    run again after an executor loss gives the same salts. The few matching rows of
+    For hot keys with too many matching rows to broadcast. Hot rows of ``left`` get a salt from a hash of the whole row, so a task that is
+    run again after an executor loss gives the same salts. The matching rows of
     ``right`` are repeated once per salt. All other rows have salt 0 and are neither
     copied nor moved differently.
     """
-    fan_out = max(2, round(2 * hot.top_share * _shuffle_partitions(left)))
+    # several salts per reducer, so that salts which hash together stay a small excess
+    fan_out = max(2, round(8 * hot.top_share * _shuffle_partitions(left)))
     row_hash = F.xxhash64(*[F.col(c) for c in left.columns])
     is_hot = F.col(key).isin(list(hot.keys))
     salted_left = left.withColumn(

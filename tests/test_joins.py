@@ -11,6 +11,7 @@ from starloom.operators.joins import (
     hot_keys,
     is_small,
     salted_join,
+    split_join,
 )
 
 
@@ -41,6 +42,19 @@ def test_hot_keys_finds_the_heavy_hitter_only(skewed):
     assert hot.top_share == pytest.approx(1 / 3, abs=0.01)
 
 
+def test_hot_keys_in_a_sample(skewed, monkeypatch):
+    left, _ = skewed
+    monkeypatch.setattr(joins, "HOT_SAMPLE_ROWS", 6_000)
+    hot = hot_keys(left, "k", 30_000, min_rows=1_000)
+    assert hot.keys == (7,)
+    assert hot.top_share == pytest.approx(1 / 3, abs=0.05)
+
+
+def test_hot_keys_of_nothing(skewed):
+    left, _ = skewed
+    assert hot_keys(left.limit(0), "k", 0, min_rows=1_000) == HotKeys()
+
+
 def test_hot_keys_of_even_data_are_none(spark):
     df = spark.range(20_000).select((F.col("id") % 1_000).alias("k"))
     assert hot_keys(df, "k", 20_000, min_rows=1_000) == HotKeys()
@@ -86,19 +100,29 @@ def test_salted_join_spreads_the_hot_key(skewed, spark):
     assert spread < whole / 2
 
 
-def test_is_small_by_rows_and_by_bytes(spark):
-    df = spark.range(1_000).select("id", F.repeat(F.lit("x"), 1_000).alias("t"))
-    assert is_small(df)
-    assert not is_small(df, max_rows=999)
-    assert not is_small(df, max_bytes=1_000_000)
-    assert is_small(df.drop("t"), max_bytes=16_000)
-    assert not is_small(df.drop("t"), max_bytes=15_999)
-    assert is_small(df.where("id < 0"))
+def test_split_join_gives_the_declared_rows(skewed, rows):
+    left, right = skewed
+    split = split_join(left, right, "k", HotKeys((7, 11, 123_456), 0.33))
+    declared = declared_join(left, right, "k", "left", "right")
+    assert split.columns == declared.columns
+    assert rows(split) == rows(declared)
 
 
-def test_is_small_counts_array_text(spark):
-    df = spark.range(10).select(F.array_repeat(F.lit("abcd"), 1_000).alias("a"))
-    assert not is_small(df, max_bytes=40_000)
+def test_is_small_by_rows_and_by_bytes(spark, monkeypatch):
+    def small(df, max_rows=10_000, max_bytes=10_000_000):
+        monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", max_rows)
+        monkeypatch.setattr(joins, "BROADCAST_MAX_BYTES", max_bytes)
+        return is_small(df)
+
+    df = spark.range(1_000).select("id", F.repeat(F.lit("x"), 1_000).alias("t"))
+    assert small(df)
+    assert not small(df, max_rows=999)
+    assert not small(df, max_bytes=1_000_000)
+    assert small(df.drop("t"), max_bytes=16_000)
+    assert not small(df.drop("t"), max_bytes=15_999)
+    assert small(df.where("id < 0"))
+    arrays = spark.range(10).select(F.array_repeat(F.lit("abcd"), 1_000).alias("a"))
+    assert not small(arrays, max_bytes=40_000)
 
 
 def probed(left, right, monkeypatch, **limits):
@@ -125,9 +149,21 @@ def test_probed_join_broadcasts_a_measured_lookup(skewed, rows, monkeypatch, spa
     assert rows(df) == rows(declared_join(left, right, "k", "left", "right"))
 
 
-def test_probed_join_salts_beyond_the_broadcast_bound(skewed, rows, monkeypatch):
+def test_probed_join_splits_hot_keys_off(skewed, rows, monkeypatch, spark):
+    left, right = skewed
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = probed(left, right, monkeypatch, LARGE_ROWS=5_000, BROADCAST_MAX_ROWS=100)
+        text = plan(df)
+        assert "Union" in text and "BroadcastHashJoin" in text and "SortMergeJoin" in text
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert rows(df) == rows(declared_join(left, right, "k", "left", "right"))
+
+
+def test_probed_join_salts_when_the_partners_are_many(skewed, rows, monkeypatch):
     left, right = skewed
-    df = probed(left, right, monkeypatch, LARGE_ROWS=10_000, BROADCAST_MAX_ROWS=100)
+    df = probed(left, right, monkeypatch, LARGE_ROWS=5_000, BROADCAST_MAX_ROWS=1)
     assert "_salt" in plan(df)
     assert rows(df) == rows(declared_join(left, right, "k", "left", "right"))
 
@@ -135,7 +171,7 @@ def test_probed_join_salts_beyond_the_broadcast_bound(skewed, rows, monkeypatch)
 def test_probed_join_without_hot_keys_is_plain(spark, monkeypatch):
     left = spark.range(20_000).withColumnRenamed("id", "k")
     df = probed(left, left, monkeypatch, LARGE_ROWS=10_000, BROADCAST_MAX_ROWS=100)
-    assert "_salt" not in plan(df)
+    assert "_salt" not in plan(df) and "Union" not in plan(df)
     assert df.count() == 20_000
 
 
@@ -143,7 +179,7 @@ def test_fact_is_the_same_under_every_join(sources, rows, monkeypatch):
     s = sources
     expected = rows(fact_sales(s["payment"], s["rental"], s["inventory"], open_only=False))
     monkeypatch.setattr(joins, "LARGE_ROWS", 1)
-    for bound in (100, 0):
+    for bound in (100, 1, 0):
         monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", bound)
         df = fact_sales(
             s["payment"], s["rental"], s["inventory"], open_only=False, join=ProbedJoin(s)
