@@ -17,13 +17,17 @@ def fact_sales(
     open_only: bool = True,
     join: Join = declared_join,
     pattern: str = DEFAULT_KEY_PATTERN,
+    rental_first: bool = True,
 ) -> DataFrame:
     """One row per payment whose rental and inventory item exist.
 
     ``open_only`` keeps payments on rentals that have no return date, so their
-    return key is NULL; with False every payment is loaded. Rental and inventory
-    are joined first, which leaves payment, the largest table, one shuffle instead
-    of two. Timestamps become integer keys before they are shuffled.
+    return key is NULL; with False every payment is loaded. Timestamps become integer
+    keys before anything is shuffled.
+
+    Rental and inventory are joined first, which leaves payment, the largest table,
+    one shuffle instead of two. Where both are small enough for Catalyst to broadcast,
+    ``rental_first=False`` spares payment that shuffle as well.
     """
     if open_only:
         rental = rental.where(F.col("return_date").isNull())
@@ -36,13 +40,7 @@ def fact_sales(
         date_key(F.col("rental_date"), pattern).alias("rental_date_key"),
         return_key.alias("return_date_key"),
     )
-    items = join(
-        rentals,
-        inventory.select("inventory_id", "store_id", "film_id"),
-        "inventory_id",
-        "rental",
-        "inventory",
-    )
+    items = inventory.select("inventory_id", "store_id", "film_id")
     payments = payment.select(
         "rental_id",
         "payment_id",
@@ -51,9 +49,13 @@ def fact_sales(
         "staff_id",
         "amount",
     )
-    return join(
-        payments, items.drop("inventory_id"), "rental_id", "payment", "rental"
-    ).select(
+    if rental_first:
+        rented = join(rentals, items, "inventory_id", "rental", "inventory")
+        paid = join(payments, rented, "rental_id", "payment", "rental")
+    else:
+        paid = join(payments, rentals, "rental_id", "payment", "rental")
+        paid = join(paid, items, "inventory_id", "rental", "inventory")
+    return paid.select(
         F.col("payment_id").alias("sales_key"),
         "payment_date_key",
         "rental_date_key",

@@ -53,6 +53,10 @@ class ProbedJoin:
         if frames:
             self._rows.update((r["table"], r["n"]) for r in row_counts(frames).collect())
 
+    def is_large(self, table: str) -> bool:
+        """True if the table has rows enough for joins to be measured."""
+        return self._rows_of(table) >= LARGE_ROWS
+
     def _rows_of(self, table: str) -> int:
         if table not in self._rows:
             self._count([table])

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.operators.contracts import Contract
@@ -41,42 +41,19 @@ def require_not_empty(frames: Mapping[str, DataFrame]) -> None:
 
 def check_not_empty(frames: Mapping[str, DataFrame]) -> DataFrame:
     """One violation for each frame without rows."""
-    return row_counts(frames).select(
-        "table",
-        F.lit("not_empty").alias("check"),
-        F.lit("*").alias("column"),
-        F.when(F.col("n") == 0, 1).otherwise(0).cast("bigint").alias("violations"),
-    )
+    return _row_checks(frames, {name: _not_empty() for name in frames})
 
 
 def check_not_null(
     frames: Mapping[str, DataFrame], contracts: Mapping[str, Contract]
 ) -> DataFrame:
     """NULLs per column declared NOT NULL, all columns of a table in one pass."""
-    return _row_checks(
-        frames,
-        "not_null",
-        {
-            name: [(f.name, f"`{f.name}` IS NULL") for f in contracts[name].fields if not f.nullable]
-            for name in frames
-        },
-    )
+    return _row_checks(frames, {name: _not_null(contracts[name]) for name in frames})
 
 
 def check_length(frames: Mapping[str, DataFrame], contracts: Mapping[str, Contract]) -> DataFrame:
     """Texts longer than their declared varchar, all columns of a table in one pass."""
-    return _row_checks(
-        frames,
-        "length",
-        {
-            name: [
-                (f.name, f"char_length(`{f.name}`) > {f.length}")
-                for f in contracts[name].fields
-                if f.length
-            ]
-            for name in frames
-        },
-    )
+    return _row_checks(frames, {name: _length(contracts[name]) for name in frames})
 
 
 def check_unique_key(
@@ -88,8 +65,10 @@ def check_unique_key(
         key = contracts[name].key
         per_key = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
         reports.append(
-            per_key.agg(F.count_if(F.col("n") > 1).alias("violations")).select(
-                *_labels(name, "unique_key", key), "violations"
+            _as_rows(
+                per_key.agg(F.count_if(F.col("n") > 1).alias("repeated")),
+                name,
+                [("unique_key", key, "repeated")],
             )
         )
     return _union(reports)
@@ -128,17 +107,19 @@ def check_foreign_keys(
         totals = orphans.agg(
             *[F.sum(F.when(F.col("column") == c, F.col("n"))).alias(c) for c, _ in references]
         )
-        reports.append(_as_rows(totals, name, "foreign_key", [c for c, _ in references]))
+        reports.append(_as_rows(totals, name, [("foreign_key", c, c) for c, _ in references]))
     return _union(reports)
 
 
 def check_all(frames: Mapping[str, DataFrame], contracts: Mapping[str, Contract]) -> DataFrame:
-    """All five checks in one report."""
+    """All five checks in one report; those that look at single rows share one pass per table."""
+    rules = {
+        name: _not_empty() + _not_null(contracts[name]) + _length(contracts[name])
+        for name in frames
+    }
     return _union(
         [
-            check_not_empty(frames),
-            check_not_null(frames, contracts),
-            check_length(frames, contracts),
+            _row_checks(frames, rules),
             check_unique_key(frames, contracts),
             check_foreign_keys(frames, contracts),
         ]
@@ -154,41 +135,53 @@ def require_clean(report: DataFrame) -> None:
         )
 
 
-def _row_checks(
-    frames: Mapping[str, DataFrame],
-    check: str,
-    failures: Mapping[str, list[tuple[str, str]]],
-) -> DataFrame:
+# (check, column, SQL aggregate that counts the violations)
+Rule = tuple[str, str, str]
+
+
+def _not_empty() -> list[Rule]:
+    return [("not_empty", "*", "IF(count(*) = 0, 1L, 0L)")]
+
+
+def _not_null(contract: Contract) -> list[Rule]:
+    return [
+        ("not_null", f.name, f"count_if(`{f.name}` IS NULL)")
+        for f in contract.fields
+        if not f.nullable
+    ]
+
+
+def _length(contract: Contract) -> list[Rule]:
+    return [
+        ("length", f.name, f"count_if(char_length(`{f.name}`) > {f.length})")
+        for f in contract.fields
+        if f.length
+    ]
+
+
+def _row_checks(frames: Mapping[str, DataFrame], rules: Mapping[str, list[Rule]]) -> DataFrame:
+    """All rules of a table as one aggregate, turned into one row per rule."""
     return _union(
         [
             _as_rows(
-                df.selectExpr(*[f"count_if({failed}) AS `{c}`" for c, failed in failures[name]]),
+                df.selectExpr(*[f"{rule[2]} AS v{i}" for i, rule in enumerate(rules[name])]),
                 name,
-                check,
-                [column for column, _ in failures[name]],
+                [(check, column, f"v{i}") for i, (check, column, _) in enumerate(rules[name])],
             )
             for name, df in frames.items()
-            if failures[name]
+            if rules[name]
         ]
     )
 
 
-def _labels(table: str, check: str, column: str) -> list[Column]:
-    return [
-        F.lit(table).alias("table"),
-        F.lit(check).alias("check"),
-        F.lit(column).alias("column"),
-    ]
-
-
-def _as_rows(totals: DataFrame, table: str, check: str, columns: list[str]) -> DataFrame:
-    """One row of totals, one column per constraint, as one row per constraint."""
-    return totals.unpivot([], columns, "column", "violations").select(
-        F.lit(table).alias("table"),
-        F.lit(check).alias("check"),
-        "column",
-        F.coalesce(F.col("violations"), F.lit(0)).cast("bigint").alias("violations"),
+def _as_rows(totals: DataFrame, table: str, named: list[Rule]) -> DataFrame:
+    """One row of totals as report rows; ``named`` gives check, column and total of each."""
+    rows = ", ".join(
+        f"struct('{table}' AS `table`, '{check}' AS `check`, '{column}' AS `column`, "
+        f"coalesce(`{total}`, 0L) AS violations)"
+        for check, column, total in named
     )
+    return totals.selectExpr(f"inline(array({rows}))")
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:

@@ -51,7 +51,10 @@ def _run_folder(spark: SparkSession) -> str:
 
 def _star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     s = source_tables(spark, sf_dir)
-    return build_star(s, open_only=False, join=ProbedJoin(s, JOINING_TABLES), contracts=WIDE)
+    join = ProbedJoin(s, JOINING_TABLES)
+    return build_star(
+        s, open_only=False, join=join, contracts=WIDE, rental_first=join.is_large("rental")
+    )
 
 
 def q_dim_payment_date(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,7 +104,14 @@ def q_dim_movie(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _fact(spark: SparkSession, sf_dir: str, open_only: bool) -> DataFrame:
     s = source_tables(spark, sf_dir)
     join = ProbedJoin(s, ["payment", "rental"])
-    return fact_sales(s["payment"], s["rental"], s["inventory"], open_only, join)
+    return fact_sales(
+        s["payment"],
+        s["rental"],
+        s["inventory"],
+        open_only,
+        join,
+        rental_first=join.is_large("rental"),
+    )
 
 
 def q_fact_sales_open(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -68,7 +68,7 @@ SOURCE_COLUMNS: dict[str, tuple[str, ...]] = {
     "film_category": ("film_id", "category_id"),
     "category": ("category_id", "name"),
 }
-# The tables that a builder joins others to; counting them decides how.
+# The tables whose row counts decide how joins run; lookups are counted only if need be.
 JOINING_TABLES = (
     "payment",
     "rental",
@@ -88,6 +88,7 @@ def build_star(
     join: Join = declared_join,
     contracts: Mapping[str, Contract] = CONTRACTS,
     geography: DataFrame | None = None,
+    rental_first: bool = True,
 ) -> dict[str, DataFrame]:
     """The eight conformed tables in load order: date and entity dimensions, then the fact."""
     s = sources
@@ -103,7 +104,14 @@ def build_star(
         ),
         "dim_staff": dim_staff(s["staff"], geography, join),
         "dim_store": dim_store(s["store"], s["staff"], geography, join),
-        "fact_sales": fact_sales(s["payment"], s["rental"], s["inventory"], open_only, join),
+        "fact_sales": fact_sales(
+            s["payment"],
+            s["rental"],
+            s["inventory"],
+            open_only,
+            join,
+            rental_first=rental_first,
+        ),
     }
     return {name: conform(df, contracts[name]) for name, df in tables.items()}
 
@@ -145,7 +153,9 @@ def load_star(
         flatten_geography(sources["address"], sources["city"], sources["country"], join),
         f"{work}/geography",
     )
-    tables = build_star(sources, open_only, join, contracts, geography)
+    tables = build_star(
+        sources, open_only, join, contracts, geography, rental_first=join.is_large("rental")
+    )
     staged = _stage_all(tables, f"{work}/tables")
     require_not_empty(staged)
     if strict:

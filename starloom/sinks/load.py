@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.operators.joins import LARGE_ROWS, hot_keys
+
 
 def preview(df: DataFrame, rows: int = 10) -> DataFrame:
     """Print the schema and some rows; the rows shown come back as a frame."""
@@ -35,13 +37,25 @@ def write_both(df: DataFrame, staging_path: str, sinks: Iterable[Callable[[DataF
     return staged
 
 
-def new_rows(new: DataFrame, existing: DataFrame, key: str) -> DataFrame:
+def new_rows(
+    new: DataFrame, existing: DataFrame, key: str, hot: Sequence[object] = ()
+) -> DataFrame:
     """Rows of ``new`` whose key the target lacks; repeated keys inside ``new`` stay.
 
     The keys of the target are made distinct before the join, which combines a
-    repeated key inside each task.
+    repeated key inside each task. Rows on the few ``hot`` keys need no join: the hot
+    keys that the target has, at most as many as were given, become a plain filter.
     """
-    return new.join(existing.select(key).distinct(), key, "left_anti")
+    known = existing.select(key).distinct()
+    if not hot:
+        return new.join(known, key, "left_anti")
+    is_hot = F.coalesce(F.col(key).isin(list(hot)), F.lit(False))
+    present = [row[0] for row in known.where(is_hot).collect()]
+    return (
+        new.where(~is_hot)
+        .join(known, key, "left_anti")
+        .unionByName(new.where(is_hot & ~F.col(key).isin(present)))
+    )
 
 
 def append_new_keys(
@@ -50,9 +64,10 @@ def append_new_keys(
     """Append only rows with a key that the target lacks.
 
     The target is read between the smallest and largest new key only; that filter
-    is pushed into its scan. ``new`` is read twice, so pass a staged frame.
+    is pushed into its scan. ``new`` is read more than once, so pass a staged frame.
     """
-    lowest, highest = new.agg(F.min(key), F.max(key)).first()
+    lowest, highest, rows = new.agg(F.min(key), F.max(key), F.count(F.lit(1))).first()
     if lowest is not None:
         existing = existing.where(F.col(key).between(lowest, highest))
-    append(new_rows(new, existing, key))
+    hot = hot_keys(new, key, rows, LARGE_ROWS).keys if rows >= LARGE_ROWS else ()
+    append(new_rows(new, existing, key, hot))

@@ -181,10 +181,16 @@ def test_fact_is_the_same_under_every_join(sources, rows, monkeypatch):
     monkeypatch.setattr(joins, "LARGE_ROWS", 1)
     for bound in (100, 1, 0):
         monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", bound)
-        df = fact_sales(
-            s["payment"], s["rental"], s["inventory"], open_only=False, join=ProbedJoin(s)
-        )
-        assert rows(df) == expected
+        for rental_first in (True, False):
+            df = fact_sales(
+                s["payment"],
+                s["rental"],
+                s["inventory"],
+                open_only=False,
+                join=ProbedJoin(s),
+                rental_first=rental_first,
+            )
+            assert rows(df) == expected
 
 
 def test_dropped_rows(sources, spark):

@@ -16,6 +16,7 @@ from starloom.sinks import (
     write_both,
     write_csv_extract,
 )
+from starloom.sinks import load
 from starloom.sources import JdbcConnection, read_csv_extract
 
 TEXTS = [
@@ -92,6 +93,26 @@ def test_new_rows(spark, rows):
     assert rows(new_rows(new, existing, "k")) == [(2, "b"), (3, "c"), (3, "d")]
 
 
+def test_new_rows_on_hot_keys_are_the_same(spark, rows):
+    new = spark.createDataFrame(
+        [(1, "a"), (2, "b"), (2, "c"), (3, "d"), (None, "e")], "k int, v string"
+    )
+    existing = spark.createDataFrame([(1,), (1,), (9,)], "k int")
+    expected = rows(new_rows(new, existing, "k"))
+    assert expected == rows(new_rows(new, existing, "k", hot=[1, 2]))
+    assert expected == rows(new_rows(new, existing.limit(0), "k", hot=[2]).where("v <> 'a'"))
+
+
+def test_append_new_keys_takes_hot_keys_off_the_join(spark, monkeypatch):
+    new = spark.range(4_000).selectExpr("IF(id % 2 = 0, 7, id) AS k", "id")
+    existing = spark.range(10, 2_000).withColumnRenamed("id", "k")
+    monkeypatch.setattr(load, "LARGE_ROWS", 1_000)
+    got = []
+    append_new_keys(new, existing, "k", got.append)
+    assert "Union" in got[0]._jdf.queryExecution().executedPlan().toString()
+    assert got[0].count() == new_rows(new, existing, "k").count() == 2_000 + 5 + 1_000
+
+
 def test_append_new_keys_makes_a_second_load_harmless(spark, rows, tmp_path):
     path = f"{tmp_path}/target"
     first = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
