@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import re
 
 from pyspark.sql import SparkSession
 
@@ -19,12 +19,11 @@ def object_store_conf(access_key: str, secret_key: str, endpoint: str) -> dict[s
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors see, as ``spark.checkpoint.dir`` names it.
 
-    Only a local session may do without the setting; it gets a fresh temporary
-    folder, which on a cluster would exist on one machine only.
+    Only a local session may do without the setting; it gets a folder in its warehouse.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.mkdtemp(prefix="starloom-")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/starloom-work"
