@@ -4,18 +4,50 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from starloom.llm.common import table
+from starloom.llm.common import fresh_folder, table
+from starloom.llm.packing import packed
 from starloom.llm.simhash import simhash_components
+from starloom.llm.suffix import suffix_dedup
+from starloom.llm.tokens import read_tokens, write_tokens
+
+
+def q_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    pieces = packed(table(spark, sf_dir, "documents"), vocabulary, "dropped", end_id=1, size=2048)
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
+def q_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary, folder = public_tokenizers.path("byte_bpe_50k.json"), fresh_folder(spark, "tokens")
+    shards = write_tokens(table(spark, sf_dir, "documents"), folder, vocabulary, "leading", end_id=2)
+    return read_tokens(spark, shards, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
 def q_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"), words=4, bits=4)
 
 
+def q_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(table(spark, sf_dir, "documents"), length=200).select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_packing": q_packing,
     "op4_simhash": q_simhash,
+    "op6_tokens": q_tokens,
+    "op8_suffix": q_suffix,
 }
 
 ORACLES: dict[str, str] = {}
