@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from starloom.llm.chat import digests, format_log
 from starloom.llm.common import fresh_folder, table
+from starloom.llm.lines import line_dedup
 from starloom.llm.packing import packed
 from starloom.llm.simhash import simhash_components
 from starloom.llm.suffix import suffix_dedup
@@ -33,6 +35,26 @@ def q_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"), words=4, bits=4)
 
 
+def q_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(table(spark, sf_dir, "documents"), width=3).select(
+        "doc_id",
+        "n_lines",
+        F.size("removed").cast("long").alias("n_removed"),
+        F.md5(F.coalesce("kept", F.lit(""))).alias("kept_md5"),
+    )
+
+
+def q_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the table are ``message`` events; those of equal turn are turns of their own."""
+    said = "</s>[INST] ok [/INST]"
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    added = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit(said).alias("text"))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(added)
+    place = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "role", F.coalesce("text", F.lit(""))))
+    log = rows.withColumn("turn", place.cast("long")).withColumns({"seq": F.col("turn"), "kind": F.lit("message")})
+    return digests(format_log(log))
+
+
 def q_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(table(spark, sf_dir, "documents"), length=200).select(
         "doc_id",
@@ -47,7 +69,51 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": q_packing,
     "op4_simhash": q_simhash,
     "op6_tokens": q_tokens,
+    "op7_lines": q_lines,
     "op8_suffix": q_suffix,
+    "op10_chat": q_chat,
 }
 
-ORACLES: dict[str, str] = {}
+LINES_SQL = """
+WITH lines AS (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos
+    FROM documents
+), windows AS (
+    SELECT doc_id, pos, line AS l0, lead(line, 1) OVER w AS l1, lead(line, 2) OVER w AS l2
+    FROM lines WINDOW w AS (PARTITION BY doc_id ORDER BY pos)
+), later AS (
+    SELECT doc_id, pos FROM (
+        SELECT doc_id, pos, row_number() OVER (PARTITION BY l0, l1, l2 ORDER BY doc_id, pos) AS nth
+        FROM windows WHERE l2 IS NOT NULL AND trim(l0 || l1 || l2) <> ''
+    ) WHERE nth > 1
+), gone AS (
+    SELECT DISTINCT doc_id, pos + k AS pos FROM later, (VALUES (0), (1), (2)) AS t(k)
+)
+SELECT d.doc_id, count(l.pos) AS n_lines, count(g.pos) AS n_removed,
+       md5(coalesce(string_agg(l.line, chr(10) ORDER BY l.pos) FILTER (WHERE g.pos IS NULL), '')) AS kept_md5
+FROM documents d LEFT JOIN lines l ON l.doc_id = d.doc_id
+LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.pos = l.pos
+GROUP BY d.doc_id
+"""
+
+CHAT_SQL = """
+WITH rows AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), turns AS (
+    SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS nth,
+           length(replace(replace(replace(replace(replace(role, '~', '~0'), '<s>', '~1'), '[INST]', '~2'), '[/INST]', '~3'), '</s>', '~4'))
+         + length(replace(replace(replace(replace(replace(text, '~', '~0'), '<s>', '~1'), '[INST]', '~2'), '[/INST]', '~3'), '</s>', '~4'))
+         + length('<s>[INST][/INST]</s>') AS chars
+    FROM rows
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY nth)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY nth) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
+
+ORACLES: dict[str, str] = {"op7_lines": LINES_SQL, "op10_chat": CHAT_SQL}
