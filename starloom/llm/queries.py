@@ -15,6 +15,11 @@ from starloom.llm.packing import packed
 from starloom.llm.simhash import simhash_components
 from starloom.llm.suffix import suffix_dedup
 from starloom.llm.tokens import read_tokens, write_tokens
+from starloom.llm.toxicity import toxicity
+
+
+def q_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.7)
 
 
 def q_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,6 +71,7 @@ def q_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": q_toxicity,
     "op3_packing": q_packing,
     "op4_simhash": q_simhash,
     "op6_tokens": q_tokens,
