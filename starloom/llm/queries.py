@@ -14,6 +14,7 @@ from starloom.llm.lines import line_dedup
 from starloom.llm.packing import packed
 from starloom.llm.simhash import simhash_components
 from starloom.llm.suffix import suffix_dedup
+from starloom.llm.topk import top_k
 from starloom.llm.tokens import read_tokens, write_tokens
 from starloom.llm.toxicity import toxicity
 
@@ -60,6 +61,11 @@ def q_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(format_log(log))
 
 
+def q_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return top_k(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20, scale=64.0)
+
+
 def q_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(table(spark, sf_dir, "documents"), length=200).select(
         "doc_id",
@@ -77,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_tokens": q_tokens,
     "op7_lines": q_lines,
     "op8_suffix": q_suffix,
+    "op9_topk": q_topk,
     "op10_chat": q_chat,
 }
 
@@ -102,6 +109,19 @@ LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.pos = l.pos
 GROUP BY d.doc_id
 """
 
+TOPK_SQL = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pairs AS (
+    SELECT q.vec_id AS query_id, p.vec_id, CAST(list_inner_product(CAST(q.e AS DOUBLE[]), CAST(p.e AS DOUBLE[])) AS BIGINT) AS score
+    FROM v q JOIN v p ON p.vec_id <> q.vec_id WHERE q.vec_id % 20 = 0
+), ranked AS (
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM pairs
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
 CHAT_SQL = """
 WITH rows AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -122,4 +142,4 @@ SELECT conv_id, count(*) AS n_turns,
 FROM turns GROUP BY conv_id
 """
 
-ORACLES: dict[str, str] = {"op7_lines": LINES_SQL, "op10_chat": CHAT_SQL}
+ORACLES: dict[str, str] = {"op7_lines": LINES_SQL, "op9_topk": TOPK_SQL, "op10_chat": CHAT_SQL}
