@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from starloom.llm.chat import digests, format_log
 from starloom.llm.common import fresh_folder, table
+from starloom.llm.lattice import lattice_links
 from starloom.llm.lines import line_dedup
 from starloom.llm.packing import packed
 from starloom.llm.simhash import simhash_components
@@ -31,6 +32,10 @@ def q_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice_links(table(spark, sf_dir, "embeddings"), cosine=0.93)
+
+
 def q_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary, folder = public_tokenizers.path("byte_bpe_50k.json"), fresh_folder(spark, "tokens")
     shards = write_tokens(table(spark, sf_dir, "documents"), folder, vocabulary, "leading", end_id=2)
@@ -80,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": q_toxicity,
     "op3_packing": q_packing,
     "op4_simhash": q_simhash,
+    "op5_lattice": q_embeddings,
     "op6_tokens": q_tokens,
     "op7_lines": q_lines,
     "op8_suffix": q_suffix,
