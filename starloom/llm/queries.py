@@ -13,6 +13,7 @@ from starloom.llm.common import fresh_folder, table
 from starloom.llm.lattice import lattice_links
 from starloom.llm.lines import line_dedup
 from starloom.llm.packing import packed
+from starloom.llm.sentence_pieces import decoded, encoded
 from starloom.llm.simhash import simhash_components
 from starloom.llm.suffix import suffix_dedup
 from starloom.llm.topk import top_k
@@ -24,6 +25,20 @@ def q_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.7)
 
 
+def q_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, and whether decoding them gives the text again."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    given = F.xxhash64(F.coalesce("text", F.lit("")))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", given.alias("given"))
+    return decoded(encoded(docs, model, carry=("doc_id", "given")), model).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+        F.length("text").cast("long").alias("decoded_chars"),
+        (F.xxhash64("text") == F.col("given")).alias("round_trip"),
+    )
+
+
 def q_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
     pieces = packed(table(spark, sf_dir, "documents"), vocabulary, "dropped", end_id=1, size=2048)
@@ -83,6 +98,7 @@ def q_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": q_toxicity,
+    "op2_sentencepiece": q_sentencepiece,
     "op3_packing": q_packing,
     "op4_simhash": q_simhash,
     "op5_lattice": q_embeddings,
