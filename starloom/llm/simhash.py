@@ -185,7 +185,7 @@ def fingerprint_links(fps: DataFrame, bits: int = 4) -> DataFrame:
 
     def key(k: int, flip: Column) -> Column:
         n = (k + 1) % m
-        return (F.lit(k) * (1 << width[k]) + segment(k)) * (1 << width[n]) + segment(n).bitwiseXOR(flip)
+        return F.shiftleft(segment(k), width[n]).bitwiseOR(segment(n).bitwiseXOR(flip))
 
     starts = range(m)
     none = F.lit(0).cast("long")
@@ -211,7 +211,7 @@ def fingerprint_links(fps: DataFrame, bits: int = 4) -> DataFrame:
         chain = chain & within
     return probe.join(
         index,
-        (probe["key"] == index["key"]) & (F.col("a") < F.col("b")) & chain & (F.bit_count(differing) <= bits),
+        (probe["key"] == index["key"]) & (probe["k"] == index["k"]) & (F.col("a") < F.col("b")) & chain & (F.bit_count(differing) <= bits),
     ).select("a", "b")
 
 

@@ -1,0 +1,154 @@
+import math
+
+import numpy as np
+import pyarrow as pa
+
+from starloom.llm import lattice, topk
+from starloom.llm.lattice import cells, decode, forest, lattice_links, roots
+from starloom.llm.topk import best, chunk_search, products, top_k
+
+VECTORS = "vec_id long, embedding array<float>, label int, body string, n int"
+NAN, INF = float("nan"), float("inf")
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(*r, "b", 1) for r in rows], VECTORS).repartition(3)
+
+
+def awkward(rng):
+    """Usable and unusable rows; the last of each kind of label."""
+    rows = [(i, rng.normal(size=8).tolist(), int(rng.integers(0, 3))) for i in range(120)]
+    rows += [(200 + i, [x * (1 + i) for x in rows[i % 5][1]], rows[i % 5][2]) for i in range(40)]  # longer, same direction
+    rows += [(300 + i, rows[7][1], rows[7][2]) for i in range(30)]  # copies
+    rows += [(400, None, 1), (401, [], 1), (402, [0.0] * 8, 1), (403, [-0.0] * 8, 1), (404, [1.0, None] + [0.0] * 6, 1), (405, [NAN] * 8, 1)]
+    rows += [(406, [INF] + [0.0] * 7, 1), (407, rows[0][1], None), (408, [3.0, 4.0], 1), (409, [3.0, 4.0, 0.0], 1), (None, rows[0][1], 0), (410, [1e30] * 8, 1)]
+    return rows
+
+
+# -- top-k
+
+
+def brute_top(rows, k, scale=64.0):
+    usable = {
+        i: [math.floor(scale * np.float64(np.float32(x))) for x in v]
+        for i, v, _ in rows
+        if i is not None and v and all(x is not None and math.isfinite(x) for x in v)
+    }
+    out = []
+    for q, x in usable.items():
+        if q % 20 == 0:
+            scores = [(-max(-(1 << 63), min((1 << 63) - 1, sum(a * b for a, b in zip(x, y, strict=True)))), i) for i, y in usable.items() if i != q and len(y) == len(x)]
+            out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(sorted(scores)[:k])]
+    return sorted(out)
+
+
+def test_top_k_matches_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(topk, "CHUNK", 16)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 4)
+    monkeypatch.setattr(topk, "SEEDS", 30)
+    rows = awkward(np.random.default_rng(5))
+    vectors = frame(spark, rows)
+    got = sorted(tuple(r) for r in top_k(vectors, vectors.where("vec_id % 20 = 0"), k=7).collect())
+    assert got == brute_top(rows, 7)
+
+
+def test_top_k_small_and_empty(spark):
+    vectors = frame(spark, [(0, [1.0, 0.0], 1), (1, [1.0, 0.5], 1)])
+    assert [tuple(r) for r in top_k(vectors, vectors.where("vec_id = 0"), k=20).collect()] == [(0, 1, 1, 4096)]
+    none = frame(spark, [(400, None, 1)])
+    assert top_k(none, none).count() == 0
+    assert top_k(vectors, none).count() == 0
+
+
+def test_both_prunings_lose_nothing():
+    rng = np.random.default_rng(6)
+    p = np.floor(64 * rng.normal(size=(300, 6)) * rng.choice([1, 5], size=(300, 1)))
+    q = np.concatenate([np.floor(64 * rng.normal(size=(20, 6))), p[:20], np.zeros((1, 6)), np.eye(6) * 50])
+    ids, qid = np.arange(300), np.concatenate([np.arange(1000, 1020), np.arange(20), np.arange(2000, 2007)])
+    scores = products(p, q)
+    for share in (0.0, 0.5, 0.9, 1.0):
+        bound = np.array([np.sort(np.delete(s, i) if i < 300 else s)[int(share * 280)] for i, s in zip(qid, scores.T, strict=True)], float)
+        found = {i: (v.tolist(), s.tolist()) for i, v, s in chunk_search(qid, q, np.linalg.norm(q, axis=1), bound, ids, p, np.linalg.norm(p, axis=1), 5)}
+        for i in range(len(qid)):
+            ok = np.flatnonzero((ids != qid[i]) & (scores[:, i] >= bound[i]))
+            top = ok[best(scores[ok, i], ids[ok], 5)]
+            assert found.get(i, ([], [])) == (top.tolist(), scores[top, i].tolist())
+
+
+# -- lattice
+
+
+def test_decoding_finds_the_nearest_point():
+    assert len(roots()) == 240 and np.allclose((roots() ** 2).sum(1), 2)
+    x = np.random.default_rng(1).normal(size=(500, 8)) * 2
+    near = decode(x)
+    assert np.allclose(decode(near), near)
+    distance = ((x - near) ** 2).sum(1)
+    assert (distance <= 1 + 1e-9).all()  # the covering radius
+    assert all((distance <= ((x - near - r) ** 2).sum(1) + 1e-9).all() for r in roots())
+
+
+def test_recall_of_the_cells():
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(1000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z = rng.normal(size=x.shape)
+    z -= (z * x).sum(1, keepdims=True) * x
+    z /= np.linalg.norm(z, axis=1, keepdims=True)
+    for cosine, least in ((0.93, 0.9), (0.96, 0.95), (0.99, 0.99)):
+        a, b = cells(x), cells(cosine * x + math.sqrt(1 - cosine**2) * z)
+        met = ((a[:, :, :1] == b).any(2) | (b[:, :, :1] == a).any(2)).any(1)
+        assert met.mean() >= least
+
+
+def test_forest():
+    linked, root = forest(np.array([3, 1, 5]), np.array([2, 2, 4]), 7)
+    assert dict(zip(linked.tolist(), root.tolist(), strict=True)) == {2: 1, 3: 1, 5: 4}
+
+
+def brute_links(rows, cosine):
+    def unit(v):
+        if not v or any(x is None or not math.isfinite(x) for x in v) or not any(v):
+            return None
+        x = np.array(v, np.float32).astype(float)
+        x /= np.abs(x).max()
+        return x / np.linalg.norm(x)
+
+    units = [unit(v) if i is not None and label is not None else None for i, v, label in rows]
+    link = [[n for n, y in enumerate(units) if n != m and x is not None and y is not None and rows[m][2] == rows[n][2] and len(x) == len(y) and x @ y >= cosine] for m, x in enumerate(units)]
+    out = []
+    for m, (i, _, _) in enumerate(rows):
+        seen, todo = {m}, [m]
+        while todo:
+            todo = [n for k in todo for n in link[k] if n not in seen]
+            seen.update(todo)
+        least = min((rows[n][0] for n in seen if rows[n][0] is not None), default=None)
+        out.append((i, len(link[m]), least, None if i is None else i == least))
+    return sorted(out, key=repr)
+
+
+def test_links_match_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(lattice, "CELL_BLOCK", 8)
+    rng = np.random.default_rng(7)
+    rows = awkward(rng)
+    rows += [(1000 + i, (np.array(rows[i % 3][1]) + 0.02 * rng.normal(size=8)).tolist(), rows[i % 3][2]) for i in range(60)]
+    got = sorted((tuple(r) for r in lattice_links(frame(spark, rows), 0.93).collect()), key=repr)
+    expected = brute_links(rows, 0.93)
+    assert [r[0] for r in got] == [r[0] for r in expected]
+    assert all(g[1] <= e[1] for g, e in zip(got, expected, strict=True))
+    assert sum(g[1] for g in got) >= 0.97 * sum(e[1] for e in expected)
+    assert sum(g[2] == e[2] for g, e in zip(got, expected, strict=True)) >= 0.97 * len(got)
+
+
+def test_pairs_that_meet_often_count_once(spark):
+    base = np.random.default_rng(8).normal(size=64)
+    rows = [(i, (base + 0.001 * np.random.default_rng(i).normal(size=64)).tolist(), 1) for i in range(40)]
+    got = lattice_links(frame(spark, rows), 0.93).collect()
+    assert {(r.n_links, r.component_id) for r in got} == {(39, 0)}
+    assert lattice_links(frame(spark, [(5, None, 1)]), 0.93).collect()[0][1:] == (0, 5, True)
+    assert lattice_links(spark.createDataFrame([], VECTORS)).count() == 0
+
+
+def test_bodies_are_read_from_slices():
+    lists = pa.array([[9.0], [1.0, 2.0], [3.0]], pa.list_(pa.float64()))[1:]
+    assert lists.flatten().to_pylist() == [1.0, 2.0, 3.0] and lists.offsets[0].as_py() == 1
