@@ -22,13 +22,11 @@ def flatten_geography(
         city.select("city_id", "country_id", "city"),
         country.select("country_id", "country"),
         "country_id",
-        "city",
-        "country",
     ).drop("country_id")
     addresses = address.select(
         "address_id", "city_id", "address", "address2", "district", "postal_code", "phone"
     )
-    return join(addresses, places, "city_id", "address", "city").drop("city_id")
+    return join(addresses, places, "city_id").drop("city_id")
 
 
 _ADDRESS = ["address", "address2", "district", "city", "country", "postal_code"]
@@ -42,8 +40,6 @@ def dim_customer(customer: DataFrame, geography: DataFrame, join: Join = declare
         ),
         geography,
         "address_id",
-        "customer",
-        "address",
     )
     return located.select(
         F.col("customer_id").alias("customer_key"),
@@ -64,8 +60,6 @@ def dim_staff(staff: DataFrame, geography: DataFrame, join: Join = declared_join
         staff.select("staff_id", "address_id", "first_name", "last_name", "email", "active"),
         geography,
         "address_id",
-        "staff",
-        "address",
     )
     return located.select(
         F.col("staff_id").alias("staff_key"),
@@ -92,10 +86,8 @@ def dim_store(
         store.select("store_id", "manager_staff_id", "address_id"),
         managers,
         "manager_staff_id",
-        "store",
-        "staff",
     )
-    return join(managed, geography, "address_id", "store", "address").select(
+    return join(managed, geography, "address_id").select(
         F.col("store_id").alias("store_key"),
         "store_id",
         *_ADDRESS,
@@ -127,17 +119,13 @@ def dim_movie(
         ),
         language.select("language_id", F.col("name").alias("language")),
         "language_id",
-        "film",
-        "language",
     )
     categories = join(
         film_category.select("film_id", "category_id"),
         category.select("category_id", F.col("name").alias("category")),
         "category_id",
-        "film_category",
-        "category",
     )
-    return join(categories, films, "film_id", "film_category", "film").select(
+    return join(categories, films, "film_id").select(
         F.col("film_id").alias("movie_key"),
         "film_id",
         "title",

@@ -17,7 +17,6 @@ def fact_sales(
     open_only: bool = True,
     join: Join = declared_join,
     pattern: str = DEFAULT_KEY_PATTERN,
-    rental_first: bool = True,
 ) -> DataFrame:
     """One row per payment whose rental and inventory item exist.
 
@@ -26,8 +25,7 @@ def fact_sales(
     keys before anything is shuffled.
 
     Rental and inventory are joined first, which leaves payment, the largest table,
-    one shuffle instead of two. Where both are small enough for Catalyst to broadcast,
-    ``rental_first=False`` spares payment that shuffle as well.
+    one shuffle instead of two.
     """
     if open_only:
         rental = rental.where(F.col("return_date").isNull())
@@ -49,12 +47,8 @@ def fact_sales(
         "staff_id",
         "amount",
     )
-    if rental_first:
-        rented = join(rentals, items, "inventory_id", "rental", "inventory")
-        paid = join(payments, rented, "rental_id", "payment", "rental")
-    else:
-        paid = join(payments, rentals, "rental_id", "payment", "rental")
-        paid = join(paid, items, "inventory_id", "rental", "inventory")
+    rented = join(rentals, items, "inventory_id")
+    paid = join(payments, rented, "rental_id")
     return paid.select(
         F.col("payment_id").alias("sales_key"),
         "payment_date_key",

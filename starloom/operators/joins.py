@@ -1,125 +1,110 @@
 """Inner lookup joins, declared or probed.
 
-Builders take the join as an argument and name the source table behind each side.
-``declared_join`` leaves everything to Catalyst and AQE. ``ProbedJoin`` looks at
-those tables first: it broadcasts a lookup only after measuring it, and spreads keys
-that would fill a reducer on their own. Both return the same rows.
+Builders take the join as an argument. ``declared_join`` leaves everything to Catalyst
+and AQE. ``ProbedJoin`` measures the two frames that are really joined: it broadcasts
+a lookup only after measuring it, and takes keys that would fill a reducer on their own
+out of the shuffle. Both return the same rows, at every size by the same rules.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.operators.quality import row_counts
+# (left, right, key) -> joined
+Join = Callable[[DataFrame, DataFrame, str], DataFrame]
 
-# (left, right, key, source table behind left, source table behind right) -> joined
-Join = Callable[[DataFrame, DataFrame, str, str, str], DataFrame]
-
-LARGE_ROWS = 1_000_000
 BROADCAST_MAX_ROWS = 500_000
 BROADCAST_MAX_BYTES = 32 * 1024 * 1024
-HOT_MAX_KEYS = 1_024
-HOT_SAMPLE_ROWS = 4_000_000
+# A key is hot if it has this many times the rows of an average reducer.
+HOT_REDUCERS = 2.0
 
 
-def declared_join(
-    left: DataFrame, right: DataFrame, key: str, left_table: str, right_table: str
-) -> DataFrame:
+def declared_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Plain inner equi-join on a column of the same name in both frames."""
     return left.join(right, key, "inner")
 
 
 class ProbedJoin:
-    """Inner equi-join planned from measurements of the source tables.
+    """Inner equi-join planned from measurements of its two sides.
 
-    The tables named in ``counted`` are counted together in one action, others when a
-    join first asks. A left table of few rows is then left to Catalyst. Beyond that a
-    measured-small ``right`` is broadcast, so ``left`` is not shuffled at all;
-    otherwise the hot keys of the left table are taken out of the shuffle.
+    A measured-small ``right`` is broadcast, so ``left`` is not shuffled at all. Otherwise
+    the hot keys of ``left`` are looked up: their rows meet a broadcast of their partners
+    where those are measured small, and are spread by salts where not.
     """
 
-    def __init__(self, sources: Mapping[str, DataFrame], counted: Iterable[str] = ()) -> None:
-        self._sources = sources
-        self._rows: dict[str, int] = {}
-        self._count(counted)
-
-    def _count(self, tables: Iterable[str]) -> None:
-        frames = {t: self._sources[t] for t in tables}
-        if frames:
-            self._rows.update((r["table"], r["n"]) for r in row_counts(frames).collect())
-
-    def is_large(self, table: str) -> bool:
-        """True if the table has rows enough for joins to be measured."""
-        return self._rows_of(table) >= LARGE_ROWS
-
-    def _rows_of(self, table: str) -> int:
-        if table not in self._rows:
-            self._count([table])
-        return self._rows[table]
-
-    def __call__(
-        self, left: DataFrame, right: DataFrame, key: str, left_table: str, right_table: str
-    ) -> DataFrame:
-        rows = self._rows_of(left_table)
-        if rows < LARGE_ROWS:
-            return left.join(right, key, "inner")
-        # the count of the source table rules a large side out before its text is measured
-        if self._rows_of(right_table) <= BROADCAST_MAX_ROWS and is_small(right):
+    def __init__(
+        self,
+        broadcast_rows: int | None = None,
+        broadcast_bytes: int | None = None,
+        hot_reducers: float = HOT_REDUCERS,
+    ) -> None:
+        self._rows, self._bytes, self._hot = broadcast_rows, broadcast_bytes, hot_reducers
+
+    def _is_small(self, df: DataFrame) -> bool:
+        return is_small(df, self._rows, self._bytes)
+
+    def __call__(self, left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+        if self._is_small(right):
             return left.join(F.broadcast(right), key, "inner")
-        hot = hot_keys(self._sources[left_table], key, rows, LARGE_ROWS)
-        if not hot.keys:
+        hot = hot_keys(left, key, self._hot)
+        if not hot.rows:
             return left.join(right, key, "inner")
-        if is_small(right.where(F.col(key).isin(list(hot.keys)))):
+        if self._is_small(right.join(F.broadcast(hot.frame(right, key)), key, "left_semi")):
             return split_join(left, right, key, hot)
         return salted_join(left, right, key, hot)
 
 
-def is_small(df: DataFrame) -> bool:
+def is_small(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> bool:
     """True if the whole frame was counted and measured to fit a broadcast."""
+    max_rows = BROADCAST_MAX_ROWS if max_rows is None else max_rows
+    max_bytes = BROADCAST_MAX_BYTES if max_bytes is None else max_bytes
     variable = (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType)
     text = [f.name for f in df.schema if isinstance(f.dataType, variable)]
     lengths = " + ".join(f"coalesce(octet_length(CAST(`{c}` AS STRING)), 0L)" for c in text) or "0L"
     rows, size = df.selectExpr("count(*)", f"coalesce(sum({lengths}), 0L)").first()
-    return rows <= BROADCAST_MAX_ROWS and size + 16 * len(df.columns) * rows <= BROADCAST_MAX_BYTES
+    return rows <= max_rows and size + 16 * len(df.columns) * rows <= max_bytes
 
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Keys that hold more than two average reducers' rows, and the share of the largest."""
+    """The rows of each hot key, and of an average reducer."""
 
-    keys: tuple = ()
-    top_share: float = 0.0
+    rows: Mapping[object, int] = field(default_factory=dict)
+    reducer: float = 1.0
 
+    def fan_out(self, key: object) -> int:
+        """Over how many salts a key is spread: four for each reducer that it would fill."""
+        return max(2, round(4 * self.rows[key] / self.reducer))
 
-def hot_keys(df: DataFrame, key: str, rows: int, min_rows: int) -> HotKeys:
-    """Heavy hitters of one column of a frame of ``rows`` rows.
+    def frame(self, df: DataFrame, key: str) -> DataFrame:
+        """(key, _salts) of the hot keys, typed as in ``df``; at most half as many as reducers."""
+        schema = T.StructType([T.StructField(key, df.schema[key].dataType), T.StructField("_salts", T.IntegerType())])
+        return df.sparkSession.createDataFrame([(k, self.fan_out(k)) for k in self.rows], schema)
 
-    They are counted in a sample of that column. The sample only chooses which keys to
-    treat apart: the joins below return every row, whatever is chosen. At most
-    ``HOT_MAX_KEYS`` keys come back, whatever the data.
+
+def hot_keys(df: DataFrame, key: str, hot_reducers: float = HOT_REDUCERS) -> HotKeys:
+    """Keys of ``df`` with the rows of ``hot_reducers`` average reducers or more.
+
+    All rows are counted, per key inside each task first. No more than the number of shuffle
+    partitions over ``hot_reducers`` keys can be that large, so looking at that many of the
+    largest leaves none out.
     """
-    # a key below this at most doubles an average reducer, or is too small to matter
-    limit = max(min_rows, 2 * rows / _shuffle_partitions(df))
-    fraction = min(1.0, HOT_SAMPLE_ROWS / max(rows, 1))
-    keys = df.select(F.col(key).alias("k")).where(F.col("k").isNotNull())
-    if fraction < 1.0:
-        keys = keys.sample(fraction, seed=1)
-    hot = (
-        keys.groupBy("k")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") >= limit * fraction)
+    partitions = _shuffle_partitions(df)
+    counts = df.select(F.col(key).alias("k")).where(F.col("k").isNotNull()).groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    seen = Observation()
+    largest = (
+        counts.observe(seen, F.coalesce(F.sum("n"), F.lit(0)).alias("rows"))
         .orderBy(F.desc("n"))
-        .limit(HOT_MAX_KEYS)
+        .limit(max(1, int(partitions / hot_reducers)))
         .collect()
     )
-    if not hot:
-        return HotKeys()
-    return HotKeys(tuple(r["k"] for r in hot), min(1.0, hot[0]["n"] / (rows * fraction)))
+    reducer = seen.get["rows"] / partitions
+    return HotKeys({r["k"]: r["n"] for r in largest if r["n"] >= max(2, hot_reducers * reducer)}, max(reducer, 1.0))
 
 
 def split_join(left: DataFrame, right: DataFrame, key: str, hot: HotKeys) -> DataFrame:
@@ -129,29 +114,26 @@ def split_join(left: DataFrame, right: DataFrame, key: str, hot: HotKeys) -> Dat
     measured; all other keys are joined as usual. Both sides are scanned twice, but the
     hot rows are neither shuffled nor sorted.
     """
-    is_hot = F.col(key).isin(list(hot.keys))
-    cold_rows = left.where(~is_hot).join(right.where(~is_hot), key, "inner")
-    hot_rows = left.where(is_hot).join(F.broadcast(right.where(is_hot)), key, "inner")
+    keys = F.broadcast(hot.frame(right, key).select(key))
+    cold_rows = left.join(keys, key, "left_anti").join(right.join(keys, key, "left_anti"), key, "inner")
+    hot_rows = left.join(F.broadcast(right.join(keys, key, "left_semi")), key, "inner")
     return cold_rows.unionByName(hot_rows)
 
 
 def salted_join(left: DataFrame, right: DataFrame, key: str, hot: HotKeys) -> DataFrame:
     """Inner equi-join that spreads the rows of each hot key over several reducers.
 
-    For hot keys with too many matching rows to broadcast. Hot rows of ``left`` get a salt from a hash of the whole row, so a task that is
-    run again after an executor loss gives the same salts. The matching rows of
-    ``right`` are repeated once per salt. All other rows have salt 0 and are neither
-    copied nor moved differently.
+    For hot keys with too many matching rows to broadcast. Hot rows of ``left`` get a salt
+    from a hash of the whole row, so a task that is run again after an executor loss
+    gives the same salts. The matching rows of ``right`` are repeated once per salt of their
+    own key. All other rows have salt 0 and are neither copied nor moved differently.
     """
-    # several salts per reducer, so that salts which hash together stay a small excess
-    fan_out = max(2, round(8 * hot.top_share * _shuffle_partitions(left)))
+    salts = F.broadcast(hot.frame(right, key))
     row_hash = F.xxhash64(*[F.col(c) for c in left.columns])
-    is_hot = F.col(key).isin(list(hot.keys))
-    salted_left = left.withColumn(
-        "_salt", F.when(is_hot, F.pmod(row_hash, F.lit(fan_out)).cast("int")).otherwise(F.lit(0))
-    )
-    salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(fan_out - 1))).otherwise(F.array(F.lit(0)))
-    salted_right = right.withColumn("_salt", F.explode(salts))
+    spread = F.coalesce(F.col("_salts"), F.lit(1))
+    salted_left = left.join(salts, key, "left").withColumn("_salt", F.pmod(row_hash, spread).cast("int")).select(*left.columns, "_salt")
+    every = F.explode(F.sequence(F.lit(0), spread - 1))
+    salted_right = right.join(salts, key, "left").withColumn("_salt", every).select(*right.columns, "_salt")
     return salted_left.join(salted_right, [key, "_salt"], "inner").drop("_salt")
 
 

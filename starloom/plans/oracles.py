@@ -304,6 +304,18 @@ def dropped_rows_sql() -> str:
     )
 
 
+_CITY_RATINGS = """
+SELECT city.city, film.rating, count(*) AS payments, sum(payment.amount) AS paid
+FROM rental JOIN payment USING (rental_id) JOIN inventory USING (inventory_id)
+JOIN film USING (film_id) JOIN cust ON cust.customer_id = payment.customer_id
+JOIN address USING (address_id) JOIN city USING (city_id)
+WHERE rental.return_date IS NULL GROUP BY ALL"""
+
+_SKEWED = """
+SELECT o.o_orderkey, l_partkey, l_linenumber, l_quantity, o_custkey, o_orderstatus FROM lineitem
+JOIN orders o ON o.o_orderkey = CASE WHEN l_returnflag = 'R' THEN 1 ELSE l_orderkey END"""
+
+
 ORACLES: dict[str, str] = {
     **{name: over_sources(sql) for name, sql in TARGETS.items() if name != "fact_sales"},
     "dim_event_date": date_dim_sql("events", "ts"),
@@ -313,7 +325,7 @@ ORACLES: dict[str, str] = {
     "fact_sales_preview": over_sources(
         f"SELECT count(*) AS n FROM ({fact_sql(open_only=True)} LIMIT 10)"
     ),
-    "sql_over_views": over_sources(DIM_STORE),
+    "sql_over_views": over_sources(_CITY_RATINGS),
     "dropped_rows": dropped_rows_sql(),
     "row_counts": row_counts_sql(),
     "check_not_empty": not_empty_sql(),
@@ -323,11 +335,7 @@ ORACLES: dict[str, str] = {
     "check_length": length_sql(),
     "conformed_dim_rental_date": over_targets(_CONFORMED_DATE),
     "conformed_fact_sales": over_targets(_CONFORMED_FACT),
-    "created_table": over_targets(
-        "SELECT customer_key, customer_id, first_name, last_name, email, address, address2, "
-        "coalesce(district, '') AS district, city, country, postal_code, phone, active, "
-        "create_date FROM dim_customer"
-    ),
+    "created_table": over_targets(_CONFORMED_DATE),
     "csv_round_trip": over_targets(_CONFORMED_FACT),
     "csv_round_trip_text": "SELECT doc_id, text, lang, source, n_chars FROM documents",
     "append_new_keys": """
@@ -337,5 +345,15 @@ WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)""",
         "SELECT 'extract' AS sink, count(*) AS n FROM fact_sales "
         "UNION ALL SELECT 'warehouse' AS sink, count(*) AS n FROM fact_sales"
     ),
+    "write_both_rows": over_targets(
+        f"SELECT s.*, k.sink FROM ({_CONFORMED_FACT}) s, (VALUES ('extract'), ('warehouse')) k(sink)"
+    ),
     "load_star_counts": row_counts_sql(open_only=True),
+    "load_star_twice": over_targets(_CONFORMED_FACT),
+    "check_all": " UNION ALL ".join(
+        f"SELECT * FROM ({sql()})"
+        for sql in (not_empty_sql, not_null_sql, length_sql, unique_key_sql, foreign_keys_sql)
+    ),
+    "split_join": _SKEWED,
+    "salted_join": _SKEWED,
 }

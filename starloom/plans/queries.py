@@ -18,8 +18,9 @@ from starloom.operators.dimensions import (
     flatten_geography,
 )
 from starloom.operators.facts import fact_sales
-from starloom.operators.joins import Join, ProbedJoin, dropped_rows
+from starloom.operators.joins import Join, ProbedJoin, dropped_rows, hot_keys, salted_join, split_join
 from starloom.operators.quality import (
+    check_all,
     check_foreign_keys,
     check_length,
     check_not_empty,
@@ -28,9 +29,9 @@ from starloom.operators.quality import (
     row_counts,
 )
 from starloom.plans.standins import given, source_tables
-from starloom.plans.star import JOINING_TABLES, build_star, load_star
+from starloom.plans.star import build_star, load_star
 from starloom.sinks.csv_extract import run_path, write_csv_extract
-from starloom.sinks.load import append_new_keys, write_both
+from starloom.sinks.load import append_new_keys, preview, stage, write_both
 from starloom.sources.files import read_csv_extract
 from starloom.sources.session import shared_folder
 from starloom.sources.views import register_views
@@ -51,10 +52,7 @@ def _run_folder(spark: SparkSession) -> str:
 
 def _star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     s = source_tables(spark, sf_dir)
-    join = ProbedJoin(s, JOINING_TABLES)
-    return build_star(
-        s, open_only=False, join=join, contracts=WIDE, rental_first=join.is_large("rental")
-    )
+    return build_star(s, open_only=False, join=ProbedJoin(), contracts=WIDE)
 
 
 def q_dim_payment_date(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,39 +77,32 @@ def q_dim_rental_date_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_dim_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = source_tables(spark, sf_dir)
-    join = ProbedJoin(s, ["customer", "address", "city"])
+    join = ProbedJoin()
     return dim_customer(s["customer"], _geography(s, join), join)
 
 
 def q_dim_staff(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = source_tables(spark, sf_dir)
-    join = ProbedJoin(s, ["staff", "address", "city"])
+    join = ProbedJoin()
     return dim_staff(s["staff"], _geography(s, join), join)
 
 
 def q_dim_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = source_tables(spark, sf_dir)
-    join = ProbedJoin(s, ["store", "address", "city"])
+    join = ProbedJoin()
     return dim_store(s["store"], s["staff"], _geography(s, join), join)
 
 
 def q_dim_movie(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = source_tables(spark, sf_dir)
-    join = ProbedJoin(s, ["film", "film_category"])
+    join = ProbedJoin()
     return dim_movie(s["film"], s["language"], s["film_category"], s["category"], join)
 
 
 def _fact(spark: SparkSession, sf_dir: str, open_only: bool) -> DataFrame:
     s = source_tables(spark, sf_dir)
-    join = ProbedJoin(s, ["payment", "rental"])
-    return fact_sales(
-        s["payment"],
-        s["rental"],
-        s["inventory"],
-        open_only,
-        join,
-        rental_first=join.is_large("rental"),
-    )
+    join = ProbedJoin()
+    return fact_sales(s["payment"], s["rental"], s["inventory"], open_only, join)
 
 
 def q_fact_sales_open(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,25 +115,48 @@ def q_fact_sales_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_fact_sales_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten-row preview is unordered, so only its size is comparable."""
-    return _fact(spark, sf_dir, open_only=True).limit(10).agg(F.count(F.lit(1)).alias("n"))
+    return preview(_fact(spark, sf_dir, open_only=True)).agg(F.count(F.lit(1)).alias("n"))
 
 
 def q_sql_over_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each city's customers paid for films of each rating on rentals still open."""
     register_views(source_tables(spark, sf_dir), prefix="src_")
     return spark.sql(
         """
-        SELECT s.store_id AS store_key, s.store_id, a.address, a.address2, a.district, ci.city,
-               co.country, a.postal_code, m.first_name AS manager_first_name,
-               m.last_name AS manager_last_name
-        FROM src_store s
-        JOIN src_staff m ON s.manager_staff_id = m.staff_id
-        JOIN src_address a ON s.address_id = a.address_id
-        JOIN src_city ci ON a.city_id = ci.city_id
-        JOIN src_country co ON ci.country_id = co.country_id
+        SELECT t.city, f.rating, count(*) AS payments, sum(p.amount) AS paid
+        FROM src_rental r
+        JOIN src_payment p ON p.rental_id = r.rental_id
+        JOIN src_inventory i ON i.inventory_id = r.inventory_id
+        JOIN src_film f ON f.film_id = i.film_id
+        JOIN src_customer c ON c.customer_id = p.customer_id
+        JOIN src_address a ON a.address_id = c.address_id
+        JOIN src_city t ON t.city_id = a.city_id
+        WHERE r.return_date IS NULL
+        GROUP BY t.city, f.rating
         """
     )
 
 
+def _skewed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Line items with all returned ones on order 1, and the orders."""
+    lines = given(spark, sf_dir, "lineitem").select(
+        F.expr("IF(l_returnflag = 'R', 1L, l_orderkey)").alias("o_orderkey"), "l_partkey", "l_linenumber", "l_quantity"
+    )
+    return lines, given(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+
+
+def q_split_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Returned line items, a third of all, on one order: its rows stay in place."""
+    lines, orders = _skewed(spark, sf_dir)
+    return split_join(lines, orders, "o_orderkey", hot_keys(lines, "o_orderkey", 1.0))
+
+
+def q_salted_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with that order's rows spread by salts."""
+    lines, orders = _skewed(spark, sf_dir)
+    return salted_join(lines, orders, "o_orderkey", hot_keys(lines, "o_orderkey", 1.0))
+
+
 def q_dropped_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = source_tables(spark, sf_dir)
     managers = s["staff"].withColumnRenamed("staff_id", "manager_staff_id")
@@ -189,6 +203,13 @@ def q_check_length(spark: SparkSession, sf_dir: str) -> DataFrame:
     return check_length(_star(spark, sf_dir), WIDE)
 
 
+def q_check_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All checks over one staged star."""
+    folder = _run_folder(spark)
+    staged = {name: stage(df, f"{folder}/{name}") for name, df in _star(spark, sf_dir).items()}
+    return check_all(staged, WIDE)
+
+
 def q_conformed_dim_rental_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(q_dim_rental_date(spark, sf_dir), CONTRACTS["dim_rental_date"])
 
@@ -198,15 +219,15 @@ def q_conformed_fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_created_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Create the customer dimension from its contract, twice, and load it."""
-    contract = WIDE["dim_customer"]
-    name = f"dim_customer_{uuid.uuid4().hex}"
+    """Create a date dimension from its contract, twice, and load it; only its files stay."""
+    contract = WIDE["dim_rental_date"]
+    name = f"dim_rental_date_{uuid.uuid4().hex}"
     location = f"{_run_folder(spark)}/{name}"
     for _ in range(2):
         create_if_absent(spark, contract, name, location)
-    rows = q_dim_customer(spark, sf_dir).withColumn("district", F.coalesce("district", F.lit("")))
-    conform(rows, contract).write.insertInto(name)
-    return spark.table(name)
+    conform(q_dim_rental_date(spark, sf_dir), contract).write.insertInto(name)
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.schema(contract.schema()).parquet(location)
 
 
 def q_csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -237,8 +258,7 @@ def q_append_new_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(orders.schema).parquet(path)
 
 
-def q_write_both_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fact to an extract and to a warehouse folder from one computation."""
+def _both_sinks(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     contract = WIDE["fact_sales"]
     folder = _run_folder(spark)
     extract, warehouse = run_path(folder, contract.table, "1"), f"{folder}/warehouse"
@@ -250,32 +270,57 @@ def q_write_both_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
             lambda df: df.write.mode("append").parquet(warehouse),
         ],
     )
-    return row_counts(
-        {
-            "extract": read_csv_extract(spark, extract, contract.schema()),
-            "warehouse": spark.read.parquet(warehouse),
-        }
-    ).withColumnRenamed("table", "sink")
+    return {
+        "extract": read_csv_extract(spark, extract, contract.schema()),
+        "warehouse": spark.read.parquet(warehouse),
+    }
+
+
+def q_write_both_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact to an extract and to a warehouse folder from one computation."""
+    return row_counts(_both_sinks(spark, sf_dir)).withColumnRenamed("table", "sink")
+
+
+def q_write_both_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of both sinks."""
+    sinks = [df.withColumn("sink", F.lit(name)) for name, df in _both_sinks(spark, sf_dir).items()]
+    return sinks[0].unionByName(sinks[1])
+
+
+def _load(spark: SparkSession, sf_dir: str, folder: str, run_id: str, **choices: object) -> dict[str, DataFrame]:
+    def read_back(name: str) -> DataFrame | None:
+        path = f"{folder}/warehouse/{name}"
+        return spark.read.schema(WIDE[name].schema()).parquet(path) if name in loaded else None
+
+    def warehouse(name: str, df: DataFrame) -> None:
+        df.write.mode("append").parquet(f"{folder}/warehouse/{name}")
+        loaded.add(name)
+
+    loaded: set[str] = set(choices.pop("loaded", ()))
+    return load_star(
+        spark, source_tables(spark, sf_dir), run_id, folder, f"{folder}/extracts", warehouse,
+        contracts=WIDE, read_back=read_back, **choices,
+    )
 
 
 def q_load_star_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole load in its default form; rows per table as the warehouse folder has them."""
+    """The whole load without landing its sources; rows per table as the warehouse folder has them."""
     folder = _run_folder(spark)
-    staged = load_star(
-        spark,
-        source_tables(spark, sf_dir),
-        run_id="1",
-        folder=folder,
-        extract_base=f"{folder}/extracts",
-        warehouse=lambda name, df: df.write.mode("append").parquet(f"{folder}/warehouse/{name}"),
-        land=False,
-        contracts=WIDE,
-    )
+    staged = _load(spark, sf_dir, folder, "1", land=False)
     return row_counts(
         {name: spark.read.parquet(f"{folder}/warehouse/{name}") for name in staged}
     )
 
 
+def q_load_star_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads of landed sources, the second by new keys only; the warehouse's sales."""
+    folder = _run_folder(spark)
+    for run_id in ("1", "2"):
+        loaded = () if run_id == "1" else tuple(WIDE)
+        _load(spark, sf_dir, folder, run_id, new_keys=True, open_only=False, loaded=loaded)
+    return spark.read.parquet(f"{folder}/warehouse/fact_sales")
+
+
 QUERIES: dict[str, Query] = {
     name.removeprefix("q_"): query
     for name, query in list(globals().items())

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from starloom.operators.contracts import CONTRACTS, Contract, conform
@@ -19,9 +20,9 @@ from starloom.operators.dimensions import (
 )
 from starloom.operators.facts import fact_sales
 from starloom.operators.joins import Join, ProbedJoin, declared_join
-from starloom.operators.quality import check_all, require_clean, require_not_empty
+from starloom.operators.quality import CheckFailed, check_all, require_clean, require_not_empty
 from starloom.sinks.csv_extract import run_path, write_csv_extract
-from starloom.sinks.load import stage
+from starloom.sinks.load import append_new_keys, preview, require_loaded, stage
 
 T = TypeVar("T")
 
@@ -68,18 +69,9 @@ SOURCE_COLUMNS: dict[str, tuple[str, ...]] = {
     "film_category": ("film_id", "category_id"),
     "category": ("category_id", "name"),
 }
-# The tables whose row counts decide how joins run; lookups are counted only if need be.
-JOINING_TABLES = (
-    "payment",
-    "rental",
-    "customer",
-    "staff",
-    "store",
-    "address",
-    "city",
-    "film",
-    "film_category",
-)
+
+# The dimensions that hold an address.
+LOCATED = ("dim_customer", "dim_staff", "dim_store")
 
 
 def build_star(
@@ -88,32 +80,41 @@ def build_star(
     join: Join = declared_join,
     contracts: Mapping[str, Contract] = CONTRACTS,
     geography: DataFrame | None = None,
-    rental_first: bool = True,
+    only: Collection[str] | None = None,
 ) -> dict[str, DataFrame]:
-    """The eight conformed tables in load order: date and entity dimensions, then the fact."""
+    """The conformed tables in load order: date and entity dimensions, then the fact.
+
+    ``only`` names those that are wanted; nothing is done for the others.
+    """
     s = sources
-    if geography is None:
+    wanted = _chosen(only)
+    if geography is None and not wanted.isdisjoint(LOCATED):
         geography = flatten_geography(s["address"], s["city"], s["country"], join)
-    tables = {
-        "dim_payment_date": date_dim(s["payment"], "payment_date"),
-        "dim_rental_date": date_dim(s["rental"], "rental_date"),
-        "dim_return_date": date_dim(s["rental"], "return_date"),
-        "dim_customer": dim_customer(s["customer"], geography, join),
-        "dim_movie": dim_movie(
+    builders = {
+        "dim_payment_date": lambda: date_dim(s["payment"], "payment_date"),
+        "dim_rental_date": lambda: date_dim(s["rental"], "rental_date"),
+        "dim_return_date": lambda: date_dim(s["rental"], "return_date"),
+        "dim_customer": lambda: dim_customer(s["customer"], geography, join),
+        "dim_movie": lambda: dim_movie(
             s["film"], s["language"], s["film_category"], s["category"], join
         ),
-        "dim_staff": dim_staff(s["staff"], geography, join),
-        "dim_store": dim_store(s["store"], s["staff"], geography, join),
-        "fact_sales": fact_sales(
+        "dim_staff": lambda: dim_staff(s["staff"], geography, join),
+        "dim_store": lambda: dim_store(s["store"], s["staff"], geography, join),
+        "fact_sales": lambda: fact_sales(
             s["payment"],
             s["rental"],
             s["inventory"],
             open_only,
             join,
-            rental_first=rental_first,
         ),
     }
-    return {name: conform(df, contracts[name]) for name, df in tables.items()}
+    return {name: conform(build(), contracts[name]) for name, build in builders.items() if name in wanted}
+
+
+def _chosen(only: Collection[str] | None) -> set[str]:
+    if unknown := set(only or ()) - set(CONTRACTS):
+        raise ValueError(f"no such table: {', '.join(sorted(unknown))}")
+    return set(CONTRACTS if only is None else only)
 
 
 def land_sources(sources: Mapping[str, DataFrame], folder: str) -> dict[str, DataFrame]:
@@ -138,39 +139,79 @@ def load_star(
     land: bool = True,
     strict: bool = False,
     contracts: Mapping[str, Contract] = CONTRACTS,
+    only: Collection[str] | None = None,
+    read_back: Callable[[str], DataFrame | None] | None = None,
+    new_keys: bool = False,
+    lossless: bool = False,
+    preview_rows: int = 0,
 ) -> dict[str, DataFrame]:
-    """Build, check and load the star; the staged tables come back.
+    """Build, check and load the star, or the tables in ``only``; the staged tables come back.
 
     Every table is staged in ``folder`` first. The extracts and the warehouse are
     written only after the checks: no table may be empty, and with ``strict`` no
-    declared constraint may be broken.
+    declared constraint may be broken. ``preview_rows`` shows that many rows of each.
+
+    ``read_back`` reads a table of the warehouse (None if it is not there yet). With it each
+    table is checked after its load, and ``new_keys`` appends only rows of keys that the
+    warehouse lacks.
+
+    The same ``run_id`` may be repeated after a failure: extracts are replaced, and tables
+    that were loaded to the end are not appended again. A table whose append broke off
+    half-way is appended again, so use ``new_keys`` where a sink can leave part of one.
     """
+    if new_keys and read_back is None:
+        raise ValueError("new_keys needs read_back")
     work = f"{folder.rstrip('/')}/star/{run_id}"
     if land:
         sources = land_sources(sources, f"{work}/sources")
-    join = ProbedJoin(sources, JOINING_TABLES)
-    geography = stage(
-        flatten_geography(sources["address"], sources["city"], sources["country"], join),
-        f"{work}/geography",
-    )
-    tables = build_star(
-        sources, open_only, join, contracts, geography, rental_first=join.is_large("rental")
-    )
+    join = ProbedJoin()
+    geography = None
+    if not _chosen(only).isdisjoint(LOCATED):
+        geography = stage(
+            flatten_geography(sources["address"], sources["city"], sources["country"], join),
+            f"{work}/geography",
+        )
+    tables = build_star(sources, open_only, join, contracts, geography, only)
     staged = _stage_all(tables, f"{work}/tables")
     require_not_empty(staged)
     if strict:
         require_clean(check_all(staged, contracts))
 
     def load(name: str) -> None:
-        write_csv_extract(staged[name], run_path(extract_base, name, run_id))
-        warehouse(name, staged[name])
+        if preview_rows:
+            preview(staged[name], preview_rows)
+        write_csv_extract(staged[name], run_path(extract_base, name, run_id), lossless, replace=True)
+        done = f"{work}/loaded/{name}"
+        if not _exists(spark, done):
+            existing = read_back(name) if new_keys else None
+            if existing is None:
+                warehouse(name, staged[name])
+            else:
+                append_new_keys(staged[name], existing, contracts[name].key, lambda df: warehouse(name, df))
+            spark.range(1).write.mode("overwrite").parquet(done)
+        if read_back is not None:
+            loaded = read_back(name)
+            if loaded is None:
+                raise CheckFailed(f"table {name} is not in the warehouse after the load")
+            require_loaded(name, staged[name], loaded, contracts[name].key)
 
     # the fact refers to the dimensions, which do not refer to each other
     _side_by_side(load, [name for name in staged if name != "fact_sales"])
-    load("fact_sales")
+    if "fact_sales" in staged:
+        load("fact_sales")
     return staged
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether a mark was written to the end."""
+    try:
+        return not spark.read.schema("id bigint").parquet(path).isEmpty()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+
+
 def _stage_all(frames: Mapping[str, DataFrame], folder: str) -> dict[str, DataFrame]:
     names = list(frames)
     staged = _side_by_side(lambda name: stage(frames[name], f"{folder}/{name}"), names)

@@ -1,6 +1,6 @@
 from starloom.sinks.csv_extract import run_path, write_csv_extract
 from starloom.sinks.jdbc import append_jdbc, jdbc_appender
-from starloom.sinks.load import append_new_keys, new_rows, preview, stage, write_both
+from starloom.sinks.load import append_new_keys, new_rows, preview, require_loaded, stage, write_both
 
 __all__ = [
     "append_jdbc",
@@ -8,6 +8,7 @@ __all__ = [
     "jdbc_appender",
     "new_rows",
     "preview",
+    "require_loaded",
     "run_path",
     "stage",
     "write_both",

@@ -18,11 +18,15 @@ def run_path(base: str, table: str, run_id: str | int) -> str:
 
 
 def write_csv_extract(
-    df: DataFrame, path: str, lossless: bool = False, rows_per_file: int = ROWS_PER_FILE
+    df: DataFrame,
+    path: str,
+    lossless: bool = False,
+    rows_per_file: int = ROWS_PER_FILE,
+    replace: bool = False,
 ) -> None:
-    """Write an extract with header; an existing path raises."""
+    """Write an extract with header; an existing path raises, or is replaced on demand."""
     (
         df.write.options(maxRecordsPerFile=rows_per_file, **dialect_options(lossless))
-        .mode("errorifexists")
+        .mode("overwrite" if replace else "errorifexists")
         .csv(path)
     )

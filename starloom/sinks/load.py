@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.joins import LARGE_ROWS, hot_keys
+from starloom.operators.quality import CheckFailed
 
 
 def preview(df: DataFrame, rows: int = 10) -> DataFrame:
@@ -37,25 +37,13 @@ def write_both(df: DataFrame, staging_path: str, sinks: Iterable[Callable[[DataF
     return staged
 
 
-def new_rows(
-    new: DataFrame, existing: DataFrame, key: str, hot: Sequence[object] = ()
-) -> DataFrame:
+def new_rows(new: DataFrame, existing: DataFrame, key: str) -> DataFrame:
     """Rows of ``new`` whose key the target lacks; repeated keys inside ``new`` stay.
 
-    The keys of the target are made distinct before the join, which combines a
-    repeated key inside each task. Rows on the few ``hot`` keys need no join: the hot
-    keys that the target has, at most as many as were given, become a plain filter.
+    The keys of the target are made distinct before the join, which combines a repeated key
+    inside each task; rows of a key that ``new`` repeats are split by AQE.
     """
-    known = existing.select(key).distinct()
-    if not hot:
-        return new.join(known, key, "left_anti")
-    is_hot = F.coalesce(F.col(key).isin(list(hot)), F.lit(False))
-    present = [row[0] for row in known.where(is_hot).collect()]
-    return (
-        new.where(~is_hot)
-        .join(known, key, "left_anti")
-        .unionByName(new.where(is_hot & ~F.col(key).isin(present)))
-    )
+    return new.join(existing.select(key).distinct(), key, "left_anti")
 
 
 def append_new_keys(
@@ -66,8 +54,17 @@ def append_new_keys(
     The target is read between the smallest and largest new key only; that filter
     is pushed into its scan. ``new`` is read more than once, so pass a staged frame.
     """
-    lowest, highest, rows = new.agg(F.min(key), F.max(key), F.count(F.lit(1))).first()
+    lowest, highest = new.agg(F.min(key), F.max(key)).first()
     if lowest is not None:
         existing = existing.where(F.col(key).between(lowest, highest))
-    hot = hot_keys(new, key, rows, LARGE_ROWS).keys if rows >= LARGE_ROWS else ()
-    append(new_rows(new, existing, key, hot))
+    append(new_rows(new, existing, key))
+
+
+def require_loaded(table: str, staged: DataFrame, loaded: DataFrame, key: str) -> None:
+    """Raise unless the target has, of every key, at least the rows that were to be loaded."""
+    wanted = staged.groupBy(F.col(key).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    found = loaded.groupBy(F.col(key).alias("k")).agg(F.count(F.lit(1)).alias("m"))
+    short = wanted.alias("w").join(found.alias("f"), F.expr("w.k <=> f.k"), "left")
+    missing = short.agg(F.coalesce(F.sum(F.greatest(F.col("n") - F.coalesce("m", F.lit(0)), F.lit(0))), F.lit(0))).first()[0]
+    if missing:
+        raise CheckFailed(f"table {table} lacks {missing} rows after the load")

@@ -13,7 +13,9 @@ def read_csv_extract(
 ) -> DataFrame:
     """Read an extract written with the same ``lossless`` flag; no schema is inferred.
 
-    A quoted newline needs ``multiLine``, so each file is read by one task; the
-    writer's ``rows_per_file`` bounds a file's size.
+    A quoted newline needs ``multiLine``, so where a column is text each file is read by one
+    task, and the writer's ``rows_per_file`` bounds a file's size. Files without text are
+    split as usual.
     """
-    return spark.read.schema(schema).options(multiLine=True, **dialect_options(lossless)).csv(path)
+    text = any(isinstance(f.dataType, T.StringType) for f in schema.fields)
+    return spark.read.schema(schema).options(multiLine=text, **dialect_options(lossless)).csv(path)

@@ -37,27 +37,21 @@ def plan(df):
 
 def test_hot_keys_finds_the_heavy_hitter_only(skewed):
     left, _ = skewed
-    hot = hot_keys(left, "k", left.count(), min_rows=1_000)
-    assert hot.keys == (7,)
-    assert hot.top_share == pytest.approx(1 / 3, abs=0.01)
+    hot = hot_keys(left, "k")
+    assert dict(hot.rows) == {7: left.where("k = 7").count()}
+    assert hot.reducer == pytest.approx(29_998 / 8)
 
 
-def test_hot_keys_in_a_sample(skewed, monkeypatch):
+def test_hot_keys_of_nothing_and_of_even_data(skewed, spark):
     left, _ = skewed
-    monkeypatch.setattr(joins, "HOT_SAMPLE_ROWS", 6_000)
-    hot = hot_keys(left, "k", 30_000, min_rows=1_000)
-    assert hot.keys == (7,)
-    assert hot.top_share == pytest.approx(1 / 3, abs=0.05)
+    assert not hot_keys(left.limit(0), "k").rows
+    assert not hot_keys(spark.range(20_000).select((F.col("id") % 1_000).alias("k")), "k").rows
 
 
-def test_hot_keys_of_nothing(skewed):
-    left, _ = skewed
-    assert hot_keys(left.limit(0), "k", 0, min_rows=1_000) == HotKeys()
-
-
-def test_hot_keys_of_even_data_are_none(spark):
-    df = spark.range(20_000).select((F.col("id") % 1_000).alias("k"))
-    assert hot_keys(df, "k", 20_000, min_rows=1_000) == HotKeys()
+def test_hot_keys_are_not_capped(spark):
+    df = spark.range(8_000).select((F.col("id") % 4).alias("k"))
+    assert len(hot_keys(df, "k").rows) == 4
+    assert len(hot_keys(df, "k", hot_reducers=0.5).rows) == 4
 
 
 @pytest.mark.parametrize("data_type", ["int", "smallint", "string", "decimal(12,0)", "date"])
@@ -65,47 +59,62 @@ def test_hot_keys_of_other_types(spark, data_type):
     key = F.when(F.col("id") % 2 == 0, 5).otherwise(F.col("id") % 1_000).cast("int")
     key = F.date_add(F.lit("2000-01-01").cast("date"), key) if data_type == "date" else key.cast(data_type)
     df = spark.range(20_000).select(key.alias("k"))
-    hot = hot_keys(df, "k", 20_000, min_rows=1_000)
-    assert len(hot.keys) == 1
-    joined = salted_join(df.withColumn("n", F.lit(1)), df.select("k").distinct(), "k", hot)
-    assert joined.count() == 20_000
+    hot = hot_keys(df, "k")
+    assert len(hot.rows) == 1
+    for join in (salted_join, split_join):
+        assert join(df.withColumn("n", F.lit(1)), df.select("k").distinct(), "k", hot).count() == 20_000
 
 
-def test_salted_join_gives_the_declared_rows(skewed, rows):
-    left, right = skewed
-    hot = HotKeys((7, 11, 123_456), 0.33)
-    salted = salted_join(left, right, "k", hot)
-    declared = declared_join(left, right, "k", "left", "right")
-    assert salted.columns == declared.columns
-    assert rows(salted) == rows(declared)
+HOT = HotKeys({7: 10_000, 11: 600, 123_456: 300}, 300)
+
+
+def test_each_key_has_its_own_fan_out(skewed):
+    assert [HOT.fan_out(k) for k in HOT.rows] == [133, 8, 4]
+    _, right = skewed
+    salts = {r["k"]: r["_salts"] for r in HOT.frame(right, "k").collect()}
+    assert salts == {7: 133, 11: 8, 123_456: 4}
 
 
-def test_salted_join_spreads_the_hot_key(skewed, spark):
+@pytest.mark.parametrize("join", [salted_join, split_join])
+def test_hot_joins_give_the_declared_rows(skewed, rows, join):
     left, right = skewed
+    joined, declared = join(left, right, "k", HOT), declared_join(left, right, "k")
+    assert sorted(joined.columns) == sorted(declared.columns)
+    assert rows(joined.select(declared.columns)) == rows(declared)
+
+
+@pytest.fixture
+def plain_shuffles(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        largest = []
-        for df in (
-            declared_join(left, right, "k", "left", "right"),
-            salted_join(left, right, "k", HotKeys((7,), 1 / 3)),
-        ):
-            per_task = df.where("k = 7").groupBy(F.spark_partition_id()).count()
-            largest.append(per_task.agg(F.max("count")).first()[0])
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.enabled")
-    whole, spread = largest
-    assert whole > 20_000
-    assert spread < whole / 2
-
-
-def test_split_join_gives_the_declared_rows(skewed, rows):
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def largest_part(df):
+    return df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+
+
+def test_salts_spread_the_hot_key(skewed, plain_shuffles):
     left, right = skewed
-    split = split_join(left, right, "k", HotKeys((7, 11, 123_456), 0.33))
-    declared = declared_join(left, right, "k", "left", "right")
-    assert split.columns == declared.columns
-    assert rows(split) == rows(declared)
+    whole = largest_part(declared_join(left, right, "k").where("k = 7"))
+    spread = largest_part(salted_join(left, right, "k", hot_keys(left, "k")).where("k = 7"))
+    assert whole > 20_000 and spread < whole / 2
+
+
+def test_a_third_of_the_payments_on_one_item_stays_spread(spark, plain_shuffles):
+    """The fact's second join is measured on payments, not on the rentals behind them."""
+    payment = spark.range(20_000).selectExpr(
+        "CAST(id AS INT) AS payment_id", "CAST(1 AS SMALLINT) AS customer_id", "CAST(1 AS SMALLINT) AS staff_id",
+        "CAST(IF(id % 3 = 0, 5, id % 900) AS INT) AS rental_id", "CAST(1 AS DECIMAL(12,2)) AS amount", "TIMESTAMP '2005-05-24' AS payment_date",
+    )
+    rental = spark.range(900).selectExpr("CAST(id AS INT) AS rental_id", "CAST(id AS INT) AS inventory_id", "TIMESTAMP '2005-05-24' AS rental_date", "CAST(NULL AS TIMESTAMP) AS return_date")
+    inventory = spark.range(900).selectExpr("CAST(id AS INT) AS inventory_id", "CAST(1 AS SMALLINT) AS store_id", "CAST(1 AS SMALLINT) AS film_id")
+    for rows in (100, 0):  # hot partners broadcast, or salted
+        df = fact_sales(payment, rental, inventory, join=ProbedJoin(broadcast_rows=rows))
+        assert df.count() == 20_000
+        assert largest_part(df) < 20_000 / 3
 
 
 def test_is_small_by_rows_and_by_bytes(spark, monkeypatch):
@@ -125,72 +134,42 @@ def test_is_small_by_rows_and_by_bytes(spark, monkeypatch):
     assert not small(arrays, max_bytes=40_000)
 
 
-def probed(left, right, monkeypatch, **limits):
-    for name, value in limits.items():
-        monkeypatch.setattr(joins, name, value)
-    return ProbedJoin({"left": left, "right": right})(left, right, "k", "left", "right")
-
-
-def test_probed_join_leaves_a_small_left_side_alone(skewed, rows, monkeypatch):
+def test_probed_join_broadcasts_a_measured_lookup(skewed, rows, plain_shuffles):
     left, right = skewed
-    df = probed(left, right, monkeypatch)
-    assert "_salt" not in plan(df)
-    assert rows(df) == rows(declared_join(left, right, "k", "left", "right"))
+    df = ProbedJoin()(left, right, "k")
+    assert "BroadcastHashJoin" in plan(df)
+    assert rows(df) == rows(declared_join(left, right, "k"))
 
 
-def test_probed_join_broadcasts_a_measured_lookup(skewed, rows, monkeypatch, spark):
+def test_probed_join_splits_hot_keys_off(skewed, rows, plain_shuffles):
     left, right = skewed
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        df = probed(left, right, monkeypatch, LARGE_ROWS=10_000)
-        assert "BroadcastHashJoin" in plan(df)
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert rows(df) == rows(declared_join(left, right, "k", "left", "right"))
-
-
-def test_probed_join_splits_hot_keys_off(skewed, rows, monkeypatch, spark):
-    left, right = skewed
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        df = probed(left, right, monkeypatch, LARGE_ROWS=5_000, BROADCAST_MAX_ROWS=100)
-        text = plan(df)
-        assert "Union" in text and "BroadcastHashJoin" in text and "SortMergeJoin" in text
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert rows(df) == rows(declared_join(left, right, "k", "left", "right"))
+    df = ProbedJoin(broadcast_rows=100)(left, right, "k")
+    text = plan(df)
+    assert "Union" in text and "BroadcastHashJoin" in text and "SortMergeJoin" in text
+    assert rows(df) == rows(declared_join(left, right, "k"))
 
 
-def test_probed_join_salts_when_the_partners_are_many(skewed, rows, monkeypatch):
+def test_probed_join_salts_when_the_partners_are_many(skewed, rows):
     left, right = skewed
-    df = probed(left, right, monkeypatch, LARGE_ROWS=5_000, BROADCAST_MAX_ROWS=1)
+    df = ProbedJoin(broadcast_rows=1)(left, right, "k")
     assert "_salt" in plan(df)
-    assert rows(df) == rows(declared_join(left, right, "k", "left", "right"))
+    assert rows(df) == rows(declared_join(left, right, "k"))
 
 
-def test_probed_join_without_hot_keys_is_plain(spark, monkeypatch):
+def test_probed_join_without_hot_keys_is_plain(spark):
     left = spark.range(20_000).withColumnRenamed("id", "k")
-    df = probed(left, left, monkeypatch, LARGE_ROWS=10_000, BROADCAST_MAX_ROWS=100)
+    df = ProbedJoin(broadcast_rows=100)(left, left, "k")
     assert "_salt" not in plan(df) and "Union" not in plan(df)
     assert df.count() == 20_000
 
 
-def test_fact_is_the_same_under_every_join(sources, rows, monkeypatch):
+def test_fact_is_the_same_under_every_join(sources, rows):
     s = sources
     expected = rows(fact_sales(s["payment"], s["rental"], s["inventory"], open_only=False))
-    monkeypatch.setattr(joins, "LARGE_ROWS", 1)
     for bound in (100, 1, 0):
-        monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", bound)
-        for rental_first in (True, False):
-            df = fact_sales(
-                s["payment"],
-                s["rental"],
-                s["inventory"],
-                open_only=False,
-                join=ProbedJoin(s),
-                rental_first=rental_first,
-            )
-            assert rows(df) == expected
+        for hot in (2.0, 0.1):
+            join = ProbedJoin(broadcast_rows=bound, hot_reducers=hot)
+            assert rows(fact_sales(s["payment"], s["rental"], s["inventory"], open_only=False, join=join)) == expected
 
 
 def test_dropped_rows(sources, spark):

@@ -5,7 +5,8 @@ import pytest
 from starloom.operators.contracts import CONTRACTS
 from starloom.operators.dimensions import date_dim
 from starloom.operators.facts import fact_sales
-from starloom.operators.quality import check_foreign_keys
+from starloom.operators.quality import check_foreign_keys, check_not_empty
+from starloom.plans.queries import q_fact_sales_all
 from starloom.plans.star import build_star
 from starloom.plans.standins import source_tables
 
@@ -57,12 +58,35 @@ def test_date_dim_shuffles_one_date_column(given_sources):
     assert "IsNotNull(o_orderdate)" in text
 
 
+def scans(df, column):
+    """Scan nodes of the plan that read ``column``; nodes of the tree, so long paths cut nothing off."""
+    def nodes(node):
+        yield node
+        children = node.children()
+        for i in range(children.size()):
+            yield from nodes(children.apply(i))
+
+    root = df._jdf.queryExecution().sparkPlan()
+    found = [n for n in nodes(root) if n.nodeName().startswith("Scan")]
+    return sum(column in [n.schema().apply(i).name() for i in range(n.schema().size())] for n in found)
+
+
 def test_foreign_keys_scan_the_fact_once(spark, sources, tmp_path):
     star = build_star(sources)
-    star["fact_sales"].write.parquet(f"{tmp_path}/fact")
-    frames = {**star, "fact_sales": spark.read.parquet(f"{tmp_path}/fact")}
-    text = plan(check_foreign_keys(frames, CONTRACTS))
-    assert text.count(f"{tmp_path}/fact") == 1
+    folder = tmp_path / ("long" * 30)
+    star["fact_sales"].write.parquet(f"{folder}/fact")
+    frames = {**star, "fact_sales": spark.read.parquet(f"{folder}/fact")}
+    assert scans(check_foreign_keys(frames, CONTRACTS), "movie_key") == 1
+
+
+def test_registered_fact_query_broadcasts_what_it_measured(spark, no_broadcast):
+    df = q_fact_sales_all(spark, SF_DIR)
+    assert plan(df).count("BroadcastHashJoin") == 2 and scans(df, "l_orderkey") == 1
+
+
+def test_not_empty_stops_at_the_first_row(given_sources):
+    text = plan(check_not_empty({"payment": given_sources["payment"]}))
+    assert "Limit" in text
 
 
 def test_no_python_and_no_cross_join_in_any_plan(given_sources):

@@ -4,6 +4,7 @@ from decimal import Decimal as D
 import pytest
 
 from starloom.operators.contracts import CONTRACTS
+from starloom.operators.quality import CheckFailed
 from starloom.plans.star import build_star
 from starloom.sinks import (
     append_jdbc,
@@ -11,12 +12,12 @@ from starloom.sinks import (
     jdbc_appender,
     new_rows,
     preview,
+    require_loaded,
     run_path,
     stage,
     write_both,
     write_csv_extract,
 )
-from starloom.sinks import load
 from starloom.sources import JdbcConnection, read_csv_extract
 
 TEXTS = [
@@ -93,24 +94,12 @@ def test_new_rows(spark, rows):
     assert rows(new_rows(new, existing, "k")) == [(2, "b"), (3, "c"), (3, "d")]
 
 
-def test_new_rows_on_hot_keys_are_the_same(spark, rows):
-    new = spark.createDataFrame(
-        [(1, "a"), (2, "b"), (2, "c"), (3, "d"), (None, "e")], "k int, v string"
-    )
-    existing = spark.createDataFrame([(1,), (1,), (9,)], "k int")
-    expected = rows(new_rows(new, existing, "k"))
-    assert expected == rows(new_rows(new, existing, "k", hot=[1, 2]))
-    assert expected == rows(new_rows(new, existing.limit(0), "k", hot=[2]).where("v <> 'a'"))
-
-
-def test_append_new_keys_takes_hot_keys_off_the_join(spark, monkeypatch):
-    new = spark.range(4_000).selectExpr("IF(id % 2 = 0, 7, id) AS k", "id")
-    existing = spark.range(10, 2_000).withColumnRenamed("id", "k")
-    monkeypatch.setattr(load, "LARGE_ROWS", 1_000)
-    got = []
-    append_new_keys(new, existing, "k", got.append)
-    assert "Union" in got[0]._jdf.queryExecution().executedPlan().toString()
-    assert got[0].count() == new_rows(new, existing, "k").count() == 2_000 + 5 + 1_000
+def test_require_loaded_counts_rows_per_key(spark):
+    staged = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k int")
+    require_loaded("t", staged, staged.union(staged.limit(1)), "k")
+    for lost in (staged.where("k = 1"), staged.distinct(), staged.limit(0)):
+        with pytest.raises(CheckFailed, match="table t lacks"):
+            require_loaded("t", staged, lost, "k")
 
 
 def test_append_new_keys_makes_a_second_load_harmless(spark, rows, tmp_path):

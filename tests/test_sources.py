@@ -118,7 +118,10 @@ class Session:
 def test_shared_folder_is_required_on_a_cluster():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_folder(Session(**{"spark.master": "yarn"}))
-    assert shared_folder(Session(**{"spark.master": "local[2]"}))
+    local = Session(**{"spark.master": "local[2]", "spark.sql.warehouse.dir": "file:/w/"})
+    assert shared_folder(local) == "file:/w/starloom-work"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Session(**{"spark.master": "local-cluster[2,1,1024]"}))
     assert shared_folder(Session(**{"spark.checkpoint.dir": "hdfs:///work/"})) == "hdfs:///work"
 
 

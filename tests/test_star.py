@@ -90,3 +90,64 @@ def test_strict_load_stops_on_a_broken_constraint(spark, sources, tmp_path):
     clean["staff"] = clean["staff"].withColumn("address_id", clean["staff"]["address_id"] * 0 + 1)
     staged, _ = run(spark, clean, tmp_path, run_id="2", strict=True)
     assert staged["fact_sales"].count() == 1
+
+
+class Warehouse:
+    """Parquet folders; ``breaks`` names a table whose append fails, ``loses`` one that drops rows."""
+
+    def __init__(self, spark, path, breaks=None, loses=None):
+        self.spark, self.path, self.breaks, self.loses, self.appends = spark, path, breaks, loses, []
+
+    def append(self, name, df):
+        if name == self.breaks:
+            raise OSError(f"{name} failed")
+        self.appends.append(name)
+        df.limit(1 if name == self.loses else 1_000_000).write.mode("append").parquet(f"{self.path}/{name}")
+
+    def read(self, name):
+        if name not in self.appends:
+            return None
+        return self.spark.read.parquet(f"{self.path}/{name}")
+
+
+def load(spark, sources, tmp_path, warehouse, run_id="1", **kw):
+    return load_star(
+        spark, sources, run_id, f"{tmp_path}/work", f"{tmp_path}/extracts", warehouse.append, read_back=warehouse.read, **kw
+    )
+
+
+@pytest.mark.parametrize("breaks", ["fact_sales", "dim_store"])
+def test_a_failed_load_is_finished_by_the_same_run(spark, sources, rows, tmp_path, breaks):
+    warehouse = Warehouse(spark, tmp_path / "w", breaks=breaks)
+    with pytest.raises(OSError, match=breaks):
+        load(spark, sources, tmp_path, warehouse)
+    warehouse.breaks = None
+    load(spark, sources, tmp_path, warehouse)
+    load(spark, sources, tmp_path, warehouse)
+    assert sorted(warehouse.appends) == sorted(CONTRACTS)
+    for name, df in build_star(sources).items():
+        assert rows(warehouse.read(name)) == rows(df)
+
+
+def test_a_new_run_by_new_keys_adds_only_them(spark, sources, rows, tmp_path):
+    warehouse = Warehouse(spark, tmp_path / "w")
+    load(spark, {**sources, "payment": sources["payment"].where("payment_id = 1")}, tmp_path, warehouse, new_keys=True)
+    load(spark, sources, tmp_path, warehouse, run_id="2", new_keys=True)
+    for name in ("fact_sales", "dim_customer", "dim_movie"):
+        assert rows(warehouse.read(name)) == rows(build_star(sources)[name])
+    with pytest.raises(ValueError, match="read_back"):
+        load_star(spark, sources, "3", f"{tmp_path}/work", f"{tmp_path}/x", warehouse.append, new_keys=True)
+
+
+def test_lost_rows_are_noticed_and_named(spark, sources, tmp_path):
+    with pytest.raises(CheckFailed, match="fact_sales lacks 2 rows"):
+        load(spark, sources, tmp_path, Warehouse(spark, tmp_path / "w", loses="fact_sales"))
+
+
+def test_single_tables(spark, sources, tmp_path, capfd):
+    warehouse = Warehouse(spark, tmp_path / "w")
+    staged = load(spark, sources, tmp_path, warehouse, only=["dim_rental_date", "dim_store"], preview_rows=1, lossless=True)
+    assert set(staged) == set(warehouse.appends) == {"dim_rental_date", "dim_store"}
+    assert "store_key" in capfd.readouterr().out
+    with pytest.raises(ValueError, match="dim_nothing"):
+        build_star(sources, only=["dim_nothing"])
