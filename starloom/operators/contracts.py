@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,6 +55,20 @@ class Contract:
         """Value of the ``createTableColumnTypes`` option: only the text with a length."""
         return ", ".join(f"{f.name} {f.type}" for f in self.fields if f.length)
 
+    def warehouse_ddl(self, types: Mapping[str, str] | None = None) -> str:
+        """CREATE TABLE text for a relational warehouse, with NOT NULL and both kinds of keys.
+
+        ``types`` gives a dialect's names of Spark's types; ``WAREHOUSE_TYPES`` is the
+        default. A referenced table must be created first: ``CONTRACTS`` is in such an order.
+        """
+        names = WAREHOUSE_TYPES if types is None else types
+        columns = [
+            f"{f.name} {names.get(f.type, f.type)}{'' if f.nullable else ' NOT NULL'}" for f in self.fields
+        ]
+        keys = [f"PRIMARY KEY ({self.key})"]
+        keys += [f"FOREIGN KEY ({c}) REFERENCES {t} ({CONTRACTS[t].key})" for c, t in self.references]
+        return f"CREATE TABLE IF NOT EXISTS {self.table} ({', '.join(columns + keys)})"
+
     def widened(self) -> Contract:
         """The same contract with 64-bit keys and ids.
 
@@ -71,6 +86,9 @@ class Contract:
         return Contract(self.table, self.key, fields, self.references)
 
 
+# A warehouse's names of types, where they differ from Spark's.
+WAREHOUSE_TYPES = {"string": "text", "int": "integer", "tinyint": "smallint", "double": "double precision"}
+
 # Column names, types, lengths and nullability of the targets.
 _PERSON = (
     Field("first_name", "varchar(45)", False),
@@ -186,7 +204,12 @@ CONTRACTS: dict[str, Contract] = {
 
 
 def conform(df: DataFrame, contract: Contract) -> DataFrame:
-    """Select, cast and order the columns as declared; a value that does not fit raises."""
+    """Select, cast and order the columns as declared; a value that does not fit raises.
+
+    Only an ANSI session raises instead of casting to NULL, so another one is refused.
+    """
+    if df.sparkSession.conf.get("spark.sql.ansi.enabled") != "true":
+        raise ValueError("conform needs spark.sql.ansi.enabled")
     return df.selectExpr(
         *[f"CAST(`{f.name}` AS {f.spark_type}) AS `{f.name}`" for f in contract.fields]
     )

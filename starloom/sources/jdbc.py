@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,20 +41,28 @@ def read_jdbc_table(
     spark: SparkSession,
     connection: JdbcConnection,
     table: str,
-    key_range: KeyRange | None = None,
+    split: KeyRange | Sequence[str] | None = None,
     fetch_size: int = 10_000,
+    single_task: bool = False,
 ) -> DataFrame:
-    """A whole table; without a key range it is read by one task.
+    """A whole table, by the strides of a ``KeyRange`` or by one task per predicate.
 
+    Without either the table would be read by one task; ``single_task`` says so on purpose.
     Column pruning, filters and counts are pushed into the database by Spark.
     """
+    if split is None and not single_task:
+        raise ValueError(f"give a key range or predicates for {table}, or single_task=True")
+    if isinstance(split, Sequence):
+        properties = connection.options(fetchsize=fetch_size)
+        url = properties.pop("url")
+        return spark.read.jdbc(url, table, predicates=list(split), properties=properties)
     extra: dict[str, object] = {"dbtable": table, "fetchsize": fetch_size}
-    if key_range is not None:
+    if split is not None:
         extra.update(
-            partitionColumn=key_range.column,
-            lowerBound=key_range.lower,
-            upperBound=key_range.upper,
-            numPartitions=key_range.partitions,
+            partitionColumn=split.column,
+            lowerBound=split.lower,
+            upperBound=split.upper,
+            numPartitions=split.partitions,
         )
     return spark.read.format("jdbc").options(**connection.options(**extra)).load()
 
@@ -63,13 +72,13 @@ def key_range(
     connection: JdbcConnection,
     table: str,
     column: str,
+    max_tasks: int,
     rows_per_task: int = 1_000_000,
-    max_tasks: int = 256,
 ) -> KeyRange | None:
-    """Bounds and task count for a partitioned read, from one aggregate in the database.
+    """Bounds and task count for a read in even strides, from one aggregate in the database.
 
-    ``max_tasks`` is the number of connections the database may see at once. None is
-    returned for an empty table.
+    ``max_tasks`` is the number of connections the database may see at once; with more rows
+    than that many tasks' worth, tasks grow. None is returned for an empty table.
     """
     query = f"SELECT MIN({column}) AS lo, MAX({column}) AS hi, COUNT(*) AS n FROM {table}"
     # drivers differ in the case of unquoted names, so the row is read by position
@@ -80,3 +89,23 @@ def key_range(
         return None
     tasks = min(max_tasks, max(1, -(-int(rows) // rows_per_task)))
     return KeyRange(column, lower, upper, tasks)
+
+
+def key_predicates(
+    spark: SparkSession, connection: JdbcConnection, table: str, column: str, tasks: int
+) -> list[str]:
+    """Predicates that cut a table by the quantiles of a numeric column, for clustered or gappy keys.
+
+    The database ranks the column once. Each row, also one whose key is NULL, fits one
+    predicate; a key with more rows than a task's share gets one of its own.
+    """
+    query = (
+        f"SELECT MAX(k) AS hi FROM (SELECT {column} AS k, NTILE({tasks}) OVER (ORDER BY {column}) AS part "
+        f"FROM {table} WHERE {column} IS NOT NULL) q GROUP BY part"
+    )
+    found = spark.read.format("jdbc").options(**connection.options(query=query)).load().collect()
+    cuts = sorted({row[0] for row in found})[:-1]
+    if not cuts:
+        return ["1 = 1"]
+    between = [f"{column} > {a} AND {column} <= {b}" for a, b in zip(cuts, cuts[1:])]
+    return [f"{column} <= {cuts[0]} OR {column} IS NULL", *between, f"{column} > {cuts[-1]}"]

@@ -89,3 +89,35 @@ def test_create_if_absent_twice_and_enforce_lengths(spark, sources, tmp_path):
     with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH"):
         long_district.write.insertInto("contract_dim_store")
     spark.sql("DROP TABLE contract_dim_store")
+
+
+def test_warehouse_ddl_has_keys_types_and_nullability():
+    for name, contract in CONTRACTS.items():
+        text = contract.warehouse_ddl()
+        assert text.startswith(f"CREATE TABLE IF NOT EXISTS {name} (") and f"PRIMARY KEY ({contract.key})" in text
+        assert text.count(" NOT NULL") == sum(not f.nullable for f in contract.fields)
+        assert " string" not in text and text.count("FOREIGN KEY") == len(contract.references)
+    fact = CONTRACTS["fact_sales"].warehouse_ddl({"int": "INT4"})
+    assert "sales_key INT4 NOT NULL" in fact
+    assert "FOREIGN KEY (movie_key) REFERENCES dim_movie (movie_key)" in fact
+    order = list(CONTRACTS)
+    assert all(order.index(t) < order.index(c.table) for c in CONTRACTS.values() for _, t in c.references)
+
+
+def test_warehouse_ddl_is_sql():
+    import duckdb
+
+    con = duckdb.connect()
+    # An engine that also wants each referenced column to be a key of its own table.
+    for contract in CONTRACTS.values():
+        con.execute(contract.warehouse_ddl())
+        con.execute(contract.warehouse_ddl())
+
+
+def test_conform_refuses_a_session_that_casts_to_null(spark):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(ValueError, match="ansi"):
+            conform(spark.range(1), CONTRACTS["dim_rental_date"])
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")

@@ -4,6 +4,7 @@ from starloom.plans.star import SOURCE_COLUMNS
 from starloom.sources import (
     JdbcConnection,
     KeyRange,
+    key_predicates,
     key_range,
     object_store_conf,
     read_jdbc_table,
@@ -39,10 +40,19 @@ class FakeSession:
     def first(self):
         return self.row
 
+    def collect(self):
+        return self.row
+
+    def jdbc(self, url, table, predicates, properties):
+        self.used["jdbc"] = (url, table, predicates, properties)
+        return self
+
 
 def test_whole_table_read():
     session = FakeSession()
-    read_jdbc_table(session, SOURCE, "customer")
+    with pytest.raises(ValueError, match="single_task"):
+        read_jdbc_table(session, SOURCE, "customer")
+    read_jdbc_table(session, SOURCE, "customer", single_task=True)
     assert session.used == {
         "format": "jdbc",
         "options": {
@@ -70,7 +80,7 @@ def test_partitioned_read():
 
 def test_key_range_sizes_the_read():
     session = FakeSession((5, 9_000_000, 2_500_001))
-    assert key_range(session, SOURCE, "payment", "payment_id") == KeyRange(
+    assert key_range(session, SOURCE, "payment", "payment_id", 64) == KeyRange(
         "payment_id", 5, 9_000_000, 3
     )
     assert "MIN(payment_id)" in session.used["options"]["query"]
@@ -80,7 +90,19 @@ def test_key_range_sizes_the_read():
 
 
 def test_key_range_of_an_empty_table():
-    assert key_range(FakeSession((None, None, 0)), SOURCE, "payment", "payment_id") is None
+    assert key_range(FakeSession((None, None, 0)), SOURCE, "payment", "payment_id", 64) is None
+
+
+def test_predicates_cut_at_quantiles_and_leave_no_row_out(spark):
+    session = FakeSession([(30,), (10,), (20,), (20,), (1_000_000,)])
+    parts = key_predicates(session, SOURCE, "payment", "k", 5)
+    assert "NTILE(5) OVER (ORDER BY k)" in session.used["options"]["query"]
+    rows = spark.createDataFrame([(k,) for k in (None, -5, 10, 11, 20, 21, 30, 31, 2_000_000)], "k int")
+    assert len(parts) == 4 and sum(rows.where(p).count() for p in parts) == 9
+    assert key_predicates(FakeSession([]), SOURCE, "payment", "k", 5) == ["1 = 1"]
+    read_jdbc_table(session, SOURCE, "payment", parts)
+    url, table, predicates, properties = session.used["jdbc"]
+    assert (url, table, predicates) == (SOURCE.url, "payment", parts) and properties["fetchsize"] == "10000"
 
 
 def test_optional_credentials_and_hidden_password():
@@ -90,7 +112,7 @@ def test_optional_credentials_and_hidden_password():
 
 def test_jdbc_read_reaches_spark(spark):
     with pytest.raises(Exception, match="any.Driver"):
-        read_jdbc_table(spark, SOURCE, "customer")
+        read_jdbc_table(spark, SOURCE, "customer", single_task=True)
 
 
 def test_object_store_conf():
