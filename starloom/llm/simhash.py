@@ -15,6 +15,7 @@ tested inside the join, so only true links leave it.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -236,3 +237,100 @@ def simhash_components(docs: DataFrame, words: int = 4, bits: int = 4) -> DataFr
     return rows.join(labels, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+# -- similarity of shingle sets, beyond what 64 bits can tell
+
+#: Words of a wide fingerprint, segments of a word and their bits, and words of a chain.
+WIDE, PER_WORD, SEGMENT, CHAIN = 16, 3, 20, 2
+#: Shingles counted together.
+COUNTED = 4096
+
+
+def wide_fingerprints(data: np.ndarray, bounds: np.ndarray, words: int) -> np.ndarray:
+    """``WIDE`` 64-bit fingerprints a text, from independent remixes of each shingle's hash; zero without words."""
+    hashes, edges = shingle_hashes(data, bounds, words)
+    out = np.zeros((len(bounds) - 1, WIDE), dtype=np.uint64)
+    salts = np.arange(WIDE, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for i in range(len(out)):
+        votes = np.zeros(WIDE * 64, dtype=np.float64)
+        for s in range(edges[i], edges[i + 1], COUNTED):
+            own = hashes[s : min(s + COUNTED, edges[i + 1])]
+            with np.errstate(over="ignore"):
+                z = own[:, None] + salts
+                z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+                z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+                z ^= z >> np.uint64(31)
+            bits = np.unpackbits(z.view(np.uint8), axis=1, bitorder="little").astype(np.float32)
+            votes += np.ones(len(own), np.float32) @ bits
+        out[i] = np.packbits(2 * votes > edges[i + 1] - edges[i], bitorder="little").view(np.uint64)
+    return out
+
+
+def differing_share(similarity: float) -> float:
+    """The share of bits in which texts of that Jaccard similarity of shingles are expected to differ."""
+    return math.acos(2 * similarity / (1 + similarity)) / math.pi
+
+
+def _differing(a: str, b: str) -> Column:
+    """Differing bits of two arrays of longs."""
+    return F.expr(f"aggregate(zip_with({a}, {b}, (x, y) -> bit_count(x ^ y)), 0, (n, x) -> n + x)")
+
+
+def similar_components(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """(doc_id, component_id) of every row of ``docs`` (doc_id, text): groups of near copies.
+
+    Texts link if the ``WIDE`` * 64 bits of their fingerprints say that the Jaccard similarity of
+    their shingles is at least ``similarity``; 1,024 bits tell it to within about 0.02, and one
+    standard deviation is granted. The ring of segments is searched as in ``fingerprint_links``:
+    a chain starts at a segment without a difference, and is dropped if the words that follow
+    differ by more than their part of the budget (with a half to spare), before all bits
+    are compared.
+
+    Texts that share a segment are held against the first of them rather than each other, so a
+    large group of near copies costs rows in proportion; with 48 segments one text after
+    another is first. So a link may be missed: of lone pairs just at 0.8 about a third, at
+    0.85 one in twenty, at 0.9 hardly any (tests measure it).
+
+    component_id is the smallest doc_id reachable. Null text is empty; texts without words are
+    one group. Null doc_id: never named. Repeated doc_ids: one row each. Empty table: no rows.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j, data, bounds in text_groups(batch.column("text")):
+                prints = wide_fingerprints(data, bounds, words).view(np.int64)
+                flat = pa.ListArray.from_arrays(pa.array(np.arange(0, prints.size + 1, WIDE, dtype=np.int32)), pa.array(prints.reshape(-1)))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id")[i:j], flat], ["doc_id", "fp"])
+
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    rows = staged(texts.mapInArrow(run, "doc_id long, fp array<long>"), "fingerprints")
+    nodes = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("least")).withColumn("node", F.monotonically_increasing_id()), "nodes")
+    share = differing_share(similarity)
+    after = [F.element_at("fp", (w + 1 + c) % WIDE + 1).alias(f"c{c}") for w in range(WIDE) for c in range(CHAIN)]
+    starts = [
+        F.struct(
+            F.lit(w * PER_WORD + k).alias("k"),
+            F.shiftrightunsigned(F.element_at("fp", w + 1), k * SEGMENT).bitwiseAND(F.lit((1 << SEGMENT) - 1).cast("long")).alias("key"),
+            *after[w * CHAIN : (w + 1) * CHAIN],
+        )
+        for w in range(WIDE)
+        for k in range(PER_WORD)
+    ]
+    chains = nodes.select("node", F.explode(F.array(*starts)).alias("x")).select("node", "x.*")
+    follow = [f"c{c}" for c in range(CHAIN)]
+    firsts = chains.groupBy("k", "key").agg(F.count("*").alias("times"), F.min(F.struct("node", *follow)).alias("first")).where("times > 1")
+    budget, most = int(1.5 * share * 64 * CHAIN), int(share * 64 * WIDE + math.sqrt(share * (1 - share) * 64 * WIDE))
+    near = " + ".join(f"bit_count({c} ^ first.{c})" for c in follow)
+    pairs = (
+        chains.join(firsts, ["k", "key"])
+        .where(f"node != first.node AND {near} <= {budget}")
+        .select(F.col("first.node").alias("a"), F.col("node").alias("b"))
+        .distinct()
+    )
+    one, two = nodes.select(F.col("node").alias("a"), F.col("fp").alias("fa")), nodes.select(F.col("node").alias("b"), F.col("fp").alias("fb"))
+    links = pairs.join(one, "a").join(two, "b").where(_differing("fa", "fb") <= most).select("a", "b")
+    named = nodes.join(components(links), "node", "left").select("node", "fp", "least", F.coalesce("component", "node").alias("component"))
+    smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
+    labels = named.join(smallest, "component").select("fp", "component_id")
+    return rows.join(labels, "fp").select("doc_id", "component_id")

@@ -6,7 +6,7 @@ import pyarrow as pa
 import xxhash
 
 from starloom.llm.common import components
-from starloom.llm.simhash import fingerprint_links, fingerprints, simhash_components, text_groups, xxh64
+from starloom.llm.simhash import differing_share, fingerprint_links, fingerprints, similar_components, simhash_components, text_groups, wide_fingerprints, xxh64
 from tests.llm.edge_rows import DOCS_SCHEMA, edge_docs
 
 WORD = re.compile(rb"[^\x20\x09-\x0d]+")
@@ -94,3 +94,61 @@ def test_whole_operator_on_edge_rows(spark):
 
 def test_empty_table(spark):
     assert simhash_components(spark.createDataFrame([], DOCS_SCHEMA)).count() == 0
+    assert similar_components(spark.createDataFrame([], DOCS_SCHEMA)).count() == 0
+
+
+def near_copies(rng, n, changes):
+    """n invented texts and a copy of each with that many of its 120 words replaced."""
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    out = []
+    for _ in range(n):
+        words = [word() for _ in range(120)]
+        copy = list(words)
+        for i in rng.sample(range(0, 120, 6), changes):
+            copy[i] = word()
+        out.append((" ".join(words), " ".join(copy)))
+    return out
+
+
+def jaccard(a, b, k=5):
+    x, y = ({tuple(t.split()[i : i + k]) for i in range(len(t.split()) - k + 1)} for t in (a, b))
+    return len(x & y) / len(x | y)
+
+
+def test_wide_fingerprints_tell_the_similarity():
+    for changes in (1, 2, 4, 6):
+        pairs = near_copies(random.Random(changes), 60, changes)
+        prints = [np.concatenate([wide_fingerprints(d, b, 5) for _, _, d, b in text_groups(pa.array(side))]) for side in zip(*pairs, strict=True)]
+        share = np.bitwise_count(prints[0] ^ prints[1]).sum(1) / 1024
+        expected = np.array([differing_share(jaccard(a, b)) for a, b in pairs])
+        assert np.abs(share - expected).mean() < 0.02
+
+
+def test_near_copies_meet_and_others_do_not(spark):
+    rng = random.Random(9)
+    close, far = near_copies(rng, 80, 2), near_copies(rng, 40, 12)
+    assert min(jaccard(a, b) for a, b in close) > 0.83 and max(jaccard(a, b) for a, b in far) < 0.4
+    texts = [t for pair in close + far for t in pair]
+    got = {r.doc_id: r.component_id for r in similar_components(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert sum(got[2 * i + 1] == 2 * i for i in range(80)) >= 74
+    assert all(got[i] == i for i in range(160, 240))
+
+
+def test_one_large_group_of_near_copies(spark):
+    rng = random.Random(10)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(200)]
+    texts = [" ".join(words)]
+    for k in range(300):
+        copy = list(words)
+        copy[k % 200] = f"new{k}"
+        texts.append(" ".join(copy))
+    rows = spark.createDataFrame([(i + 5, t) for i, t in enumerate(texts)] + [(None, texts[0]), (1, "alone here in this text")], "doc_id long, text string")
+    got = similar_components(rows).collect()
+    assert {r.component_id for r in got if r.doc_id != 1} == {5} and len(got) == 303
+
+
+def test_similar_edge_rows(spark):
+    docs = edge_docs(spark)
+    got = {r.doc_id: r.component_id for r in similar_components(docs).collect() if r.doc_id}
+    assert got[1] == got[3] == 1 and got[2] == 2 and got[5] == got[6] == got[7] == 5 and got[8] == 8 and got[10] == 10
+    assert similar_components(docs).count() == docs.count()
