@@ -41,11 +41,20 @@ FEATURES = (
     "words", "hits", "hit_density", "weight_density", "largest_weight", "distinct_hits", "prefix_hits", "prefix_density",
     "near_second_person", "second_person", "capitals", "capital_words", "marks", "symbols", "hidden_words", "hidden_hits",
 )
-EDGES = re.compile(r"^[^\w@$]+|[^\w@$!]+$")
 INNER = re.compile(r"[^\w]|_")
 MEMO = 400_000
 
 
+def core(word: str) -> str:
+    """``word`` without punctuation at its ends."""
+    i, j = 0, len(word)
+    while i < j and not (word[i].isalnum() or word[i] in "_@$"):
+        i += 1
+    while j > i and not (word[j - 1].isalnum() or word[j - 1] in "_@$"):
+        j -= 1
+    return word[i:j]
+
+
 @dataclass(frozen=True)
 class Lexicon:
     """Words and prefixes with their log-odds of standing in a toxic text."""
@@ -69,13 +78,13 @@ class Features:
 
     def _kind(self, word: str) -> int:
         """Number of what is known of a lower-case word: weight, prefix weight, pronoun, hidden, hidden hit, name."""
-        core = EDGES.sub("", word).rstrip("!")
-        plain = INNER.sub("", core.translate(LOOKALIKES))
-        hidden = plain != core and any(c.isalpha() for c in core) and len(plain) > 2 and "'" not in core and "-" not in core and "." not in core.strip(".")
-        own = self.lexicon.words.get(core, 0.0)
+        bare = core(word)
+        plain = INNER.sub("", bare.translate(LOOKALIKES))
+        hidden = plain != bare and any(c.isalpha() for c in bare) and len(plain) > 2 and not any(c in bare for c in "'-.")
+        own = self.lexicon.words.get(bare, 0.0)
         weight = own or self.lexicon.words.get(plain, 0.0)
         prefix = max((self.lexicon.prefixes.get(plain[:n], 0.0) for n in PREFIXES if len(plain) >= n), default=0.0)
-        row = (weight, prefix, core in SECOND_PERSON, hidden, bool(weight and not own), plain if weight or prefix else "")
+        row = (weight, prefix, bare in SECOND_PERSON, hidden, bool(weight and not own), plain if weight or prefix else "")
         if row not in self.kinds:
             self.kinds[row] = len(self.rows)
             self.rows.append(row)
@@ -86,8 +95,9 @@ class Features:
             self._forget()
         words = text.lower().split()
         memo = self.memo
-        for w in set(words) - memo.keys():
-            memo[w] = self._kind(w)
+        for w in set(words):
+            if w not in memo:
+                memo[w] = self._kind(w)
         ids = np.fromiter((memo[w] for w in words), np.int64, len(words))
         if len(self.table) < len(self.rows):
             self.table = np.array([(*r[:5], i) for i, r in enumerate(self.rows)], dtype=float)
@@ -140,7 +150,7 @@ def learned_lexicon(sample: DataFrame, most: int = 1000, times_likelier: float =
         counts: dict[int, Counter] = {0: Counter(), 1: Counter()}
         for batch in batches:
             for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
-                words = {INNER.sub("", EDGES.sub("", w).translate(LOOKALIKES)) for w in (text or "").lower().split()}
+                words = {INNER.sub("", core(w).translate(LOOKALIKES)) for w in (text or "").lower().split()}
                 counts[toxic].update({w + "$" for w in words} | {w[:n] for w in words for n in PREFIXES if len(w) >= n})
                 counts[toxic][""] += 1  # the text itself
         for toxic, found in counts.items():
