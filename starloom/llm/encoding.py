@@ -28,7 +28,9 @@ ODD_RE2 = r"\x{001c}-\x{001f}\x{180e}\x{200b}\x{feff}"
 PIECES = re.compile(f" ?[^{BLANK}]+|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]+")
 UNSAFE = f"[{BLANK_RE2}][{BLANK_RE2}]|^[{BLANK_RE2}]|[{BLANK_RE2}]$"
 #: Words a worker remembers; the memory is emptied beyond that, which changes speed only.
-REMEMBERED = 700_000
+REMEMBERED = 500_000
+#: Words encoded in one call; the library's results are large until they are cut to ids.
+AT_ONCE = 10_000
 
 
 class Encoder:
@@ -42,14 +44,19 @@ class Encoder:
         self.pool = np.zeros(1 << 16, dtype=np.uint32)
         self.ends = np.zeros(1 << 16, dtype=np.int64)
 
+    def _encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of ``texts`` joined, and how many each has."""
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter((i for f in found for i in f), np.uint32, int(sizes.sum())), sizes
+
     def _indices(self, words: list[str]) -> np.ndarray:
         """Places of ``words`` in the memory; unknown ones are encoded first."""
         new = list(dict.fromkeys(w for w in words if w not in self.known))
         if new:
             n, filled = len(self.known), int(self.ends[len(self.known)])
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-            sizes = np.fromiter(map(len, found), np.int64, len(found))
-            ids = np.fromiter((i for f in found for i in f), np.uint32, int(sizes.sum()))
+            parts = [self._encoded(new[i : i + AT_ONCE]) for i in range(0, len(new), AT_ONCE)]
+            ids, sizes = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
             while n + len(new) + 1 > len(self.ends):
                 self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
             while filled + len(ids) > len(self.pool):
@@ -79,9 +86,7 @@ class Encoder:
             return self._joined(at, offsets - offsets[0])
         if self.spaces == "leading":
             return self._leading(texts)
-        found = self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)
-        sizes = np.fromiter((len(f.ids) for f in found), np.int64, len(found))
-        ids = np.fromiter((i for f in found for i in f.ids), np.uint32, int(sizes.sum()))
+        ids, sizes = self._encoded(texts.to_pylist())
         return ids, np.concatenate([[0], np.cumsum(sizes)])
 
     def _leading(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
