@@ -29,6 +29,8 @@ PIECES = re.compile(f" ?[^{BLANK}]+|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]+")
 UNSAFE = f"[{BLANK_RE2}][{BLANK_RE2}]|^[{BLANK_RE2}]|[{BLANK_RE2}]$"
 #: Words a worker remembers; the memory is emptied beyond that, which changes speed only.
 REMEMBERED = 500_000
+#: Words that a worker may still remember when a task has ended.
+KEPT = 100_000
 #: Words encoded in one call; the library's results are large until they are cut to ids.
 AT_ONCE = 10_000
 
@@ -137,6 +139,12 @@ def encoder(path: str, spaces: str | None) -> Encoder:
     return _ENCODERS[path, spaces]
 
 
+def release(path: str, spaces: str | None) -> None:
+    """End of a task: a memory that has grown large is emptied, for what the worker does next."""
+    if len(encoder(path, spaces).known) > KEPT:
+        encoder(path, spaces)._forget()
+
+
 def byte_slices(texts: pa.Array, most: int = 8 << 20) -> list[tuple[int, int]]:
     """Row ranges of at most ``most`` bytes of text, one row at least."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))

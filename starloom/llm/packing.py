@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.encoding import byte_slices, encoder
+from starloom.llm.encoding import byte_slices, encoder, release
 
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
@@ -134,6 +134,7 @@ def packed(docs: DataFrame, vocabulary: str, spaces: str | None, end_id: int, si
                     take(packer.add((doc_id, own), len(own)))
                 yield out()
         take(packer.finish())
+        release(vocabulary, spaces)
         yield out()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, PIECES)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starloom.llm.common import staged
-from starloom.llm.encoding import byte_slices, encoder
+from starloom.llm.encoding import byte_slices, encoder, release
 
 MAGIC = b"PLANES01"
 BLOCK = 1 << 16
@@ -176,6 +176,7 @@ def write_tokens(
             writer.close()
             sink.close()
             system.move(temporary, path)
+            release(vocabulary, spaces)
             row = {"shard": [shard], "path": [path], "n_ids": [writer.n_ids], "n_docs": [len(writer.docs)]}
             yield pa.RecordBatch.from_pydict(row, pa.schema([("shard", pa.int64()), ("path", pa.string()), ("n_ids", pa.int64()), ("n_docs", pa.int64())]))
 

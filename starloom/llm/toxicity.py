@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.common import staged
+from starloom.llm.encoding import byte_slices
 
 #: Insults that count in any corpus, before anything is learned.
 INSULTS = frozenset(
@@ -42,7 +43,7 @@ FEATURES = (
     "near_second_person", "second_person", "capitals", "capital_words", "marks", "symbols", "hidden_words", "hidden_hits",
 )
 INNER = re.compile(r"[^\w]|_")
-MEMO = 400_000
+MEMO = 200_000
 
 
 def core(word: str) -> str:
@@ -123,16 +124,17 @@ class Features:
         ]
 
 
-def with_features(texts: DataFrame, lexicon: Lexicon) -> DataFrame:
-    """``texts`` (doc_id, text, any further columns but features) with the text replaced by features."""
-    kept = [f for f in texts.schema if f.name != "text"]
+def with_features(texts: DataFrame, lexicon: Lexicon, keep_text: bool = False) -> DataFrame:
+    """``texts`` (text, any further columns but features) with features, and without the text unless it is kept."""
+    kept = [f for f in texts.schema if keep_text or f.name != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features(lexicon)
         for batch in batches:
-            found = [features.of(t or "") for t in batch.column("text").to_pylist()]
-            columns = [*(batch.column(f.name) for f in kept), pa.array(found, pa.list_(pa.float64()))]
-            yield pa.RecordBatch.from_arrays(columns, [*(f.name for f in kept), "features"])
+            for i, j in byte_slices(batch.column("text"), 4 << 20):
+                found = [features.of(t or "") for t in batch.column("text")[i:j].to_pylist()]
+                columns = [*(batch.column(f.name)[i:j] for f in kept), pa.array(found, pa.list_(pa.float64()))]
+                yield pa.RecordBatch.from_arrays(columns, [*(f.name for f in kept), "features"])
 
     schema = texts.select(*(f.name for f in kept), F.array(F.lit(0.0)).alias("features")).schema
     return texts.mapInArrow(run, schema)
@@ -178,8 +180,10 @@ def learned_lexicon(sample: DataFrame, most: int = 1000, times_likelier: float =
     return Lexicon({**{w: 4.0 for w in INSULTS}, **{w: o for w, o in words.items() if len(w) > 2}}, best(typical.where("term NOT LIKE '%$'")))
 
 
-def toxicity_scorer(docs: DataFrame, labels: DataFrame, most_labelled: int = 30_000) -> Callable[[DataFrame], DataFrame]:
-    """Learn from ``labels`` (doc_id, toxic) on ``docs``; gives a function that adds ``score`` to (doc_id, text, ...).
+def toxicity_scorer(docs: DataFrame, labels: DataFrame, most_labelled: int = 30_000) -> Callable[..., DataFrame]:
+    """Learn from ``labels`` (doc_id, toxic) on ``docs``; gives a function that adds ``score`` to (text, ...).
+
+    That function drops the text unless called with ``keep_text=True``.
 
     Learned from are labelled, not held-out documents, about ``most_labelled`` of them if there
     are more, chosen by a hash of doc_id; equal texts count once. Repeated labels: toxic if one
@@ -199,7 +203,7 @@ def toxicity_scorer(docs: DataFrame, labels: DataFrame, most_labelled: int = 30_
     classes = [r[0] for r in sample.select("toxic").distinct().collect()]
     if len(classes) < 2:
         only = float(classes[0]) if classes else 0.0
-        return lambda d: d.drop("text").withColumn("score", F.lit(only))
+        return lambda d, keep_text=False: (d if keep_text else d.drop("text")).withColumn("score", F.lit(only))
     lexicon = learned_lexicon(sample.where("part < 10"))
     rated = staged(with_features(sample.where("part >= 6"), lexicon).withColumn("vector", array_to_vector("features")).withColumn("label", F.col("toxic").cast("double")), "features")
     # The sample is bounded, and growing trees is many short jobs: few partitions keep them short.
@@ -210,8 +214,8 @@ def toxicity_scorer(docs: DataFrame, labels: DataFrame, most_labelled: int = 30_
     raw = lambda d: trees.transform(d).withColumn("raw", vector_to_array("probability")[1])
     calibration = IsotonicRegression(featuresCol="raw", labelCol="label", predictionCol="score").fit(raw(rest).select("raw", "label"))
 
-    def score(d: DataFrame) -> DataFrame:
-        vectors = with_features(d, lexicon).withColumn("vector", array_to_vector("features"))
+    def score(d: DataFrame, keep_text: bool = False) -> DataFrame:
+        vectors = with_features(d, lexicon, keep_text).withColumn("vector", array_to_vector("features"))
         scored = calibration.transform(raw(vectors)).withColumn("score", F.greatest(F.lit(0.0), F.least(F.lit(1.0), "score")))
         return scored.drop("features", "vector", "rawPrediction", "probability", "prediction", "raw")
 
