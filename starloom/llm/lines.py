@@ -50,6 +50,8 @@ def line_dedup(docs: DataFrame, width: int = 3, carry: Sequence[str] = ("doc_id"
         .where("times > 1")
         .select("h1", "h2", F.col("first.key").alias("first_key"), F.col("first.pos").alias("first_pos"))
     )
+    # Staged, so that the join has a plain shuffle on both sides, which AQE can split at a hot window.
+    firsts = staged(firsts, "firsts")
     later = windows.join(firsts, ["h1", "h2"]).where("key != first_key OR pos != first_pos")
     covered = later.groupBy(F.col("key").alias("__key")).agg(F.collect_set("pos").alias("__starts"))
     joined = keyed.drop("__id").join(covered, "__key", "left").drop("__key")

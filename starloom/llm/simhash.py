@@ -234,7 +234,8 @@ def simhash_components(docs: DataFrame, words: int = 4, bits: int = 4) -> DataFr
     smallest = named.groupBy("component").agg(F.min("least").alias("least"))
     linked = named.select("fp", "component").join(smallest, "component").select("fp", F.col("least").alias("linked"))
     labels = nodes.join(linked, "fp", "left").select("fp", F.coalesce("linked", "least").alias("component_id"))
-    return rows.join(labels, "fp").select(
+    # Staged, so that the join has a plain shuffle on both sides, which AQE can split at a group of copies.
+    return rows.join(staged(labels, "labels"), "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
@@ -320,6 +321,7 @@ def similar_components(docs: DataFrame, words: int = 5, similarity: float = 0.8)
     chains = nodes.select("node", F.explode(F.array(*starts)).alias("x")).select("node", "x.*")
     follow = [f"c{c}" for c in range(CHAIN)]
     firsts = chains.groupBy("k", "key").agg(F.count("*").alias("times"), F.min(F.struct("node", *follow)).alias("first")).where("times > 1")
+    firsts = staged(firsts, "firsts")
     budget, most = int(1.5 * share * 64 * CHAIN), int(share * 64 * WIDE + math.sqrt(share * (1 - share) * 64 * WIDE))
     near = " + ".join(f"bit_count({c} ^ first.{c})" for c in follow)
     pairs = (
@@ -333,4 +335,4 @@ def similar_components(docs: DataFrame, words: int = 5, similarity: float = 0.8)
     named = nodes.join(components(links), "node", "left").select("node", "fp", "least", F.coalesce("component", "node").alias("component"))
     smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
     labels = named.join(smallest, "component").select("fp", "component_id")
-    return rows.join(labels, "fp").select("doc_id", "component_id")
+    return rows.join(staged(labels, "labels"), "fp").select("doc_id", "component_id")

@@ -268,7 +268,8 @@ def repeated_passages(docs: DataFrame, length: int = 200, anchor: int = ANCHOR)
     if not 8 <= anchor < length:
         raise ValueError("the anchor must be 8 bytes or more and shorter than the passages")
     rows = _anchored(docs, length, anchor)
-    twice = rows.groupBy("h").agg(F.count("*").alias("times")).where("times > 1").select("h")
+    # Staged, so that the join has a plain shuffle on both sides, which AQE can split at a hot anchor.
+    twice = staged(rows.groupBy("h").agg(F.count("*").alias("times")).where("times > 1").select("h"), "twice")
     seen = staged(rows.join(twice, "h", "left_semi"), "anchors")
     contents = staged(
         seen.groupBy("h", "c").agg(
