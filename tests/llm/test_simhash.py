@@ -152,3 +152,42 @@ def test_similar_edge_rows(spark):
     got = {r.doc_id: r.component_id for r in similar_components(docs).collect() if r.doc_id}
     assert got[1] == got[3] == 1 and got[2] == 2 and got[5] == got[6] == got[7] == 5 and got[8] == 8 and got[10] == 10
     assert similar_components(docs).count() == docs.count()
+
+
+def grouped(spark, texts):
+    rows = similar_components(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    return [component for _, component in sorted((r.doc_id, r.component_id) for r in rows)]
+
+
+def brute_groups(texts, similarity=0.8):
+    parent = list(range(len(texts)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(max(1, len(t.split()) - 4))} for t in texts]
+    for i in range(len(texts)):
+        for j in range(i):
+            if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+                low, high = sorted((find(i), find(j)))
+                parent[high] = low
+    return [find(i) for i in range(len(texts))]
+
+
+def invented(rng, n):
+    return ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(n)]
+
+
+def test_members_of_a_full_bucket_meet_each_other(spark):
+    """Every text shares a passage, so that all prefixes meet in the same buckets, of several blocks; pairs are lone."""
+    rng = random.Random(21)
+    passage, texts = invented(rng, 60), []
+    for _ in range(150):
+        own = invented(rng, 20)
+        copy = list(own)
+        copy[10] = "other"
+        texts += [" ".join(passage + own), " ".join(passage + copy)]
+    got = grouped(spark, texts)
+    assert got == brute_groups(texts) and got == [i // 2 * 2 for i in range(300)]
