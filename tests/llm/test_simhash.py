@@ -191,3 +191,13 @@ def test_members_of_a_full_bucket_meet_each_other(spark):
         texts += [" ".join(passage + own), " ".join(passage + copy)]
     got = grouped(spark, texts)
     assert got == brute_groups(texts) and got == [i // 2 * 2 for i in range(300)]
+
+
+def test_no_pair_at_the_threshold_is_lost(spark):
+    """Short and long pairs from just 0.8 on, where no run of equal fingerprint bits is certain."""
+    rng, texts = random.Random(22), []
+    for n in [4, 9, 14, 40, 90, 185] * 20:
+        words = invented(rng, n + 4)
+        texts += [" ".join(words), " ".join(words + invented(rng, n // 4))]
+    assert all(0.8 <= jaccard(a, b) < 0.83 for a, b in zip(texts[::2], texts[1::2], strict=True))
+    assert grouped(spark, texts) == [i // 2 * 2 for i in range(len(texts))]
