@@ -201,3 +201,10 @@ def test_no_pair_at_the_threshold_is_lost(spark):
         texts += [" ".join(words), " ".join(words + invented(rng, n // 4))]
     assert all(0.8 <= jaccard(a, b) < 0.83 for a, b in zip(texts[::2], texts[1::2], strict=True))
     assert grouped(spark, texts) == [i // 2 * 2 for i in range(len(texts))]
+
+
+def test_one_repeated_shingle_makes_no_copy(spark):
+    """Texts of mostly one shingle over and over, otherwise unlike; equal sets of shingles are one node."""
+    rng = random.Random(23)
+    texts = ["0 " * 200 + " ".join(invented(rng, 60)) for _ in range(20)] + ["la " * 50, "la " * 70]
+    assert grouped(spark, texts) == brute_groups(texts) == [*range(20), 20, 20]
