@@ -208,3 +208,16 @@ def test_one_repeated_shingle_makes_no_copy(spark):
     rng = random.Random(23)
     texts = ["0 " * 200 + " ".join(invented(rng, 60)) for _ in range(20)] + ["la " * 50, "la " * 70]
     assert grouped(spark, texts) == brute_groups(texts) == [*range(20), 20, 20]
+
+
+def test_pairs_below_the_threshold_stay_apart(spark):
+    """Pairs at 0.7 to just below 0.8, and a chain of them."""
+    rng, texts = random.Random(24), []
+    for more in [21, 22, 23, 24, 26, 30, 34] * 10:
+        words = invented(rng, 84)
+        texts += [" ".join(words), " ".join(words + invented(rng, more))]
+    chain = invented(rng, 180)
+    texts += [" ".join(chain[s : s + 84]) for s in range(0, 96, 10)]
+    close = [jaccard(a, b) for a, b in zip(texts[:140:2], texts[1:140:2], strict=True)]
+    assert 0.7 <= min(close) and max(close) < 0.8 and jaccard(texts[140], texts[141]) < 0.8
+    assert grouped(spark, texts) == list(range(len(texts)))
