@@ -55,3 +55,10 @@ def test_run_on_empty_documents(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{base}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{base}/labels.parquet")
     assert corpus_pipeline.run(spark, base).count() == 0
+
+
+def test_rows_of_one_doc_id_are_judged_by_their_texts(spark, tmp_path):
+    rows = [(1, sentence(1)), (2, sentence(2)), (2, sentence(1) + " tail"), (2, sentence(5)), (3, sentence(5)), (3, sentence(7)), (3, sentence(7))]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.drop_near_copies(spark, stored(docs, f"{tmp_path}/documents"), str(tmp_path)).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == sorted([(1, sentence(1)), (2, sentence(2)), (2, sentence(5)), (3, sentence(7))])
