@@ -19,7 +19,8 @@ def _windows(docs: DataFrame, width: int) -> DataFrame:
     shifted = [lines, *(F.slice(lines, k + 1, F.greatest(F.size(lines) - k, F.lit(0))) for k in range(1, width))]
     names = [f"l{k}" for k in range(width)]
     zipped = F.arrays_zip(*(a.alias(n) for a, n in zip(shifted, names, strict=True)))
-    rows = docs.where(F.instr("text", "\n") > 0).select("id", "key", F.posexplode(zipped).alias("pos", "w"))
+    long_enough = docs.where(F.instr("text", "\n") > 0) if width > 1 else docs
+    rows = long_enough.select("id", "key", F.posexplode(zipped).alias("pos", "w"))
     parts = [F.col("w")[n] for n in names]
     blank: Column = F.trim(F.concat(*parts)) == ""
     return rows.where(parts[-1].isNotNull() & ~blank).select(

@@ -42,3 +42,9 @@ def test_edge_rows(spark, tmp_path):
     assert {r.kept for r in rows if r.doc_id == 20} == {"l4", "l5"}
     assert {r.kept for r in rows if r.doc_id is None} == {"no id", None, "l1\nl2\nl3"}
     assert line_dedup(spark.createDataFrame([], DOCS_SCHEMA)).count() == 0
+
+
+def test_windows_of_one_line_see_texts_of_one_line(spark):
+    docs = spark.createDataFrame([(1, "one"), (2, "one"), (3, "two\none"), (4, None), (5, "")], "doc_id long, text string")
+    got = {r.doc_id: r.kept for r in line_dedup(docs, width=1).collect()}
+    assert got == {1: "one", 2: "", 3: "two", 4: None, 5: ""}
