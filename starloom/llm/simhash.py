@@ -278,6 +278,8 @@ PARITY, BUCKET_BLOCK, MEMBERS = 512, 64, 1 << 16
 #: Hashes below are counted before a prefix is chosen: two fifths, twice what a prefix at 0.8 takes.
 COUNTED_BELOW = (1 << 64) * 2 // 5
 SLACK = 1e-9
+#: Bytes of text whose shingles are hashed together here.
+SET_BYTES = 1 << 20
 
 
 def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
@@ -290,7 +292,7 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j, data, bounds in text_groups(batch.column("text")):
+            for i, j, data, bounds in text_groups(batch.column("text"), SET_BYTES):
                 hashes, edges = shingle_hashes(data, bounds, words)
                 own = [np.unique(hashes[s:e]) for s, e in zip(edges[:-1], edges[1:], strict=True)]
                 bodies = [(x ^ np.uint64(1 << 63)).tobytes() for x in own]
@@ -305,6 +307,7 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
                     pa.array(bodies, pa.binary()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, ["key", "doc_id", "same", "n", "counted", "parity", "shingles"])
+        pa.default_memory_pool().release_unused()
 
     texts = docs.select(F.col("key").cast("long"), F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return texts.mapInArrow(run, "key long, doc_id long, same binary, n int, counted int, parity binary, shingles binary")
@@ -332,6 +335,7 @@ def shared_prefixes(sets: DataFrame, similarity: float) -> DataFrame:
             h = np.concatenate([*own, np.zeros(0, np.int64)])
             for s in range(0, len(h), MEMBERS):
                 yield pa.RecordBatch.from_arrays([pa.array(nodes[s : s + MEMBERS]), pa.array(h[s : s + MEMBERS])], ["node", "h"])
+        pa.default_memory_pool().release_unused()
 
     held = sets.where("n > 0").select("key", "n", "counted", "shingles").mapInArrow(members, "node long, h long")
     # Staged, so that the join has a plain shuffle on both sides, which AQE can split at a hot shingle.
@@ -355,6 +359,7 @@ def similar_pairs(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataF
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 ok.append(both >= similarity * (len(x) + len(y) - both) - SLACK)
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+        pa.default_memory_pool().release_unused()
 
     one, two = (sets.select(F.col("key").alias(k), F.col("shingles").alias(f"s{k}")) for k in "ab")
     return pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
@@ -396,6 +401,7 @@ def _block_pairs(chains: DataFrame, sets: DataFrame, similarity: float) -> DataF
                 one, two = node[i[near]], node[j[near]]
                 if len(one):
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(one, two)), pa.array(np.maximum(one, two))], ["a", "b"])
+        pa.default_memory_pool().release_unused()
 
     return units.select("one", "two", "of").mapInArrow(run, "a long, b long").distinct()
 
