@@ -30,12 +30,16 @@ class Field:
 
 @dataclass(frozen=True)
 class Contract:
-    """``references`` maps a foreign-key column to the table whose key it holds."""
+    """``references`` maps a foreign-key column to the table whose key it holds.
+
+    ``fan_out`` names the columns that tell rows of one key apart, where a key can have several.
+    """
 
     table: str
     key: str
     fields: tuple[Field, ...]
     references: tuple[tuple[str, str], ...] = ()
+    fan_out: tuple[str, ...] = ()
 
     def schema(self) -> T.StructType:
         """Column types and nullability; needs a running session to parse them."""
@@ -60,13 +64,17 @@ class Contract:
 
         ``types`` gives a dialect's names of Spark's types; ``WAREHOUSE_TYPES`` is the
         default. A referenced table must be created first: ``CONTRACTS`` is in such an order.
+        A key that can have several rows is no primary key by itself, and a relational foreign
+        key cannot point at it, so such a reference stays out of the text.
         """
         names = WAREHOUSE_TYPES if types is None else types
         columns = [
             f"{f.name} {names.get(f.type, f.type)}{'' if f.nullable else ' NOT NULL'}" for f in self.fields
         ]
-        keys = [f"PRIMARY KEY ({self.key})"]
-        keys += [f"FOREIGN KEY ({c}) REFERENCES {t} ({CONTRACTS[t].key})" for c, t in self.references]
+        keys = [f"PRIMARY KEY ({', '.join((self.key, *self.fan_out))})"]
+        keys += [
+            f"FOREIGN KEY ({c}) REFERENCES {t} ({CONTRACTS[t].key})" for c, t in self.references if not CONTRACTS[t].fan_out
+        ]
         return f"CREATE TABLE IF NOT EXISTS {self.table} ({', '.join(columns + keys)})"
 
     def widened(self) -> Contract:
@@ -83,7 +91,7 @@ class Contract:
             else f
             for f in self.fields
         )
-        return Contract(self.table, self.key, fields, self.references)
+        return Contract(self.table, self.key, fields, self.references, self.fan_out)
 
 
 # A warehouse's names of types, where they differ from Spark's.
@@ -151,6 +159,7 @@ CONTRACTS: dict[str, Contract] = {
                 Field("category", "varchar(15)", False),
                 Field("special_features", "varchar(60)", False),
             ),
+            fan_out=("category",),
         ),
         Contract(
             "dim_staff",

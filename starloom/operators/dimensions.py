@@ -22,11 +22,12 @@ def flatten_geography(
         city.select("city_id", "country_id", "city"),
         country.select("country_id", "country"),
         "country_id",
+        "country",
     ).drop("country_id")
     addresses = address.select(
         "address_id", "city_id", "address", "address2", "district", "postal_code", "phone"
     )
-    return join(addresses, places, "city_id").drop("city_id")
+    return join(addresses, places, "city_id", "places").drop("city_id")
 
 
 _ADDRESS = ["address", "address2", "district", "city", "country", "postal_code"]
@@ -40,6 +41,7 @@ def dim_customer(customer: DataFrame, geography: DataFrame, join: Join = declare
         ),
         geography,
         "address_id",
+        "geography",
     )
     return located.select(
         F.col("customer_id").alias("customer_key"),
@@ -60,6 +62,7 @@ def dim_staff(staff: DataFrame, geography: DataFrame, join: Join = declared_join
         staff.select("staff_id", "address_id", "first_name", "last_name", "email", "active"),
         geography,
         "address_id",
+        "geography",
     )
     return located.select(
         F.col("staff_id").alias("staff_key"),
@@ -86,8 +89,9 @@ def dim_store(
         store.select("store_id", "manager_staff_id", "address_id"),
         managers,
         "manager_staff_id",
+        "managers",
     )
-    return join(managed, geography, "address_id").select(
+    return join(managed, geography, "address_id", "geography").select(
         F.col("store_id").alias("store_key"),
         "store_id",
         *_ADDRESS,
@@ -119,13 +123,15 @@ def dim_movie(
         ),
         language.select("language_id", F.col("name").alias("language")),
         "language_id",
+        "language",
     )
     categories = join(
         film_category.select("film_id", "category_id"),
         category.select("category_id", F.col("name").alias("category")),
         "category_id",
+        "category",
     )
-    return join(categories, films, "film_id").select(
+    return join(categories, films, "film_id", "films").select(
         F.col("film_id").alias("movie_key"),
         "film_id",
         "title",

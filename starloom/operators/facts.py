@@ -47,8 +47,8 @@ def fact_sales(
         "staff_id",
         "amount",
     )
-    rented = join(rentals, items, "inventory_id")
-    paid = join(payments, rented, "rental_id")
+    rented = join(rentals, items, "inventory_id", "items")
+    paid = join(payments, rented, "rental_id", "rented")
     return paid.select(
         F.col("payment_id").alias("sales_key"),
         "payment_date_key",

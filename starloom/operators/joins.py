@@ -10,13 +10,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# (left, right, key) -> joined
-Join = Callable[[DataFrame, DataFrame, str], DataFrame]
+# (left, right, key, name of the lookup) -> joined
+Join = Callable[[DataFrame, DataFrame, str, str], DataFrame]
 
 BROADCAST_MAX_ROWS = 500_000
 BROADCAST_MAX_BYTES = 32 * 1024 * 1024
@@ -24,7 +25,7 @@ BROADCAST_MAX_BYTES = 32 * 1024 * 1024
 HOT_REDUCERS = 2.0
 
 
-def declared_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+def declared_join(left: DataFrame, right: DataFrame, key: str, lookup: str = "") -> DataFrame:
     """Plain inner equi-join on a column of the same name in both frames."""
     return left.join(right, key, "inner")
 
@@ -35,6 +36,9 @@ class ProbedJoin:
     A measured-small ``right`` is broadcast, so ``left`` is not shuffled at all. Otherwise
     the hot keys of ``left`` are looked up: their rows meet a broadcast of their partners
     where those are measured small, and are spread by salts where not.
+
+    ``sizes`` gives proven sizes of lookups by name, see ``lookup_sizes``; those are not
+    measured again.
     """
 
     def __init__(
@@ -42,14 +46,17 @@ class ProbedJoin:
         broadcast_rows: int | None = None,
         broadcast_bytes: int | None = None,
         hot_reducers: float = HOT_REDUCERS,
+        sizes: Mapping[str, Size] | None = None,
     ) -> None:
-        self._rows, self._bytes, self._hot = broadcast_rows, broadcast_bytes, hot_reducers
+        self._rows, self._bytes, self._hot, self._sizes = broadcast_rows, broadcast_bytes, hot_reducers, sizes or {}
 
-    def _is_small(self, df: DataFrame) -> bool:
+    def _is_small(self, df: DataFrame, lookup: str = "") -> bool:
+        if lookup in self._sizes:
+            return self._sizes[lookup].fits(self._rows, self._bytes)
         return is_small(df, self._rows, self._bytes)
 
-    def __call__(self, left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-        if self._is_small(right):
+    def __call__(self, left: DataFrame, right: DataFrame, key: str, lookup: str = "") -> DataFrame:
+        if self._is_small(right, lookup):
             return left.join(F.broadcast(right), key, "inner")
         hot = hot_keys(left, key, self._hot)
         if not hot.rows:
@@ -59,15 +66,62 @@ class ProbedJoin:
         return salted_join(left, right, key, hot)
 
 
-def is_small(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> bool:
-    """True if the whole frame was counted and measured to fit a broadcast."""
-    max_rows = BROADCAST_MAX_ROWS if max_rows is None else max_rows
-    max_bytes = BROADCAST_MAX_BYTES if max_bytes is None else max_bytes
+@dataclass(frozen=True)
+class Size:
+    """At most so many rows and bytes, of which the longest row has ``longest``; ``times`` of one key."""
+
+    rows: int
+    bytes: int
+    longest: int
+    times: int
+
+    def fits(self, max_rows: int | None = None, max_bytes: int | None = None) -> bool:
+        """Whether a broadcast may hold it."""
+        max_rows = BROADCAST_MAX_ROWS if max_rows is None else max_rows
+        max_bytes = BROADCAST_MAX_BYTES if max_bytes is None else max_bytes
+        return self.rows <= max_rows and self.bytes <= max_bytes
+
+    def looked_up(self, lookup: Size) -> Size:
+        """What an inner join with ``lookup``, on its key, can have at most."""
+        rows = self.rows * lookup.times
+        return Size(rows, self.bytes * lookup.times + rows * lookup.longest, self.longest + lookup.longest, self.times * lookup.times)
+
+
+def _row_bytes(df: DataFrame) -> str:
+    """SQL for the bytes of a row: its text and 16 for each column."""
     variable = (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType)
     text = [f.name for f in df.schema if isinstance(f.dataType, variable)]
-    lengths = " + ".join(f"coalesce(octet_length(CAST(`{c}` AS STRING)), 0L)" for c in text) or "0L"
-    rows, size = df.selectExpr("count(*)", f"coalesce(sum({lengths}), 0L)").first()
-    return rows <= max_rows and size + 16 * len(df.columns) * rows <= max_bytes
+    return " + ".join([f"{16 * len(df.columns)}L", *(f"coalesce(octet_length(CAST(`{c}` AS STRING)), 0L)" for c in text)])
+
+
+def lookup_sizes(lookups: Mapping[str, tuple[DataFrame, str]]) -> dict[str, Size]:
+    """The sizes of several lookups (frame, key), from one scan of each, all in one job.
+
+    A second job counts rows per key, of those only that are small enough to be broadcast;
+    no key can have more rows than its table, which is what is said of the others.
+    """
+    if not lookups:
+        return {}
+    parts = [
+        df.selectExpr(f"'{name}' AS name", "count(*) AS rows", f"coalesce(sum({_row_bytes(df)}), 0L) AS bytes", f"coalesce(max({_row_bytes(df)}), 0L) AS longest")
+        for name, (df, _) in lookups.items()
+    ]
+    sizes = {r["name"]: Size(r["rows"], r["bytes"], r["longest"], max(1, r["rows"])) for r in reduce(DataFrame.unionAll, parts).collect()}
+    small = [
+        df.groupBy(F.col(key).alias("k")).agg(F.count(F.lit(1)).alias("n")).selectExpr(f"'{name}' AS name", "n").groupBy("name").agg(F.max("n").alias("times"))
+        for name, (df, key) in lookups.items()
+        if sizes[name].fits() and sizes[name].rows > 1
+    ]
+    for r in reduce(DataFrame.unionAll, small).collect() if small else []:
+        own = sizes[r["name"]]
+        sizes[r["name"]] = Size(own.rows, own.bytes, own.longest, r["times"])
+    return sizes
+
+
+def is_small(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> bool:
+    """True if the whole frame was counted and measured to fit a broadcast."""
+    rows, size = df.selectExpr("count(*)", f"coalesce(sum({_row_bytes(df)}), 0L)").first()
+    return Size(rows, size, 0, rows).fits(max_rows, max_bytes)
 
 
 @dataclass(frozen=True)

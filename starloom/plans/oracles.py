@@ -341,6 +341,13 @@ ORACLES: dict[str, str] = {
     "append_new_keys": """
 SELECT o_orderkey, o_custkey, o_orderstatus FROM orders
 WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)""",
+    "append_repeated_keys": "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity FROM lineitem",
+    "file_warehouse": over_targets(_CONFORMED_FACT),
+    "fact_sales_cut": over_sources(
+        fact_sql(open_only=False)
+        + " WHERE p.payment_id <= (SELECT max(payment_id) // 2 FROM payment) AND r.rental_id <= (SELECT max(rental_id) // 2 FROM rental)"
+        " AND i.inventory_id <= (SELECT max(inventory_id) // 2 FROM inventory)"
+    ),
     "write_both_counts": over_targets(
         "SELECT 'extract' AS sink, count(*) AS n FROM fact_sales "
         "UNION ALL SELECT 'warehouse' AS sink, count(*) AS n FROM fact_sales"

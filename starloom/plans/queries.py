@@ -29,11 +29,12 @@ from starloom.operators.quality import (
     row_counts,
 )
 from starloom.plans.standins import given, source_tables
-from starloom.plans.star import build_star, load_star
+from starloom.plans.star import build_star, load_star, star_sizes, take_cut, within_cut
 from starloom.sinks.csv_extract import run_path, write_csv_extract
 from starloom.sinks.load import append_new_keys, preview, stage, write_both
+from starloom.sinks.runs import FileWarehouse
 from starloom.sources.files import read_csv_extract
-from starloom.sources.session import shared_folder
+from starloom.sources.session import remove_folder, scratch_folder, shared_folder
 from starloom.sources.views import register_views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,9 +51,20 @@ def _run_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/starloom/{uuid.uuid4().hex}"
 
 
+def _tidy(spark: SparkSession, work: Callable[[str], DataFrame]) -> DataFrame:
+    """What ``work`` makes in a folder of its own; of that folder nothing but the result stays."""
+    with scratch_folder(spark, "query") as folder:
+        return stage(work(folder), _run_folder(spark))
+
+
+def _sized(s: Mapping[str, DataFrame], table: str, open_only: bool = True) -> Join:
+    return ProbedJoin(sizes=star_sizes(s, [table], open_only))
+
+
 def _star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     s = source_tables(spark, sf_dir)
-    return build_star(s, open_only=False, join=ProbedJoin(), contracts=WIDE)
+    join = ProbedJoin(sizes=star_sizes(s, open_only=False))
+    return build_star(s, open_only=False, join=join, contracts=WIDE)
 
 
 def q_dim_payment_date(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,31 +89,31 @@ def q_dim_rental_date_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_dim_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = source_tables(spark, sf_dir)
-    join = ProbedJoin()
+    join = _sized(s, "dim_customer")
     return dim_customer(s["customer"], _geography(s, join), join)
 
 
 def q_dim_staff(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = source_tables(spark, sf_dir)
-    join = ProbedJoin()
+    join = _sized(s, "dim_staff")
     return dim_staff(s["staff"], _geography(s, join), join)
 
 
 def q_dim_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = source_tables(spark, sf_dir)
-    join = ProbedJoin()
+    join = _sized(s, "dim_store")
     return dim_store(s["store"], s["staff"], _geography(s, join), join)
 
 
 def q_dim_movie(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = source_tables(spark, sf_dir)
-    join = ProbedJoin()
+    join = _sized(s, "dim_movie")
     return dim_movie(s["film"], s["language"], s["film_category"], s["category"], join)
 
 
 def _fact(spark: SparkSession, sf_dir: str, open_only: bool) -> DataFrame:
     s = source_tables(spark, sf_dir)
-    join = ProbedJoin()
+    join = _sized(s, "fact_sales", open_only)
     return fact_sales(s["payment"], s["rental"], s["inventory"], open_only, join)
 
 
@@ -205,9 +217,12 @@ def q_check_length(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_check_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All checks over one staged star."""
-    folder = _run_folder(spark)
-    staged = {name: stage(df, f"{folder}/{name}") for name, df in _star(spark, sf_dir).items()}
-    return check_all(staged, WIDE)
+
+    def checked(folder: str) -> DataFrame:
+        staged = {name: stage(df, f"{folder}/{name}") for name, df in _star(spark, sf_dir).items()}
+        return check_all(staged, WIDE)
+
+    return _tidy(spark, checked)
 
 
 def q_conformed_dim_rental_date(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -238,12 +253,12 @@ def q_csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_csv_round_trip_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole multi-line texts through an extract, unchanged."""
+    """Whole multi-line texts through an extract, unchanged; one line a record, so its files can be split."""
     documents = given(spark, sf_dir, "documents").select(
         "doc_id", "text", "lang", "source", "n_chars"
     )
     path = run_path(_run_folder(spark), "documents", "1")
-    write_csv_extract(documents, path, lossless=True, rows_per_file=20_000)
+    write_csv_extract(documents, path, lossless=True)
     return read_csv_extract(spark, path, documents.schema, lossless=True)
 
 
@@ -258,9 +273,43 @@ def q_append_new_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(orders.schema).parquet(path)
 
 
-def _both_sinks(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def q_append_repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items under their order's key, after a load that broke off inside the keys: each is there once."""
+    path = f"{_run_folder(spark)}/lines"
+    lines = given(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    lines.where("l_suppkey % 3 = 0").write.parquet(path)
+    append_new_keys(
+        lines, spark.read.schema(lines.schema).parquet(path), "l_orderkey", lambda rows: rows.write.mode("append").parquet(path)
+    )
+    return spark.read.schema(lines.schema).parquet(path)
+
+
+def q_file_warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact published in two runs; the second broke off once, half written, and is repeated twice."""
+    warehouse = FileWarehouse(spark, f"{_run_folder(spark)}/warehouse")
+    fact = q_conformed_fact_sales(spark, sf_dir)
+    early, late = fact.where("sales_key % 2 = 0"), fact.where("sales_key % 2 = 1")
+    warehouse.append("fact_sales", early, "1")
+    late.where("sales_key % 3 = 0").write.parquet(warehouse.run_folder("fact_sales", "2"))
+    for _ in range(2):
+        warehouse.append("fact_sales", late, "2")
+    return warehouse.read("fact_sales")
+
+
+def q_fact_sales_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All payments up to a cut at half of every table's largest key."""
+    s = source_tables(spark, sf_dir)
+
+    def half(name: str, key: str) -> object:
+        largest = s[name].agg(F.max(key)).first()[0]
+        return largest // 2 if isinstance(largest, int) else largest
+
+    cut = within_cut(s, take_cut(half))
+    return fact_sales(cut["payment"], cut["rental"], cut["inventory"], False, _sized(cut, "fact_sales", False))
+
+
+def _both_sinks(spark: SparkSession, sf_dir: str, folder: str) -> dict[str, DataFrame]:
     contract = WIDE["fact_sales"]
-    folder = _run_folder(spark)
     extract, warehouse = run_path(folder, contract.table, "1"), f"{folder}/warehouse"
     write_both(
         q_conformed_fact_sales(spark, sf_dir),
@@ -278,12 +327,14 @@ def _both_sinks(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def q_write_both_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact to an extract and to a warehouse folder from one computation."""
-    return row_counts(_both_sinks(spark, sf_dir)).withColumnRenamed("table", "sink")
+    return _tidy(spark, lambda folder: row_counts(_both_sinks(spark, sf_dir, folder)).withColumnRenamed("table", "sink"))
 
 
 def q_write_both_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of both sinks."""
-    sinks = [df.withColumn("sink", F.lit(name)) for name, df in _both_sinks(spark, sf_dir).items()]
+    folder = _run_folder(spark)
+    sinks = [df.withColumn("sink", F.lit(name)) for name, df in _both_sinks(spark, sf_dir, folder).items()]
+    remove_folder(spark, f"{folder}/staged")
     return sinks[0].unionByName(sinks[1])
 
 
@@ -305,20 +356,24 @@ def _load(spark: SparkSession, sf_dir: str, folder: str, run_id: str, **choices:
 
 def q_load_star_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole load without landing its sources; rows per table as the warehouse folder has them."""
-    folder = _run_folder(spark)
-    staged = _load(spark, sf_dir, folder, "1", land=False)
-    return row_counts(
-        {name: spark.read.parquet(f"{folder}/warehouse/{name}") for name in staged}
-    )
+
+    def counted(folder: str) -> DataFrame:
+        staged = _load(spark, sf_dir, folder, "1", land=False)
+        return row_counts({name: spark.read.parquet(f"{folder}/warehouse/{name}") for name in staged})
+
+    return _tidy(spark, counted)
 
 
 def q_load_star_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two loads of landed sources, the second by new keys only; the warehouse's sales."""
-    folder = _run_folder(spark)
-    for run_id in ("1", "2"):
-        loaded = () if run_id == "1" else tuple(WIDE)
-        _load(spark, sf_dir, folder, run_id, new_keys=True, open_only=False, loaded=loaded)
-    return spark.read.parquet(f"{folder}/warehouse/fact_sales")
+
+    def loaded_twice(folder: str) -> DataFrame:
+        for run_id in ("1", "2"):
+            loaded = () if run_id == "1" else tuple(WIDE)
+            _load(spark, sf_dir, folder, run_id, new_keys=True, open_only=False, loaded=loaded)
+        return spark.read.parquet(f"{folder}/warehouse/fact_sales")
+
+    return _tidy(spark, loaded_twice)
 
 
 QUERIES: dict[str, Query] = {

@@ -8,6 +8,7 @@ from typing import TypeVar
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starloom.operators.contracts import CONTRACTS, Contract, conform
 from starloom.operators.dimensions import (
@@ -19,12 +20,15 @@ from starloom.operators.dimensions import (
     flatten_geography,
 )
 from starloom.operators.facts import fact_sales
-from starloom.operators.joins import Join, ProbedJoin, declared_join
+from starloom.operators.joins import Join, ProbedJoin, Size, declared_join, lookup_sizes
 from starloom.operators.quality import CheckFailed, check_all, require_clean, require_not_empty
 from starloom.sinks.csv_extract import run_path, write_csv_extract
 from starloom.sinks.load import append_new_keys, preview, require_loaded, stage
+from starloom.sources.session import remove_folder
 
 T = TypeVar("T")
+#: (source table, growing key column) -> the largest key now, None for an empty table
+Highest = Callable[[str, str], object]
 
 # The source columns that the eight targets need.
 SOURCE_COLUMNS: dict[str, tuple[str, ...]] = {
@@ -111,6 +115,86 @@ def build_star(
     return {name: conform(build(), contracts[name]) for name, build in builders.items() if name in wanted}
 
 
+def star_sizes(sources: Mapping[str, DataFrame], only: Collection[str] | None = None, open_only: bool = True) -> dict[str, Size]:
+    """Proven sizes of the lookups of the star, or of the tables in ``only``, by the names that builders give them.
+
+    The source tables behind them are scanned once, in one job; what a join of them can hold
+    follows from their rows, bytes and rows per key, so no join is run to be measured.
+    """
+    wanted = _chosen(only)
+    table = lambda name: sources[name].select(*SOURCE_COLUMNS[name])
+    lookups: dict[str, tuple[DataFrame, str]] = {}
+    if not wanted.isdisjoint(LOCATED):
+        lookups |= {name: (table(name), f"{name}_id") for name in ("country", "city", "address")}
+    if "dim_store" in wanted:
+        lookups["managers"] = (sources["staff"].select("staff_id", "first_name", "last_name"), "staff_id")
+    if "dim_movie" in wanted:
+        lookups |= {name: (table(name), f"{name}_id") for name in ("language", "category", "film")}
+    if "fact_sales" in wanted:
+        rental = table("rental").where(F.col("return_date").isNull()) if open_only else table("rental")
+        lookups |= {"items": (table("inventory"), "inventory_id"), "rental": (rental, "rental_id")}
+    sizes = lookup_sizes(lookups)
+    if "country" in sizes:
+        sizes["places"] = sizes["city"].looked_up(sizes["country"])
+        sizes["geography"] = sizes["address"].looked_up(sizes["places"])
+    if "film" in sizes:
+        sizes["films"] = sizes["film"].looked_up(sizes["language"])
+    if "rental" in sizes:
+        sizes["rented"] = sizes["rental"].looked_up(sizes["items"])
+    return sizes
+
+
+# The growing key of each source, a table before those that it refers to.
+CUT_KEYS: dict[str, str] = {
+    "payment": "payment_id",
+    "rental": "rental_id",
+    "inventory": "inventory_id",
+    "store": "store_id",
+    "staff": "staff_id",
+    "customer": "customer_id",
+    "film_category": "film_id",
+    "film": "film_id",
+    "category": "category_id",
+    "language": "language_id",
+    "address": "address_id",
+    "city": "city_id",
+    "country": "country_id",
+}
+
+
+def take_cut(highest: Highest) -> dict[str, object]:
+    """The largest key of every source, asked for in an order that leaves no reference open.
+
+    Rows are inserted after those that they refer to. So a table asked for later has at least the
+    rows that the earlier ones refer to, and what arrives during the load is left to the next.
+    """
+    return {name: highest(name, key) for name, key in CUT_KEYS.items()}
+
+
+def within_cut(sources: Mapping[str, DataFrame], cut: Mapping[str, object]) -> dict[str, DataFrame]:
+    """The sources up to a cut; the filter is pushed into each read. Rows changed since are seen as they are now."""
+    return {
+        name: sources[name].where(F.lit(False) if cut[name] is None else F.col(key) <= F.lit(cut[name]))
+        for name, key in CUT_KEYS.items()
+    }
+
+
+def _kept_cut(spark: SparkSession, path: str, highest: Highest) -> dict[str, object]:
+    """The cut of a run, taken by its first attempt and read by the others."""
+    try:
+        rows = spark.read.parquet(path).collect()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        rows = []
+    if not rows:
+        taken = take_cut(highest)
+        schema = ", ".join(f"{name} {'string' if isinstance(key, str) else 'bigint'}" for name, key in taken.items())
+        spark.createDataFrame([tuple(taken.values())], schema).write.mode("overwrite").parquet(path)
+        return taken
+    return rows[0].asDict()
+
+
 def _chosen(only: Collection[str] | None) -> set[str]:
     if unknown := set(only or ()) - set(CONTRACTS):
         raise ValueError(f"no such table: {', '.join(sorted(unknown))}")
@@ -144,6 +228,9 @@ def load_star(
     new_keys: bool = False,
     lossless: bool = False,
     preview_rows: int = 0,
+    create: Callable[[Contract], None] | None = None,
+    highest: Highest | None = None,
+    keep_work: bool = False,
 ) -> dict[str, DataFrame]:
     """Build, check and load the star, or the tables in ``only``; the staged tables come back.
 
@@ -158,13 +245,21 @@ def load_star(
     The same ``run_id`` may be repeated after a failure: extracts are replaced, and tables
     that were loaded to the end are not appended again. A table whose append broke off
     half-way is appended again, so use ``new_keys`` where a sink can leave part of one.
+
+    ``create`` makes a target that is not there yet; it is called before any table is loaded,
+    a referenced one first. ``highest`` tells the largest key of a source: with it a cut is
+    taken once a run, see ``take_cut``, so tables that grow while they are read fit each other.
+    Of the run's folder only the staged tables and marks stay once it has succeeded, unless
+    ``keep_work``.
     """
     if new_keys and read_back is None:
         raise ValueError("new_keys needs read_back")
     work = f"{folder.rstrip('/')}/star/{run_id}"
+    if highest is not None:
+        sources = within_cut(sources, _kept_cut(spark, f"{work}/cut", highest))
     if land:
         sources = land_sources(sources, f"{work}/sources")
-    join = ProbedJoin()
+    join = ProbedJoin(sizes=star_sizes(sources, only, open_only))
     geography = None
     if not _chosen(only).isdisjoint(LOCATED):
         geography = stage(
@@ -176,6 +271,10 @@ def load_star(
     require_not_empty(staged)
     if strict:
         require_clean(check_all(staged, contracts))
+    if create is not None:
+        for name in contracts:
+            if name in staged:
+                create(contracts[name])
 
     def load(name: str) -> None:
         if preview_rows:
@@ -199,6 +298,9 @@ def load_star(
     _side_by_side(load, [name for name in staged if name != "fact_sales"])
     if "fact_sales" in staged:
         load("fact_sales")
+    if not keep_work:
+        for used in ("sources", "geography"):
+            remove_folder(spark, f"{work}/{used}")
     return staged
 
 

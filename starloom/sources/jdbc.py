@@ -91,6 +91,12 @@ def key_range(
     return KeyRange(column, lower, upper, tasks)
 
 
+def highest_key(spark: SparkSession, connection: JdbcConnection, table: str, column: str) -> object:
+    """The largest key of a table, found by the database; None if it is empty. For ``load_star(highest=...)``."""
+    query = f"SELECT MAX({column}) AS hi FROM {table}"
+    return spark.read.format("jdbc").options(**connection.options(query=query)).load().first()[0]
+
+
 def key_predicates(
     spark: SparkSession, connection: JdbcConnection, table: str, column: str, tasks: int
 ) -> list[str]:

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import re
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -27,3 +30,22 @@ def shared_folder(spark: SparkSession) -> str:
     if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/starloom-work"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever file system its path names; one that is not there is no error."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def scratch_folder(spark: SparkSession, name: str) -> Iterator[str]:
+    """A folder of its own below the shared one, which lives as long as the block.
+
+    A frame that reads from it must be written elsewhere before the block ends.
+    """
+    path = f"{shared_folder(spark)}/starloom/{name}-{uuid.uuid4().hex}"
+    try:
+        yield path
+    finally:
+        remove_folder(spark, path)

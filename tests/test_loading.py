@@ -1,0 +1,302 @@
+"""Loads that break off and are finished: repeated keys, checks, cuts, created targets, publishing, work folders."""
+
+from collections import Counter
+from pathlib import Path
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from starloom.operators.contracts import CONTRACTS, create_if_absent
+from starloom.operators.quality import CheckFailed
+from starloom.plans import build_star, land_sources, load_star, take_cut, within_cut
+from starloom.plans.queries import QUERIES
+from starloom.plans.star import CUT_KEYS
+from starloom.sinks import FileWarehouse, append_new_keys, jdbc_publisher, publish_jdbc, require_loaded, warehouse_creator
+from starloom.sinks import jdbc as jdbc_sink
+from starloom.sources import JdbcConnection, scratch_folder, shared_folder
+from tests.test_star import Warehouse, load
+
+KV = "k int, v string"
+
+
+def appended(spark, tmp_path, new, old):
+    """What the target holds after ``new`` was appended to ``old``, and after that was repeated."""
+    path = f"{tmp_path}/target"
+    spark.createDataFrame(old, KV).write.mode("overwrite").parquet(path)
+    frame = spark.createDataFrame(new, KV)
+    out = []
+    for _ in range(2):
+        append_new_keys(frame, spark.read.parquet(path), "k", lambda df: df.write.mode("append").parquet(path))
+        out.append(sorted((tuple(r) for r in spark.read.parquet(path).collect()), key=repr))
+    assert out[0] == out[1]
+    return out[0]
+
+
+# -- repeated keys
+
+
+@pytest.mark.parametrize("kept", [1, 2, 3])
+def test_a_load_that_broke_inside_a_key_is_finished(spark, tmp_path, kept):
+    new = [(1, "a"), (1, "b"), (1, "b"), (1, None), (2, "c"), (None, "n"), (None, "m")]
+    assert appended(spark, tmp_path, new, new[:kept] + new[-1:]) == sorted(new, key=repr)
+    assert appended(spark, tmp_path, new, new[kept:]) == sorted(new, key=repr)
+
+
+def test_changed_rows_are_not_added_and_missing_ones_are_as_many_as_missed(spark, tmp_path):
+    assert appended(spark, tmp_path, [(1, "new a"), (1, "new b")], [(1, "a"), (1, "b")]) == [(1, "a"), (1, "b")]
+    # one of two is there in another form: the first by all columns is taken
+    assert appended(spark, tmp_path, [(1, "x"), (1, "y")], [(1, "old")]) == [(1, "old"), (1, "x")]
+    assert appended(spark, tmp_path, [(1, "x"), (1, "x"), (1, "y")], [(1, "old")]) == [(1, "old"), (1, "x"), (1, "x")]
+    assert appended(spark, tmp_path, [(1, "x")], [(1, "a"), (1, "b")]) == [(1, "a"), (1, "b")]
+
+
+def test_a_hot_key_is_finished(spark, tmp_path):
+    new = [(7, str(i % 900)) for i in range(3000)] + [(i, "") for i in range(8, 500)]
+    assert Counter(appended(spark, tmp_path, new, new[::2])) == Counter(new)
+
+
+def test_the_movie_with_two_categories_is_loaded_whole(spark, sources, rows, tmp_path):
+    whole = build_star(sources)["dim_movie"]
+    for half in (1, 2):
+        warehouse = Warehouse(spark, tmp_path / f"w{half}")
+        two = whole.where("movie_key = 2").orderBy("category", ascending=half == 1).limit(1)
+        warehouse.append("dim_movie", two)
+        for _ in range(2):
+            load(spark, sources, tmp_path / str(half), warehouse, new_keys=True)
+        assert rows(warehouse.read("dim_movie")) == rows(whole) and whole.where("movie_key = 2").count() == 2
+
+
+# -- the check after a load
+
+
+def test_the_check_reads_the_loaded_range_only(spark, tmp_path):
+    spark.range(10_000).write.parquet(f"{tmp_path}/all")
+    loaded = spark.read.parquet(f"{tmp_path}/all")
+    seen = []
+
+    class Watched:
+        def where(self, condition):
+            out = loaded.where(condition)
+            seen.append(out._jdf.queryExecution().executedPlan().toString())
+            return out
+
+    require_loaded("t", spark.range(90, 110), Watched(), "id")
+    assert "GreaterThanOrEqual(id,90)" in seen[0] and "LessThanOrEqual(id,109)" in seen[0]
+
+
+def test_the_check_counts_keys_where_sums_differ(spark):
+    loaded = spark.createDataFrame([(k,) for k in (1, 1, 2, 3, 3, 9)], "k bigint")
+    require_loaded("t", spark.createDataFrame([(1,), (3,)], "k int"), loaded, "k")
+    require_loaded("t", loaded, loaded, "k")
+    with pytest.raises(CheckFailed, match="lacks 1 rows"):
+        require_loaded("t", spark.createDataFrame([(2,), (2,), (3,)], "k int"), loaded, "k")
+    with pytest.raises(CheckFailed, match="lacks 1 rows"):
+        require_loaded("t", spark.createDataFrame([(None,), (1,)], "k int"), loaded, "k")
+
+
+# -- sources that grow while they are read
+
+
+class Growing(dict):
+    """Every read of a table is followed by a new rental with its payment and inventory item."""
+
+    def __init__(self, spark, sources, base):
+        super().__init__({name: None for name in sources})
+        self.spark, self.base, self.next = spark, base, 1000
+        for name, df in sources.items():
+            df.write.parquet(f"{base}/{name}")
+
+    def __getitem__(self, name):
+        files = [str(p) for p in Path(f"{self.base}/{name}").glob("*.parquet")]
+        df = self.spark.read.parquet(*files)
+        self.next += 1
+        for table, row in (("inventory", "1, 1"), ("rental", f"{self.next}, TIMESTAMP '2005-05-24', NULL"), ("payment", f"1, 1, {self.next}, 2.5, TIMESTAMP '2005-05-25'")):
+            schema = self.spark.read.parquet(f"{self.base}/{table}").schema
+            one = self.spark.sql(f"SELECT {self.next}, {row}").toDF(*schema.names)
+            one.selectExpr(*[f"CAST({f.name} AS {f.dataType.simpleString()})" for f in schema]).write.mode("append").parquet(f"{self.base}/{table}")
+        return df
+
+
+def test_a_cut_makes_growing_sources_fit(spark, sources, tmp_path):
+    grown = Growing(spark, {n: df.where("payment_id <= 3") if n == "payment" else df for n, df in sources.items()}, tmp_path / "s")
+    assert list(CUT_KEYS) and set(CUT_KEYS) == set(sources)
+
+    def highest(name, key):
+        return grown[name].agg(F.max(key)).first()[0]
+
+    cut = take_cut(highest)
+    landed = land_sources(within_cut(grown, cut), f"{tmp_path}/landed")
+    orphans = landed["payment"].join(landed["rental"], "rental_id", "left_anti").count()
+    rented = landed["rental"].where("inventory_id < 90").join(landed["inventory"], "inventory_id", "left_anti").count()
+    assert orphans == rented == 0 and landed["payment"].count() == 3
+    later = take_cut(highest)
+    assert within_cut(grown, later)["payment"].count() > 10 and all(later[n] >= cut[n] for n in cut)
+
+
+def test_a_repeated_run_keeps_its_cut(spark, sources, tmp_path):
+    asked = []
+
+    def highest(name, key):
+        asked.append(name)
+        return sources[name].agg(F.max(key)).first()[0] if name != "payment" else 1
+
+    warehouse = Warehouse(spark, tmp_path / "w", breaks="fact_sales")
+    with pytest.raises(OSError):
+        load(spark, sources, tmp_path, warehouse, highest=highest)
+    warehouse.breaks = None
+    load(spark, sources, tmp_path, warehouse, highest=highest)
+    assert asked == list(CUT_KEYS) and warehouse.read("fact_sales").count() == 1
+    empty = within_cut(sources, {**dict.fromkeys(CUT_KEYS, 10**6), "city": None})
+    assert empty["city"].count() == 0 and empty["film"].count() == sources["film"].count()
+
+
+# -- targets that are created by the load
+
+
+def test_targets_are_created_in_reference_order_before_any_row(spark, sources, tmp_path):
+    made = []
+    warehouse = Warehouse(spark, tmp_path / "w")
+
+    def create(contract):
+        assert not warehouse.appends
+        made.append(contract.table)
+        create_if_absent(spark, contract, f"made_{contract.table}", f"{tmp_path}/tables/{contract.table}")
+
+    load(spark, sources, tmp_path, warehouse, create=create)
+    assert made == list(CONTRACTS)
+    for name in made:
+        assert spark.table(f"made_{name}").schema == CONTRACTS[name].schema() or spark.table(f"made_{name}").columns == CONTRACTS[name].schema().names
+        spark.sql(f"DROP TABLE made_{name}")
+    made.clear()
+    load(spark, sources, tmp_path, Warehouse(spark, tmp_path / "x"), run_id="2", only=["fact_sales", "dim_store"], create=lambda c: made.append(c.table))
+    assert made == ["dim_store", "fact_sales"]
+
+
+def test_the_warehouse_ddl_holds_the_whole_star(spark, sources):
+    """In a database: all eight tables, with their keys, take the rows of the star, the movie with two categories too."""
+    duck = duckdb.connect()
+    create = warehouse_creator(lambda statements: [duck.execute(s) for s in statements])
+    star = build_star(sources)
+    for _ in range(2):
+        for name in CONTRACTS:
+            create(CONTRACTS[name])
+    for name in ("dim_movie", "dim_store", "dim_rental_date"):
+        rows = [tuple(r) for r in star[name].collect()]
+        duck.executemany(f"INSERT INTO {name} VALUES ({', '.join('?' * len(rows[0]))})", rows)
+        assert duck.execute(f"SELECT count(*) FROM {name}").fetchone()[0] == len(rows)
+    with pytest.raises(duckdb.ConstraintException):
+        duck.executemany(f"INSERT INTO dim_movie VALUES ({', '.join('?' * 12)})", [tuple(r) for r in star["dim_movie"].collect()])
+    assert "REFERENCES dim_movie" not in CONTRACTS["fact_sales"].warehouse_ddl() and "REFERENCES dim_store" in CONTRACTS["fact_sales"].warehouse_ddl()
+
+
+# -- publishing in two steps
+
+
+def test_a_broken_run_is_invisible_and_its_repeat_adds_each_row_once(spark, rows, tmp_path):
+    warehouse = FileWarehouse(spark, f"{tmp_path}/w")
+    assert warehouse.read("t") is None and warehouse.runs("t") == []
+    warehouse.append("t", spark.range(5), "1")
+    fails = spark.range(100, 200, 1, 4).select(F.when(F.col("id") == 190, F.raise_error(F.lit("killed"))).otherwise(F.col("id")).cast("bigint").alias("id"))
+    with pytest.raises(Exception, match="killed"):
+        warehouse.append("t", fails, "2")
+    spark.range(100, 130).write.mode("overwrite").parquet(warehouse.run_folder("t", "2"))  # the half that a task left
+    assert warehouse.read("t").count() == 5
+    for _ in range(2):
+        warehouse.append("t", spark.range(100, 200), "2")
+    assert [r[0] for r in rows(warehouse.read("t"))] == sorted([*range(5), *range(100, 200)], key=lambda i: repr((i,)))
+
+
+class StagedInDuck:
+    """Stands in for the JDBC write: the rows go to DuckDB, those of the first task twice, as after a repeat."""
+
+    def __init__(self, duck, df):
+        self.duck, self.df, self.kept, self.sparkSession, self.columns = duck, df, {}, None, df.columns
+
+    def withColumn(self, name, column):
+        return StagedInDuck(self.duck, self.df.withColumn(name, column))
+
+    @property
+    def write(self):
+        return self
+
+    def format(self, name):
+        assert name == "jdbc"
+        return self
+
+    def options(self, **options):
+        self.kept = options
+        return self
+
+    def mode(self, mode):
+        assert mode == "overwrite"
+        return self
+
+    def save(self):
+        rows = self.df.toPandas()
+        first = rows[rows["run_row"] < 1 << 33]
+        self.duck.execute(f"CREATE OR REPLACE TABLE {self.kept['dbtable']} AS SELECT * FROM rows UNION ALL SELECT * FROM first")
+
+
+def test_rows_published_over_jdbc_are_there_once(spark):
+    duck = duckdb.connect()
+    duck.execute("CREATE TABLE sales (id BIGINT, v BIGINT)")
+    fail = []
+
+    def execute(statements):
+        duck.execute("BEGIN")
+        try:
+            for n, s in enumerate(statements):
+                if fail and "INSERT" in s and n == fail[0]:
+                    raise OSError("connection lost")
+                duck.execute(s)
+            duck.execute("COMMIT")
+        except OSError:
+            duck.execute("ROLLBACK")
+            raise
+
+    connection = JdbcConnection("jdbc:any://host/db", "any.Driver")
+    df = StagedInDuck(duck, spark.range(0, 20, 1, 4).selectExpr("id % 10 AS id", "id % 5 AS v"))
+    fail.append(1)
+    with pytest.raises(OSError):
+        publish_jdbc(df, connection, "sales", "run 1", execute=execute)
+    assert duck.execute("SELECT count(*) FROM sales").fetchone()[0] == 0
+    fail.clear()
+    for _ in range(2):
+        publish_jdbc(df, connection, "sales", "run 1", CONTRACTS["dim_store"], execute=execute)
+    assert Counter(duck.execute("SELECT id, v FROM sales").fetchall()) == Counter((i % 10, i % 5) for i in range(20))
+    jdbc_publisher(connection, "it's 2", CONTRACTS, execute)("sales", df)
+    assert duck.execute("SELECT count(*) FROM sales").fetchone()[0] == 40
+    assert sorted(r[0] for r in duck.execute("SELECT run_id FROM loaded_runs").fetchall()) == ["it's 2", "run 1"]
+    assert {r[0] for r in duck.execute("SHOW TABLES").fetchall()} == {"sales", jdbc_sink.RUNS_TABLE}
+
+
+# -- work folders
+
+
+def folders(spark):
+    return {p.name for p in Path(f"{shared_folder(spark).removeprefix('file:')}/starloom").glob("*")}
+
+
+@pytest.mark.parametrize("name", ["check_all", "load_star_counts", "write_both_counts"])
+def test_only_the_result_of_a_query_is_left(spark, name):
+    before = folders(spark)
+    result = QUERIES[name](spark, "/root/testdata/sf0.001")
+    left = folders(spark) - before
+    assert len(left) == 1 and all(next(iter(left)) in f for f in result.inputFiles())
+
+
+def test_a_run_leaves_its_tables_and_marks_only(spark, sources, tmp_path):
+    warehouse = Warehouse(spark, tmp_path / "w")
+    load(spark, sources, tmp_path, warehouse)
+    assert {p.name for p in (tmp_path / "work/star/1").glob("*")} == {"tables", "loaded"}
+    load_star(spark, sources, "2", f"{tmp_path}/work", f"{tmp_path}/extracts", lambda n, d: None, keep_work=True)
+    assert {p.name for p in (tmp_path / "work/star/2").glob("*")} == {"tables", "loaded", "sources", "geography"}
+
+
+def test_a_scratch_folder_goes_also_after_an_error(spark):
+    with pytest.raises(ZeroDivisionError), scratch_folder(spark, "x") as folder:
+        spark.range(3).write.parquet(folder)
+        assert Path(folder.removeprefix("file:")).exists()
+        raise ZeroDivisionError
+    assert not Path(folder.removeprefix("file:")).exists()
