@@ -1,10 +1,11 @@
-"""What the operators share: staging in the shared folder and connected components."""
+"""What the operators share: staging in the shared folder, row keys and connected components."""
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.sources.session import shared_folder
@@ -26,13 +27,36 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+#: The columns of a row key.
+ROW_KEY = "struct<file:long,row:long>"
+
+
+def row_key() -> Column:
+    """A hash of a row's file and its number in it: the same in every scan, however Spark splits the files."""
+    return F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+
+
+def with_files(docs: DataFrame, *columns: str) -> DataFrame:
+    """``columns`` of ``docs`` as a frame in which ``row_key`` can be taken.
+
+    A frame over Parquet files, projected or filtered, is left as it is; it must not hold a row
+    of a file twice, as an explode would make it. Any other frame is staged first.
+    """
+    rows = docs.select(*dict.fromkeys(columns))
+    try:
+        rows.select(row_key())
+    except AnalysisException:
+        return staged(rows, "rows")
+    return rows
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component) of every node of ``links`` (a, b); component is the smallest node reachable.
 
     Alternating large-star and small-star steps: each is one aggregate with a map-side
-    minimum and one join, so a hub's links are never gathered in one place. Rounds grow
-    with the logarithm of the longest chain; each is written to the shared folder, and
-    the rounds stop when the links no longer change. Nulls and self-links are ignored.
+    minimum and one join. Both sides of a join are staged, so that it has a plain shuffle on
+    each, which AQE can split at a hub. Rounds grow with the logarithm of the longest
+    chain, and stop when the links no longer change. Nulls and self-links are ignored.
     """
     edges = staged(
         links.where("a != b").select(F.least("a", "b").alias("v"), F.greatest("a", "b").alias("u")).distinct(),
@@ -47,9 +71,10 @@ def components(links: DataFrame) -> DataFrame:
             )
         before = tuple(mark)
         both = edges.select("u", "v").union(edges.select("v", "u"))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = staged(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = staged(large.distinct(), "links")
+        least = staged(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(least, "u").select(
             F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")
         )

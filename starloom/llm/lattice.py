@@ -238,7 +238,8 @@ def lattice_links(vectors: DataFrame, cosine: float = 0.93) -> DataFrame:
     links = found.where("links > 0").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
     groups = components(found.where("b >= 0").select("a", "b"))
     named = nodes.select("node", "label", "h", "body", "rep", "copies").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    smallest = named.groupBy("component").agg(F.min("rep").alias("component_id"))
+    # Staged, so that the join has a plain shuffle on both sides, which AQE can split at a large component.
+    smallest = staged(named.groupBy("component").agg(F.min("rep").alias("component_id")), "smallest")
     labelled = named.join(smallest, "component").join(links, "node", "left")
     by_node = labelled.select("label", "h", "body", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "component_id")
     placed = rows.join(by_node, ["label", "h", "body"]).select("vec_id", "n_links", "component_id")

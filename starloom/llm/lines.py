@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.llm.common import staged
+from starloom.llm.common import row_key, staged, with_files
 
 
 def _windows(docs: DataFrame, width: int) -> DataFrame:
@@ -36,12 +36,16 @@ def line_dedup(docs: DataFrame, width: int = 3, carry: Sequence[str] = ("doc_id"
     line that a later one covers is removed, also where windows overlap, so a line repeated
     over and over shrinks to its first. Windows of blank lines only do not count.
 
-    ``docs`` needs doc_id and text, and must come from files or a staged table: rows of null or
-    repeated doc_id are told apart by their place in the scan. Null text: no lines, kept is
-    null. Texts of fewer lines than ``width`` stay whole. Empty table: no rows.
+    ``docs`` needs doc_id and text; see ``with_files`` for what it may be. Rows of null or
+    repeated doc_id are told apart by file and row. ``carry`` may name any of its columns but
+    n_lines, removed and kept, which raise. Null text: no lines, kept is null. Texts of fewer
+    lines than ``width`` stay whole. A text of any length is split in one piece, in a few
+    times its own memory. Empty table: no rows.
     """
-    keyed = docs.select(
-        *carry, F.col("text").cast("string").alias("__text"), F.col("doc_id").cast("long").alias("__id"), F.monotonically_increasing_id().alias("__key")
+    if clash := {"n_lines", "removed", "kept"} & set(carry):
+        raise ValueError(f"columns to carry clash with the result: {sorted(clash)}")
+    keyed = with_files(docs, *carry, "doc_id", "text").select(
+        *carry, F.col("text").cast("string").alias("__text"), F.col("doc_id").cast("long").alias("__id"), row_key().alias("__key")
     )
     texts = keyed.select(F.col("__id").alias("id"), F.col("__key").alias("key"), F.col("__text").alias("text"))
     windows = staged(_windows(texts, width), "windows")

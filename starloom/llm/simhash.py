@@ -15,16 +15,16 @@ tested inside the join, so only true links leave it.
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from starloom.llm.common import components, staged
+from starloom.llm.common import components, row_key, staged, with_files
 
 SEED = 42
 #: Constants of the public XXH64 definition.
@@ -150,18 +150,17 @@ def text_groups(texts: pa.Array, most: int = GROUP_BYTES) -> Iterator[tuple[int,
         i = j
 
 
-def fingerprinted(docs: DataFrame, words: int = 4) -> DataFrame:
-    """(doc_id, fp long) of every row of ``docs`` (doc_id, text). One pass, no shuffle."""
+def fingerprinted(docs: DataFrame, words: int = 4, carry: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """``carry`` and fp (long) of every row of ``docs`` (text, more columns). One pass, no shuffle."""
+    schema = T.StructType([*(docs.schema[c] for c in carry), T.StructField("fp", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, data, bounds in text_groups(batch.column("text")):
                 found = fingerprints(data, bounds, words).view(np.int64)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id")[i:j], pa.array(found)], ["doc_id", "fp"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c)[i:j] for c in carry), pa.array(found)], [*carry, "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, fp long"
-    )
+    return docs.select(*carry, F.col("text").cast("string")).mapInArrow(run, schema)
 
 
 def _mask(low: int, width: int) -> Column:
@@ -216,233 +215,50 @@ def fingerprint_links(fps: DataFrame, bits: int = 4) -> DataFrame:
     ).select("a", "b")
 
 
+def grouped(rows: DataFrame, bits: int, first: Column) -> DataFrame:
+    """``rows`` (fp, more columns) with ``first``: its smallest value in the component of fp.
+
+    Components are of links of at most ``bits`` differing bits. Equal fingerprints are one
+    node, so a group of copies costs one row after the first aggregate. Pass a staged frame.
+    """
+    nodes = staged(rows.groupBy("fp").agg(F.min(first).alias("first")), "nodes")
+    groups = staged(components(fingerprint_links(nodes.select("fp"), bits).distinct()), "components")
+    named = nodes.join(groups, nodes["fp"] == groups["node"])
+    # Staged, here and below, so that the joins have a plain shuffle on both sides, which AQE can split at a large group.
+    smallest = staged(named.groupBy("component").agg(F.min("first").alias("linked")), "smallest")
+    linked = groups.join(smallest, "component").select(F.col("node").alias("fp"), "linked")
+    labels = staged(nodes.join(linked, "fp", "left").select("fp", F.coalesce("linked", "first").alias("first")), "labels")
+    return rows.join(labels, "fp")
+
+
 def simhash_components(docs: DataFrame, words: int = 4, bits: int = 4) -> DataFrame:
     """(doc_id, fingerprint, component_id) of every row of ``docs`` (doc_id, text; more columns are ignored).
 
     fingerprint is 16 lowercase hex digits; component_id the smallest doc_id reachable over
-    links of at most ``bits`` differing bits, the row's own included. Equal fingerprints are
-    one node, so a group of copies costs one row after the first aggregate.
+    links of at most ``bits`` differing bits, the row's own included.
 
     Null or blank text: fingerprint zero, linked like any other. Null doc_id: the row stays,
     but cannot name a component (component_id is null if all its group's ids are). Repeated
-    doc_ids: one row each. Empty table: empty result.
+    doc_ids: one row each. A text of any length is hashed in one piece, in some 35 times its
+    own memory. Empty table: empty result.
     """
-    rows = staged(fingerprinted(docs, words), "fingerprints")
-    nodes = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
-    groups = components(fingerprint_links(nodes.select("fp"), bits).distinct())
-    named = nodes.join(groups, nodes["fp"] == groups["node"])
-    smallest = named.groupBy("component").agg(F.min("least").alias("least"))
-    linked = named.select("fp", "component").join(smallest, "component").select("fp", F.col("least").alias("linked"))
-    labels = nodes.join(linked, "fp", "left").select("fp", F.coalesce("linked", "least").alias("component_id"))
-    # Staged, so that the join has a plain shuffle on both sides, which AQE can split at a group of copies.
-    return rows.join(staged(labels, "labels"), "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    rows = staged(fingerprinted(docs.select(F.col("doc_id").cast("long"), "text"), words), "fingerprints")
+    return grouped(rows, bits, F.col("doc_id")).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("first").alias("component_id")
     )
 
 
-# -- similarity of shingle sets, beyond what 64 bits can tell
-
-#: Words of a wide fingerprint.
-WIDE = 16
-#: Shingles counted together.
-COUNTED = 4096
-
-
-def wide_fingerprints(data: np.ndarray, bounds: np.ndarray, words: int) -> np.ndarray:
-    """``WIDE`` 64-bit fingerprints a text, from independent remixes of each shingle's hash; zero without words."""
-    hashes, edges = shingle_hashes(data, bounds, words)
-    out = np.zeros((len(bounds) - 1, WIDE), dtype=np.uint64)
-    salts = np.arange(WIDE, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    for i in range(len(out)):
-        votes = np.zeros(WIDE * 64, dtype=np.float64)
-        for s in range(edges[i], edges[i + 1], COUNTED):
-            own = hashes[s : min(s + COUNTED, edges[i + 1])]
-            with np.errstate(over="ignore"):
-                z = own[:, None] + salts
-                z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-                z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-                z ^= z >> np.uint64(31)
-            bits = np.unpackbits(z.view(np.uint8), axis=1, bitorder="little").astype(np.float32)
-            votes += np.ones(len(own), np.float32) @ bits
-        out[i] = np.packbits(2 * votes > edges[i + 1] - edges[i], bitorder="little").view(np.uint64)
-    return out
-
-
-def differing_share(similarity: float) -> float:
-    """The share of bits in which texts of that Jaccard similarity of shingles are expected to differ."""
-    return math.acos(2 * similarity / (1 + similarity)) / math.pi
-
-
-#: Bits that tell sets apart cheaply, members of a bucket on one side of a comparison, and members sent at once.
-PARITY, BUCKET_BLOCK, MEMBERS = 512, 64, 1 << 16
-#: Hashes below are counted before a prefix is chosen: two fifths, twice what a prefix at 0.8 takes.
-COUNTED_BELOW = (1 << 64) * 2 // 5
-SLACK = 1e-9
-#: Bytes of text whose shingles are hashed together here.
-SET_BYTES = 1 << 20
-
-
-def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
-    """(key, doc_id, same, n, counted, parity, shingles) of every row of ``docs`` (key, doc_id, text).
-
-    shingles holds the n distinct hashes, ascending, less 2^63; counted is how many lie below
-    ``COUNTED_BELOW``. Rows of equal sets have an equal 128-bit digest ``same``. Each hash toggles
-    one of the ``PARITY`` bits, so two rows differ in at most as many bits as hashes.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i, j, data, bounds in text_groups(batch.column("text"), SET_BYTES):
-                hashes, edges = shingle_hashes(data, bounds, words)
-                own = [np.unique(hashes[s:e]) for s, e in zip(edges[:-1], edges[1:], strict=True)]
-                bodies = [(x ^ np.uint64(1 << 63)).tobytes() for x in own]
-                odd = [np.bincount((x % np.uint64(PARITY)).astype(np.int64), minlength=PARITY) & 1 for x in own]
-                columns = [
-                    batch.column("key")[i:j],
-                    batch.column("doc_id")[i:j],
-                    pa.array([xxhash.xxh3_128_digest(b) for b in bodies], pa.binary()),
-                    pa.array([len(x) for x in own], pa.int32()),
-                    pa.array([int(np.searchsorted(x, np.uint64(COUNTED_BELOW))) for x in own], pa.int32()),
-                    pa.array([np.packbits(x.astype(np.uint8)).tobytes() for x in odd], pa.binary()),
-                    pa.array(bodies, pa.binary()),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, ["key", "doc_id", "same", "n", "counted", "parity", "shingles"])
-        pa.default_memory_pool().release_unused()
-
-    texts = docs.select(F.col("key").cast("long"), F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return texts.mapInArrow(run, "key long, doc_id long, same binary, n int, counted int, parity binary, shingles binary")
-
-
-def prefix_size(n: int, similarity: float) -> int:
-    """Of sets of that similarity, the first so many of n members, in any one order, cannot all be missing in the other."""
-    return n - math.ceil(similarity * n - SLACK) + 1
-
-
-def shared_prefixes(sets: DataFrame, similarity: float) -> DataFrame:
-    """(node, n, h): the members of each set's prefix that other sets of ``sets`` hold as well; key names the node.
-
-    Members below ``COUNTED_BELOW`` come first, the rarest first; the others follow by value and are
-    looked at only where the first do not fill the prefix. A member that no other set holds
-    fills its place and leaves no row, so a set without near copies mostly leaves none.
-    """
-
-    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n, counted = batch.column("n").to_pylist(), batch.column("counted").to_pylist()
-            own = [np.frombuffer(b.as_buffer(), np.int64) for b in batch.column("shingles")]
-            own = [x[: max(c, prefix_size(k, similarity))] for x, k, c in zip(own, n, counted, strict=True)]
-            nodes = np.repeat(batch.column("key").to_numpy(), [len(x) for x in own])
-            h = np.concatenate([*own, np.zeros(0, np.int64)])
-            for s in range(0, len(h), MEMBERS):
-                yield pa.RecordBatch.from_arrays([pa.array(nodes[s : s + MEMBERS]), pa.array(h[s : s + MEMBERS])], ["node", "h"])
-        pa.default_memory_pool().release_unused()
-
-    held = sets.where("n > 0").select("key", "n", "counted", "shingles").mapInArrow(members, "node long, h long")
-    # Staged, so that the join has a plain shuffle on both sides, which AQE can split at a hot shingle.
-    often = staged(held.groupBy("h").agg(F.count("*").alias("times")).where("times > 1"), "often")
-    late = F.col("h") >= COUNTED_BELOW - (1 << 63)
-    shared = held.join(often, "h").groupBy("node").agg(F.array_sort(F.collect_list(F.struct(late.alias("late"), F.when(late, 0).otherwise(F.col("times")).alias("times"), "h"))).alias("own"))
-    sizes = sets.select(F.col("key").alias("node"), "n", "counted")
-    lone = F.expr("counted - size(filter(own, x -> NOT x.late))")
-    left = F.col("n") - F.ceil(similarity * F.col("n") - SLACK).cast("int") + 1 - lone
-    return shared.join(sizes, "node").where(left > 0).select("node", "n", F.explode(F.slice("own", F.lit(1), left)).alias("x")).select("node", "n", "x.h")
-
-
-def similar_pairs(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Those ``pairs`` (a, b: keys of ``sets``) whose Jaccard similarity is at least ``similarity``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ok = []
-            for one, two in zip(batch.column("sa"), batch.column("sb"), strict=True):
-                x, y = np.frombuffer(one.as_buffer(), np.int64), np.frombuffer(two.as_buffer(), np.int64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                ok.append(both >= similarity * (len(x) + len(y) - both) - SLACK)
-            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
-        pa.default_memory_pool().release_unused()
+def simhash_dedup(docs: DataFrame, carry: Sequence[str] = ("doc_id", "text"), words: int = 4, bits: int = 4) -> DataFrame:
+    """The ``carry`` columns of one row of each component of ``docs`` (doc_id, text), see ``simhash_components``.
 
-    one, two = (sets.select(F.col("key").alias(k), F.col("shingles").alias(f"s{k}")) for k in "ab")
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
-
-
-def _block_pairs(chains: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """(a, b) of the nodes of ``chains`` (h, node, n, component) that share h, are of different components and may be similar.
-
-    All members of a bucket meet, in pairs of blocks of about ``BUCKET_BLOCK``; sizes and parities
-    drop only pairs that cannot be similar.
-    """
-    mixed = chains.groupBy("h").agg(F.count("*").alias("times"), F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    mixed = staged(mixed.select("h", F.ceil(F.col("times") / BUCKET_BLOCK).cast("int").alias("blocks")), "mixed")
-    block = F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks")).cast("int")
-    met = chains.join(mixed, "h").join(sets.select(F.col("key").alias("node"), "parity"), "node").withColumn("block", block)
-    spread = met.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    units = spread.groupBy("h", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two")).agg(
-        F.collect_list(F.struct("block", "node", "component", "n", "parity")).alias("of")
-    )
-    share = (1 - similarity) / (1 + similarity)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column("of")
-            flat, edges = lists.flatten(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
-            side, node, component, n = (flat.field(c).to_numpy() for c in ("block", "node", "component", "n"))
-            bits = np.frombuffer(b"".join(flat.field("parity").to_pylist()), np.uint64).reshape(-1, PARITY // 64)
-            firsts, seconds = batch.column("one").to_numpy(), batch.column("two").to_numpy()
-            for u in range(len(firsts)):
-                at = np.arange(edges[u], edges[u + 1])
-                x, y = at[side[at] == firsts[u]], at[side[at] == seconds[u]]
-                i, j = (v.ravel() for v in np.meshgrid(x, y, indexing="ij"))
-                size, least = n[i] + n[j], np.minimum(n[i], n[j])
-                ok = (component[i] != component[j]) & (least >= similarity * (size - least) - SLACK)
-                if firsts[u] == seconds[u]:
-                    ok &= i < j
-                i, j, size = i[ok], j[ok], size[ok]
-                near = np.bitwise_count(bits[i] ^ bits[j]).sum(1, dtype=np.int64) <= share * size + SLACK
-                one, two = node[i[near]], node[j[near]]
-                if len(one):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(one, two)), pa.array(np.maximum(one, two))], ["a", "b"])
-        pa.default_memory_pool().release_unused()
-
-    return units.select("one", "two", "of").mapInArrow(run, "a long, b long").distinct()
-
-
-def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """(key, doc_id, component) of every row of ``docs`` (key, doc_id, text): groups of near copies; key tells rows apart.
-
-    Rows link if the Jaccard similarity of the sets of their shingles (told apart by 64-bit hashes)
-    is at least ``similarity``; equal sets are one node. No link between groups is missed and none
-    is made below: sets that similar share a member of their prefixes (see ``shared_prefixes``),
-    and every link is decided on the whole sets.
-
-    Nodes that share a member are first held against the first of them, so that a large group of
-    near copies costs rows in proportion. Those that this left in different components then
-    all meet each other, in blocks of bounded size.
-
-    component is the smallest node reachable. Null text is empty; texts without words are one
-    group. Empty table: no rows.
-    """
-    rows = staged(shingle_sets(docs, words), "sets")
-    nodes = staged(rows.groupBy("same").agg(F.min("key").alias("node")), "nodes")
-    sets = rows.join(nodes.select(F.col("node").alias("key")), "key", "left_semi")
-    chains = staged(shared_prefixes(sets, similarity), "prefixes")
-    firsts = chains.groupBy("h").agg(F.count("*").alias("times"), F.min(F.struct("node", "n")).alias("first")).where("times > 1")
-    firsts = staged(firsts.select("h", F.col("first.node").alias("a"), F.col("first.n").alias("m")), "firsts")
-    met = chains.join(firsts, "h").where((F.col("node") != F.col("a")) & (F.least("n", "m") >= similarity * F.greatest("n", "m") - SLACK))
-    links = staged(similar_pairs(met.select("a", F.col("node").alias("b")).distinct(), rows, similarity), "starred")
-    named = chains.join(components(links), "node", "left").select("h", "node", "n", F.coalesce("component", "node").alias("component"))
-    others = staged(_block_pairs(staged(named, "named"), rows, similarity), "candidates")
-    groups = components(links.union(similar_pairs(others, rows, similarity)))
-    labels = nodes.join(groups, "node", "left").select("same", F.coalesce("component", "node").alias("component"))
-    return rows.select("key", "doc_id", "same").join(staged(labels, "labels"), "same").select("key", "doc_id", "component")
-
-
-def similar_components(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """(doc_id, component_id) of every row of ``docs`` (doc_id, text): groups of near copies, as in ``near_copies``.
-
-    component_id is the smallest doc_id reachable. Null doc_id: never named. Repeated doc_ids:
-    one row each. Empty table: no rows.
+    The row of the smallest doc_id stays; of rows that repeat it, or have none while all of the
+    component lack one, the first by file and row. So copies and near copies go by row, and
+    unlike texts under one doc_id are judged each by its own text. Rows without words are
+    one component. See ``with_files`` for what ``docs`` may be. Empty table: no rows.
     """
-    keyed = docs.select(F.monotonically_increasing_id().alias("key"), "doc_id", "text")
-    rows = staged(near_copies(keyed, words, similarity), "groups")
-    smallest = rows.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    return rows.join(staged(smallest, "smallest"), "component").select("doc_id", "component_id")
+    keyed = with_files(docs, *carry, "doc_id", "text").withColumn("__key", row_key())
+    ids = keyed.select("__key", F.col("doc_id").cast("long").alias("__id"), "text")
+    rows = staged(fingerprinted(ids, words, carry=("__key", "__id")), "fingerprints")
+    place = F.struct(F.col("__id").isNull().alias("none"), F.col("__id").alias("id"), F.col("__key").alias("key"))
+    later = grouped(rows, bits, place).where("__key != first.key").select("__key")
+    return keyed.join(staged(later, "later"), "__key", "left_anti").select(*carry)

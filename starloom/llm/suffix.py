@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.llm.common import staged
+from starloom.llm.common import ROW_KEY, row_key, staged, with_files
 from starloom.llm.simhash import text_groups, xxh64
 
 ANCHOR = 48
@@ -80,21 +80,32 @@ def anchors(data: np.ndarray, bounds: np.ndarray, length: int, k: int) -> tuple[
 def _anchored(docs: DataFrame, length: int, k: int) -> DataFrame:
     """One row per anchor of ``docs`` (key, text): h, c (its context's content), key, pos, left, size."""
     reach = length - k
-    kinds = {"h": pa.int64(), "c": pa.int64(), "key": pa.int64(), "pos": pa.int32(), "left": pa.int32(), "size": pa.int32()}
+    key_type = pa.struct([("file", pa.int64()), ("row", pa.int64())])
+    kinds = {"h": pa.int64(), "c": pa.int64(), "key": key_type, "pos": pa.int32(), "left": pa.int32(), "size": pa.int32()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = batch.column("key").to_numpy()
+            keys = batch.column("key")
             for i, _, data, bounds in text_groups(batch.column("text"), GROUP_BYTES):
-                at, h = anchors(data, bounds, length, k)
-                doc = np.searchsorted(bounds, at, "right") - 1
-                left = np.minimum(at - bounds[doc], reach)
-                size = left + k + np.minimum(bounds[doc + 1] - at - k, reach)
-                c = xxh64(data, at - left, size) ^ (left.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-                columns = (h.view(np.int64), c.view(np.int64), keys[i + doc], at - bounds[doc], left, size)
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, kinds.values(), strict=True)], list(kinds))
-
-    return docs.select("key", "text").mapInArrow(run, "h long, c long, key long, pos int, left int, size int")
+                last = -1
+                for s in range(0, max(1, len(data)), GROUP_BYTES) if len(bounds) == 2 else [0]:
+                    part = data[s : s + GROUP_BYTES + length - 1] if len(bounds) == 2 else data
+                    at, h = anchors(part, np.minimum(bounds - s, len(part)) if s == 0 else np.array([0, len(part)]), length, k)
+                    # Windows of two parts can have one anchor, the last of the first part.
+                    at, h = at[at + s > last] + s, h[at + s > last]
+                    if not len(at):
+                        continue
+                    last = int(at[-1])
+                    doc = np.searchsorted(bounds, at, "right") - 1
+                    left = np.minimum(at - bounds[doc], reach)
+                    size = left + k + np.minimum(bounds[doc + 1] - at - k, reach)
+                    low = max(0, s - reach)
+                    c = xxh64(data[low : s + len(part) + reach], at - left - low, size) ^ (left.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+                    columns = {"h": h.view(np.int64), "c": c.view(np.int64), "pos": at - bounds[doc], "left": left, "size": size}
+                    arrays = {"key": keys.take(pa.array(i + doc))} | {n: pa.array(x, kinds[n]) for n, x in columns.items()}
+                    yield pa.RecordBatch.from_arrays([arrays[n] for n in kinds], list(kinds))
+
+    return docs.select("key", "text").mapInArrow(run, f"h long, c long, key {ROW_KEY}, pos int, left int, size int")
 
 
 def suffix_order(symbols: np.ndarray) -> np.ndarray:
@@ -246,7 +257,8 @@ def _halved(contexts: DataFrame, length: int, k: int) -> DataFrame | None:
             ),
             "ranges",
         )
-        twice = lambda by, nodes=nodes: nodes.groupBy(*by).agg(F.count("*").alias("times")).where("times > 1").drop("times")
+        # Staged, so that the joins have a plain shuffle on both sides, which AQE can split at a hot range.
+        twice = lambda by, nodes=nodes: staged(nodes.groupBy(*by).agg(F.count("*").alias("times")).where("times > 1").drop("times"), "twice")
         shared = ["h", "lo", "inner"]
         whole = ["h", "lo", "a", "b", "hull"]
         alive = nodes.join(twice(shared), shared, "left_semi")
@@ -277,7 +289,7 @@ def repeated_passages(docs: DataFrame, length: int = 200, anchor: int = ANCHOR)
         ),
         "contexts",
     )
-    groups = contents.groupBy("h").agg(F.count("*").alias("different")).where("different > 1")
+    groups = staged(contents.groupBy("h").agg(F.count("*").alias("different")).where("different > 1"), "groups")
     wanted = contents.join(groups, "h")
     per_doc = wanted.groupBy(F.col("one.key").alias("key")).agg(
         F.collect_list(F.struct("h", "c", "n", F.col("one.pos").alias("pos"), "left", "size", "different")).alias("wanted")
@@ -330,12 +342,17 @@ def suffix_dedup(
     never cross texts. With ``characters`` a removed run gives up bytes of characters that it
     covers in part, so that ``kept`` stays valid UTF-8.
 
-    ``docs`` must come from files (or a staged table): rows are told apart by their place
-    in the scan, not by doc_id, so null and repeated ids are separate texts. Null text is
-    empty. Texts shorter than ``length`` stay whole. Two equal rows remove each other.
-    Empty table: no rows.
+    See ``with_files`` for what ``docs`` may be: rows are told apart by file and row, not by
+    doc_id, so null and repeated ids are separate texts. ``carry`` may name any of its columns
+    but n_bytes, removed and kept, which raise. Null text is empty. Texts shorter than
+    ``length`` stay whole. Two equal rows remove each other. Long texts are searched for
+    anchors in parts of bounded size. Empty table: no rows.
     """
-    keyed = docs.select(*carry, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("__text"), F.monotonically_increasing_id().alias("__key"))
+    if clash := {"n_bytes", "removed", "kept"} & set(carry):
+        raise ValueError(f"columns to carry clash with the result: {sorted(clash)}")
+    keyed = with_files(docs, *carry, "text").select(
+        *carry, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("__text"), row_key().alias("__key")
+    )
     spans = repeated_passages(keyed.select(F.col("__key").alias("key"), F.col("__text").alias("text")), length, anchor)
     joined = keyed.join(spans.select(F.col("key").alias("__key"), F.col("spans").alias("__spans")), "__key", "left").drop("__key")
     schema = T.StructType(

@@ -16,7 +16,7 @@ def documents(spark):
 
 def test_names():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "line_dedup", "near_dedup", "suffix_dedup", "packing"]
-    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(__spark_entry__.queries()) and set(ORACLES) <= set(__spark_entry__.oracle_sql())
 
 
@@ -33,7 +33,9 @@ def test_stages_keep_the_columns_and_take_effect(spark, tmp_path):
     assert scored.count() == docs.count() == lined.count()
     assert {r.doc_id: r.text for r in lined.where("doc_id >= 400").collect()} == {400: "head\n" + "\n".join(f"line {i} of the licence" for i in range(5)) + "\nfoot", 401: ""}
     ids = [r.doc_id for r in single.collect()]
-    assert 103 in ids and 200 not in ids and 201 not in ids and {300, 301, 5, 6, 7} <= set(ids) and ids.count(None) == 2 and ids.count(10) == 1
+    # Copies, also under one id, and texts without words (5, 6, 7, a null id, and 401, emptied by line dedup) leave one row each.
+    assert 103 in ids and 200 not in ids and 201 not in ids and {300, 301, 5} <= set(ids) and not {6, 7, 401} & set(ids)
+    assert ids.count(None) == 1 and ids.count(10) == 2
     before = single.collect()
     expected = sorted((k.decode() for _, k in brute([r.text for r in before], 200)))
     assert sorted(r.text for r in cut.collect()) == expected
@@ -58,7 +60,7 @@ def test_run_on_empty_documents(spark, tmp_path):
 
 
 def test_rows_of_one_doc_id_are_judged_by_their_texts(spark, tmp_path):
-    rows = [(1, sentence(1)), (2, sentence(2)), (2, sentence(1) + " tail"), (2, sentence(5)), (3, sentence(5)), (3, sentence(7)), (3, sentence(7))]
+    rows = [(1, sentence(1)), (2, sentence(2)), (2, sentence(1) + "\n"), (2, sentence(5)), (3, sentence(5)), (3, sentence(7)), (3, sentence(7))]
     docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     kept = corpus_pipeline.drop_near_copies(spark, stored(docs, f"{tmp_path}/documents"), str(tmp_path)).collect()
     assert sorted((r.doc_id, r.text) for r in kept) == sorted([(1, sentence(1)), (2, sentence(2)), (2, sentence(5)), (3, sentence(7))])

@@ -6,8 +6,8 @@ import pyarrow as pa
 import xxhash
 
 from starloom.llm.common import components
-from starloom.llm.simhash import differing_share, fingerprint_links, fingerprints, similar_components, simhash_components, text_groups, wide_fingerprints, xxh64
-from tests.llm.edge_rows import DOCS_SCHEMA, edge_docs
+from starloom.llm.simhash import fingerprint_links, fingerprints, simhash_components, simhash_dedup, text_groups, xxh64
+from tests.llm.edge_rows import DOCS_SCHEMA, edge_docs, stored
 
 WORD = re.compile(rb"[^\x20\x09-\x0d]+")
 
@@ -94,130 +94,17 @@ def test_whole_operator_on_edge_rows(spark):
 
 def test_empty_table(spark):
     assert simhash_components(spark.createDataFrame([], DOCS_SCHEMA)).count() == 0
-    assert similar_components(spark.createDataFrame([], DOCS_SCHEMA)).count() == 0
-
-
-def near_copies(rng, n, changes):
-    """n invented texts and a copy of each with that many of its 120 words replaced."""
-    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
-    out = []
-    for _ in range(n):
-        words = [word() for _ in range(120)]
-        copy = list(words)
-        for i in rng.sample(range(0, 120, 6), changes):
-            copy[i] = word()
-        out.append((" ".join(words), " ".join(copy)))
-    return out
-
-
-def jaccard(a, b, k=5):
-    x, y = ({tuple(t.split()[i : i + k]) for i in range(len(t.split()) - k + 1)} for t in (a, b))
-    return len(x & y) / len(x | y)
-
-
-def test_wide_fingerprints_tell_the_similarity():
-    for changes in (1, 2, 4, 6):
-        pairs = near_copies(random.Random(changes), 60, changes)
-        prints = [np.concatenate([wide_fingerprints(d, b, 5) for _, _, d, b in text_groups(pa.array(side))]) for side in zip(*pairs, strict=True)]
-        share = np.bitwise_count(prints[0] ^ prints[1]).sum(1) / 1024
-        expected = np.array([differing_share(jaccard(a, b)) for a, b in pairs])
-        assert np.abs(share - expected).mean() < 0.02
-
-
-def test_near_copies_meet_and_others_do_not(spark):
-    rng = random.Random(9)
-    close, far = near_copies(rng, 80, 2), near_copies(rng, 40, 12)
-    assert min(jaccard(a, b) for a, b in close) > 0.83 and max(jaccard(a, b) for a, b in far) < 0.4
-    texts = [t for pair in close + far for t in pair]
-    got = {r.doc_id: r.component_id for r in similar_components(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
-    assert sum(got[2 * i + 1] == 2 * i for i in range(80)) >= 74
-    assert all(got[i] == i for i in range(160, 240))
-
-
-def test_one_large_group_of_near_copies(spark):
-    rng = random.Random(10)
-    words = ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(200)]
-    texts = [" ".join(words)]
-    for k in range(300):
-        copy = list(words)
-        copy[k % 200] = f"new{k}"
-        texts.append(" ".join(copy))
-    rows = spark.createDataFrame([(i + 5, t) for i, t in enumerate(texts)] + [(None, texts[0]), (1, "alone here in this text")], "doc_id long, text string")
-    got = similar_components(rows).collect()
-    assert {r.component_id for r in got if r.doc_id != 1} == {5} and len(got) == 303
-
-
-def test_similar_edge_rows(spark):
-    docs = edge_docs(spark)
-    got = {r.doc_id: r.component_id for r in similar_components(docs).collect() if r.doc_id}
-    assert got[1] == got[3] == 1 and got[2] == 2 and got[5] == got[6] == got[7] == 5 and got[8] == 8 and got[10] == 10
-    assert similar_components(docs).count() == docs.count()
-
-
-def grouped(spark, texts):
-    rows = similar_components(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
-    return [component for _, component in sorted((r.doc_id, r.component_id) for r in rows)]
-
-
-def brute_groups(texts, similarity=0.8):
-    parent = list(range(len(texts)))
 
-    def find(x):
-        while parent[x] != x:
-            x = parent[x]
-        return x
 
-    sets = [{tuple(t.split()[i : i + 5]) for i in range(max(1, len(t.split()) - 4))} for t in texts]
-    for i in range(len(texts)):
-        for j in range(i):
-            if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
-                low, high = sorted((find(i), find(j)))
-                parent[high] = low
-    return [find(i) for i in range(len(texts))]
-
-
-def invented(rng, n):
-    return ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(n)]
-
-
-def test_members_of_a_full_bucket_meet_each_other(spark):
-    """Every text shares a passage, so that all prefixes meet in the same buckets, of several blocks; pairs are lone."""
-    rng = random.Random(21)
-    passage, texts = invented(rng, 60), []
-    for _ in range(150):
-        own = invented(rng, 20)
-        copy = list(own)
-        copy[10] = "other"
-        texts += [" ".join(passage + own), " ".join(passage + copy)]
-    got = grouped(spark, texts)
-    assert got == brute_groups(texts) and got == [i // 2 * 2 for i in range(300)]
-
-
-def test_no_pair_at_the_threshold_is_lost(spark):
-    """Short and long pairs from just 0.8 on, where no run of equal fingerprint bits is certain."""
-    rng, texts = random.Random(22), []
-    for n in [4, 9, 14, 40, 90, 185] * 20:
-        words = invented(rng, n + 4)
-        texts += [" ".join(words), " ".join(words + invented(rng, n // 4))]
-    assert all(0.8 <= jaccard(a, b) < 0.83 for a, b in zip(texts[::2], texts[1::2], strict=True))
-    assert grouped(spark, texts) == [i // 2 * 2 for i in range(len(texts))]
-
-
-def test_one_repeated_shingle_makes_no_copy(spark):
-    """Texts of mostly one shingle over and over, otherwise unlike; equal sets of shingles are one node."""
-    rng = random.Random(23)
-    texts = ["0 " * 200 + " ".join(invented(rng, 60)) for _ in range(20)] + ["la " * 50, "la " * 70]
-    assert grouped(spark, texts) == brute_groups(texts) == [*range(20), 20, 20]
-
-
-def test_pairs_below_the_threshold_stay_apart(spark):
-    """Pairs at 0.7 to just below 0.8, and a chain of them."""
-    rng, texts = random.Random(24), []
-    for more in [21, 22, 23, 24, 26, 30, 34] * 10:
-        words = invented(rng, 84)
-        texts += [" ".join(words), " ".join(words + invented(rng, more))]
-    chain = invented(rng, 180)
-    texts += [" ".join(chain[s : s + 84]) for s in range(0, 96, 10)]
-    close = [jaccard(a, b) for a, b in zip(texts[:140:2], texts[1:140:2], strict=True)]
-    assert 0.7 <= min(close) and max(close) < 0.8 and jaccard(texts[140], texts[141]) < 0.8
-    assert grouped(spark, texts) == list(range(len(texts)))
+def test_dedup_keeps_one_row_of_each_component(spark, tmp_path):
+    rng = random.Random(31)
+    words = [rng.choice("abcdefghij") * rng.randint(1, 9) + str(k) for k in range(400)]
+    near = " ".join(words[:200] + ["changed"] + words[200:])
+    rows = [(4, " ".join(words)), (4, " ".join(words)), (3, near), (3, "an other text under the same id"), (None, "an other text under the same id")]
+    rows += [(None, "without id"), (None, "without id"), (9, None), (8, " "), (None, "")]
+    docs = stored(spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, __key int").repartition(4), tmp_path / "d")
+    prints = [brute_fingerprint(t, 4) for _, t in rows]
+    assert (prints[0] ^ prints[2]).bit_count() <= 4  # else the fixture says nothing
+    kept = sorted(((r.doc_id, r.text) for r in simhash_dedup(docs.drop("__key")).collect()), key=repr)
+    assert kept == sorted([(3, near), (3, "an other text under the same id"), (None, "without id"), (8, " ")], key=repr)
+    assert simhash_dedup(spark.createDataFrame([], DOCS_SCHEMA)).count() == 0
