@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from starloom.llm.common import staged, table
 from starloom.llm.lines import line_dedup
 from starloom.llm.packing import packed
-from starloom.llm.simhash import near_copies
+from starloom.llm.simhash import simhash_dedup
 from starloom.llm.suffix import suffix_dedup
 from starloom.llm.toxicity import toxicity_scorer
 
@@ -39,21 +39,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near copies, the one of smallest doc_id (of these, the first in the scan).
-
-    Near copies share at least 0.8 of their five-word shingles. Rows are told apart by their place
-    in the scan, so unlike texts under one doc_id all stay; ``docs`` must come from files.
-
-    Rows without words have nothing to be compared by and all stay; so do rows of null doc_id.
-    """
-    worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)) & F.col("doc_id").isNotNull()
-    keyed = docs.select(*COLUMNS, F.monotonically_increasing_id().alias("key"))
-    rows = staged(near_copies(keyed.where(worded), words=5, similarity=0.8), "groups")
-    firsts = rows.groupBy("component").agg(F.count("*").alias("times"), F.min(F.struct("doc_id", "key")).alias("first")).where("times > 1")
-    # Staged, so that the join has a plain shuffle on both sides, which AQE can split at a large group.
-    firsts = staged(firsts.select("component", F.col("first.key").alias("first_key")), "firsts")
-    later = rows.join(firsts, "component").where("key != first_key").select("key")
-    return keyed.join(later, "key", "left_anti").select(*COLUMNS)
+    """One row of each SimHash component (4-word shingles, 4 bits), the one of smallest doc_id; judged by row."""
+    return simhash_dedup(docs, carry=COLUMNS, words=4, bits=4)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
