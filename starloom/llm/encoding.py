@@ -3,12 +3,16 @@
 A text may be encoded piece by piece where no token, merge or look-ahead can reach over the
 cut. ``spaces`` names the rule that holds for a vocabulary:
 
-* ``"dropped"``: white space only separates words, so any space or line feed is a cut;
+* ``"dropped"``: white space only separates words, so any space or line feed is a cut, and
+  marks that end a word are cut off it by a space of their own;
 * ``"leading"``: byte-level pieces carry one leading space, so a single space or line feed
   between two other characters is a cut before it. Texts with longer white space are cut
-  by the same rule spelled out as a pattern, texts with odd blanks not at all;
+  by the same rule spelled out as a pattern, texts with odd blanks only at single spaces
+  between ASCII letters or digits;
 * ``None``: no cut.
 
+A worker remembers words from one task to the next. Where there are too many, the most used stay.
+
 Tests hold all of them against encoding the text as a whole.
 """
 
@@ -27,10 +31,12 @@ BLANK_RE2 = r"\t-\r \x{0085}\x{00a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{
 ODD_RE2 = r"\x{001c}-\x{001f}\x{180e}\x{200b}\x{feff}"
 PIECES = re.compile(f" ?[^{BLANK}]+|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]+")
 UNSAFE = f"[{BLANK_RE2}][{BLANK_RE2}]|^[{BLANK_RE2}]|[{BLANK_RE2}]$"
-#: Words a worker remembers; the memory is emptied beyond that, which changes speed only.
-REMEMBERED = 500_000
-#: Words that a worker may still remember when a task has ended.
-KEPT = 100_000
+ODD_CUT = re.compile(r"(?<=[A-Za-z0-9])(?= [A-Za-z0-9])")
+#: Words that begin with their only blank, and marks between a word and a space.
+SPACED = re.compile(f" [^{BLANK}\x1c-\x1f\u180e\u200b\ufeff]+")
+MARKS, MARKS_APART = r"(\pL)([,.;:!?%&*$]+) ", r"\1 \2 "
+#: Words a worker remembers; beyond that, and at a task's end, the most used of them stay. That changes speed only.
+REMEMBERED, KEPT = 500_000, 200_000
 #: Words encoded in one call; the library's results are large until they are cut to ids.
 AT_ONCE = 10_000
 
@@ -43,12 +49,39 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends_word[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self._forget()
-
-    def _forget(self) -> None:
+        # With tokens that begin with the byte of a space, so can words that begin with one.
+        self.begins_word = np.zeros(len(self.ends_word), dtype=bool)
+        self.begins_word[[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True
         self.known: dict[str, int] = {}
         self.pool = np.zeros(1 << 16, dtype=np.uint32)
         self.ends = np.zeros(1 << 16, dtype=np.int64)
+        self.uses = np.zeros(0, dtype=np.int64)
+
+    def keep(self, most: int) -> None:
+        """Forget all but the ``most`` used words; what is left counts half from now on."""
+        if len(self.known) <= most:
+            return
+        used = np.zeros(len(self.known), dtype=np.int64)
+        used[: len(self.uses)] = self.uses
+        order = np.sort(np.argsort(-used, kind="stable")[:most])
+        words = list(self.known)
+        ids, ends = self._gathered(order)
+        self.known = {words[i]: k for k, i in enumerate(order.tolist())}
+        self.pool = np.concatenate([ids, np.zeros(1 << 16, dtype=np.uint32)])
+        self.ends = np.concatenate([ends, np.zeros(1 << 16, dtype=np.int64)])
+        self.uses = used[order] // 2
+
+    def _gathered(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of remembered words one after the other, and the bounds of each."""
+        sizes = self.ends[at + 1] - self.ends[at]
+        to = np.concatenate([[0], np.cumsum(sizes)])
+        return self.pool[np.arange(to[-1]) + np.repeat(self.ends[at] - to[:-1], sizes)], to
+
+    def _joins(self, word: str) -> bool:
+        """Whether a word may be encoded as part of a long text and told apart by its tokens."""
+        if self.spaces == "dropped":
+            return word.isalpha() and word.lower().isalpha()
+        return self.spaces == "leading" and SPACED.fullmatch(word) is not None
 
     def _encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of ``texts`` joined, and how many each has."""
@@ -57,11 +90,14 @@ class Encoder:
         return np.fromiter((i for f in found for i in f), np.uint32, int(sizes.sum())), sizes
 
     def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """As ``_encoded``; if each word has one word end, as a few long texts."""
-        first = words[0]
-        if self.spaces == "dropped" and first.isalpha() and first.lower().isalpha():
-            ids, _ = self._encoded([" ".join(words[i : i + 500]) for i in range(0, len(words), 500)])
-            ends = np.flatnonzero(self.ends_word[ids]) + 1
+        """As ``_encoded``; if each word has one word end, or beginning, as a few long texts."""
+        if self._joins(words[0]):
+            between = " " if self.spaces == "dropped" else ""
+            ids, _ = self._encoded([between.join(words[i : i + 500]) for i in range(0, len(words), 500)])
+            if self.spaces == "dropped":
+                ends = np.flatnonzero(self.ends_word[ids]) + 1
+            else:
+                ends = np.append(np.flatnonzero(self.begins_word[ids])[1:], len(ids))
             if len(ends) == len(words):
                 return ids, np.diff(ends, prepend=0)
         return self._encoded(words)
@@ -71,9 +107,10 @@ class Encoder:
         new = list(dict.fromkeys(w for w in words if w not in self.known))
         if new:
             n, filled = len(self.known), int(self.ends[len(self.known)])
-            if self.spaces == "dropped":
-                new.sort(key=lambda w: w.isalpha() and w.lower().isalpha())
-            parts = [self._words(new[i : i + AT_ONCE]) for i in range(0, len(new), AT_ONCE)]
+            joins = [self._joins(w) for w in new]
+            alone, together = [w for w, j in zip(new, joins, strict=True) if not j], [w for w, j in zip(new, joins, strict=True) if j]
+            new = alone + together
+            parts = [self._words(group[i : i + AT_ONCE]) for group in (alone, together) for i in range(0, len(group), AT_ONCE)]
             ids, sizes = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
             while n + len(new) + 1 > len(self.ends):
                 self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
@@ -86,18 +123,20 @@ class Encoder:
 
     def _joined(self, at: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of runs of remembered words, run i being ``at[bounds[i]:bounds[i + 1]]``."""
-        sizes = self.ends[at + 1] - self.ends[at]
-        to = np.concatenate([[0], np.cumsum(sizes)])
-        ids = self.pool[np.arange(to[-1]) + np.repeat(self.ends[at] - to[:-1], sizes)]
+        ids, to = self._gathered(at)
+        uses = np.bincount(at, minlength=len(self.known))
+        uses[: len(self.uses)] += self.uses
+        self.uses = uses
         return ids, to[bounds]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids as uint32, and the bounds of each text among them. Null is an empty text."""
         if len(self.known) > REMEMBERED:
-            self._forget()
+            self.keep(KEPT)
         texts = pa.array(texts).fill_null("")
         if self.spaces == "dropped":
-            words = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+            apart = pc.replace_substring_regex(pc.replace_substring(texts, "\n", " "), MARKS, MARKS_APART)
+            words = pc.split_pattern(apart, " ")
             coded = words.flatten().dictionary_encode()
             at = self._indices(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
             offsets = words.offsets.to_numpy().astype(np.int64)
@@ -124,7 +163,7 @@ class Encoder:
             runs[i] = at[a:b]
         for i in np.flatnonzero(unsafe | empty):
             text = texts[int(i)].as_py()
-            runs[i] = self._indices([text] if odd[i] else PIECES.findall(text))
+            runs[i] = self._indices(ODD_CUT.split(text) if odd[i] else PIECES.findall(text))
         sizes = np.fromiter(map(len, runs), np.int64, len(runs))
         return self._joined(np.concatenate(runs) if runs else np.zeros(0, np.int64), np.concatenate([[0], np.cumsum(sizes)]))
 
@@ -140,9 +179,8 @@ def encoder(path: str, spaces: str | None) -> Encoder:
 
 
 def release(path: str, spaces: str | None) -> None:
-    """End of a task: a memory that has grown large is emptied, for what the worker does next."""
-    if len(encoder(path, spaces).known) > KEPT:
-        encoder(path, spaces)._forget()
+    """End of a task: of a memory that has grown large the most used words stay, for what the worker does next."""
+    encoder(path, spaces).keep(KEPT)
 
 
 def byte_slices(texts: pa.Array, most: int = 8 << 20) -> list[tuple[int, int]]:

@@ -9,6 +9,7 @@ import pytest
 from pyarrow import fs
 from tokenizers import Tokenizer
 
+from starloom.llm import encoding
 from starloom.llm.encoding import Encoder
 from starloom.llm.packing import SumOfSquares, packed
 from starloom.llm.tokens import ShardReader, ShardWriter, read_tokens, shuffled, unshuffled, write_tokens
@@ -29,6 +30,30 @@ def test_word_by_word_gives_the_ids_of_whole_texts(path, spaces):
         assert got == [whole.encode(t or "", add_special_tokens=False).ids for t in part.to_pylist()]
 
 
+@pytest.mark.parametrize(("path", "spaces"), [(WORD, "dropped"), (BYTE, "leading")])
+def test_words_remembered_across_calls_keep_their_ids(path, spaces, monkeypatch):
+    """Marks behind words, odd blanks, special tokens; with a memory that overflows at every call."""
+    monkeypatch.setattr(encoding, "REMEMBERED", 40)
+    rng = random.Random(2)
+    parts = ["word", "Word,", "end.", "wow!!!", "a%$,", "don't", "it's.", "É,", "ß;", "x1,", "1.", "...", "a...b", "\u200b", "\ufeff", "<|endoftext|>", "a<|endoftext|>,", " ", "\n", "中,", "e\u0301,", "q" * 50]
+    whole, own = Tokenizer.from_file(path), Encoder(path, spaces)
+    for kept in (30, 5, 0, 1000):
+        texts = [" ".join(rng.choice(parts) + rng.choice(["", "", str(rng.randint(0, 99))]) for _ in range(rng.randint(0, 25))) for _ in range(150)]
+        ids, bounds = own.encode(pa.array(texts))
+        got = [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        assert got == [whole.encode(t, add_special_tokens=False).ids for t in texts]
+        own.keep(kept)
+        assert len(own.known) <= max(kept, 0) or kept == 1000
+        assert list(own.known.values()) == list(range(len(own.known))) and len(own.uses) <= len(own.known)
+
+
+def test_most_used_words_stay():
+    own = Encoder(WORD, "dropped")
+    own.encode(pa.array(["a b c c c d d", "c e"]))
+    own.keep(2)
+    assert set(own.known) == {"c", "d"}
+
+
 @pytest.mark.parametrize("size", [8, 64, 2048])
 def test_packing_fills_every_window(size):
     rng = random.Random(size)
