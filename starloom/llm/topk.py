@@ -31,14 +31,12 @@ LARGEST = (1 << 63) - 1
 def scaled_vectors(vectors: DataFrame, scale: float) -> DataFrame:
     """(vec_id, dim, norm, bucket, body) of usable rows: body holds floor(scale * x) as doubles.
 
-    Rows of null vec_id, null vectors, and null or non-finite components are left out; of
-    rows with one vec_id the smallest vector stays.
+    Rows of null vec_id, null or empty vectors, and null or non-finite components are left out.
     """
     rows = vectors.where("vec_id IS NOT NULL AND embedding IS NOT NULL AND size(embedding) > 0").select(
         F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>")
     )
     rows = rows.where(~F.exists("embedding", lambda x: x.isNull() | x.isNaN() | (F.abs(x) == float("inf"))))
-    rows = rows.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -133,10 +131,12 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: float = 64
     Both frames have vec_id and embedding; components count as floor(scale * x) and the score
     is their inner product, exact, ties to the smaller vec_id. Vectors meet only vectors of
     their own number of components. Unusable rows (see ``scaled_vectors``) take no part;
-    a zero vector takes part with score 0. Empty tables: no rows.
+    a zero vector takes part with score 0. Of repeated vec_ids each row is a candidate; queries
+    of one vec_id share one ranking of what all of them find. Empty tables: no rows.
 
     Queries are taken in blocks and candidates in chunks of bounded size; each pair of the
-    two is one unit of work, so no task holds more than one of each.
+    two is one unit of work, so no task holds more than one of each. A query goes only to
+    buckets whose longest vector can reach its bound.
     """
     candidates, asked = staged(scaled_vectors(vectors, scale), "vectors"), staged(scaled_vectors(queries, scale), "queries")
     seeds = candidates.orderBy(F.desc("norm"), "vec_id").limit(SEEDS).select("vec_id", "dim", "body").collect()
@@ -156,13 +156,16 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: float = 64
 
     asked = staged(asked.mapInArrow(bounded, "vec_id long, dim int, norm double, bucket int, body binary, bound double"), "bounds")
     blocks = asked.groupBy("dim").agg(F.ceil(F.count("*") / QUERY_BLOCK).cast("int").alias("blocks"))
-    chunks = candidates.groupBy("dim", "bucket").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
-    every = chunks.groupBy("dim").agg(F.collect_list(F.struct("bucket", "chunks")).alias("buckets"))
+    chunks = candidates.groupBy("dim", "bucket").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"), F.max("norm").alias("longest"))
+    every = chunks.groupBy("dim").agg(F.collect_list(F.struct("bucket", "chunks", "longest")).alias("buckets"))
+    chunks = chunks.drop("longest")
+    # Negated, so that a product that is no number keeps its bucket.
+    reached = f"filter(buckets, b -> bound IS NULL OR bound <= 0 OR NOT coalesce(norm * b.longest < bound * (1 - {SLACK}D), false))"
     hashed = F.xxhash64("vec_id", F.lit(7))
     left = (
         asked.join(blocks, "dim").join(every, "dim")
         .withColumn("block", F.pmod(hashed, F.col("blocks")).cast("int"))
-        .withColumn("at", F.explode(F.expr("flatten(transform(buckets, b -> transform(sequence(0, b.chunks - 1), c -> struct(b.bucket AS bucket, c AS chunk))))")))
+        .withColumn("at", F.explode(F.expr(f"flatten(transform({reached}, b -> transform(sequence(0, b.chunks - 1), c -> struct(b.bucket AS bucket, c AS chunk))))")))
         .select("dim", "block", "at.bucket", "at.chunk", F.lit(True).alias("asks"), "vec_id", "norm", "body", "bound")
     )
     right = (

@@ -1,10 +1,12 @@
 import math
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 
 from starloom.llm import lattice, topk
 from starloom.llm.lattice import cells, decode, forest, lattice_links, roots
+from starloom.llm.queries import TOPK_SQL
 from starloom.llm.topk import best, chunk_search, products, top_k
 
 VECTORS = "vec_id long, embedding array<float>, label int, body string, n int"
@@ -29,17 +31,18 @@ def awkward(rng):
 
 
 def brute_top(rows, k, scale=64.0):
-    usable = {
-        i: [math.floor(scale * np.float64(np.float32(x))) for x in v]
+    usable = [
+        (i, [math.floor(scale * np.float64(np.float32(x))) for x in v])
         for i, v, _ in rows
         if i is not None and v and all(x is not None and math.isfinite(x) for x in v)
-    }
-    out = []
-    for q, x in usable.items():
+    ]
+    found = {}
+    for q, x in usable:
         if q % 20 == 0:
-            scores = [(-max(-(1 << 63), min((1 << 63) - 1, sum(a * b for a, b in zip(x, y, strict=True)))), i) for i, y in usable.items() if i != q and len(y) == len(x)]
-            out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(sorted(scores)[:k])]
-    return sorted(out)
+            found.setdefault(q, []).extend(
+                (-max(-(1 << 63), min((1 << 63) - 1, sum(a * b for a, b in zip(x, y, strict=True)))), i) for i, y in usable if i != q and len(y) == len(x)
+            )
+    return sorted((q, n + 1, i, -s) for q, scores in found.items() for n, (s, i) in enumerate(sorted(scores)[:k]))
 
 
 def test_top_k_matches_brute_force(spark, monkeypatch):
@@ -52,6 +55,21 @@ def test_top_k_matches_brute_force(spark, monkeypatch):
     assert got == brute_top(rows, 7)
 
 
+def test_rows_that_repeat_a_vec_id_are_all_candidates(spark, monkeypatch):
+    """Against the query's SQL too, which keeps them."""
+    monkeypatch.setattr(topk, "CHUNK", 16)
+    monkeypatch.setattr(topk, "SEEDS", 30)
+    rng = np.random.default_rng(11)
+    rows = [(i % 70, rng.normal(size=8).tolist(), 1) for i in range(200)] + [(1, [9.0] * 8, 1)] * 3
+    vectors = frame(spark, rows)
+    got = sorted(tuple(r) for r in top_k(vectors, vectors.where("vec_id % 20 = 0"), k=20).collect())
+    assert got == brute_top(rows, 20)
+    duck = duckdb.connect()
+    duck.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding FLOAT[])")
+    duck.executemany("INSERT INTO embeddings VALUES (?, ?)", [r[:2] for r in rows])
+    assert got == sorted(duck.execute(TOPK_SQL).fetchall())
+
+
 def test_top_k_small_and_empty(spark):
     vectors = frame(spark, [(0, [1.0, 0.0], 1), (1, [1.0, 0.5], 1)])
     assert [tuple(r) for r in top_k(vectors, vectors.where("vec_id = 0"), k=20).collect()] == [(0, 1, 1, 4096)]
