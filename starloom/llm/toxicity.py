@@ -42,6 +42,8 @@ FEATURES = (
     "words", "hits", "hit_density", "weight_density", "largest_weight", "distinct_hits", "prefix_hits", "prefix_density",
     "near_second_person", "second_person", "capitals", "capital_words", "marks", "symbols", "hidden_words", "hidden_hits",
 )
+#: Columns of the model's own, which no caller's column is likely to be called.
+FEATURE_COLUMN, VECTOR, LABEL, RAW = "__features", "__vector", "__label", "__raw"
 INNER = re.compile(r"[^\w]|_")
 MEMO = 200_000
 
@@ -125,7 +127,7 @@ class Features:
 
 
 def with_features(texts: DataFrame, lexicon: Lexicon, keep_text: bool = False) -> DataFrame:
-    """``texts`` (text, any further columns but features) with features, and without the text unless it is kept."""
+    """``texts`` (text, any further columns) with ``FEATURE_COLUMN``, and without the text unless it is kept."""
     kept = [f for f in texts.schema if keep_text or f.name != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,9 +136,9 @@ def with_features(texts: DataFrame, lexicon: Lexicon, keep_text: bool = False) -
             for i, j in byte_slices(batch.column("text"), 4 << 20):
                 found = [features.of(t or "") for t in batch.column("text")[i:j].to_pylist()]
                 columns = [*(batch.column(f.name)[i:j] for f in kept), pa.array(found, pa.list_(pa.float64()))]
-                yield pa.RecordBatch.from_arrays(columns, [*(f.name for f in kept), "features"])
+                yield pa.RecordBatch.from_arrays(columns, [*(f.name for f in kept), FEATURE_COLUMN])
 
-    schema = texts.select(*(f.name for f in kept), F.array(F.lit(0.0)).alias("features")).schema
+    schema = texts.select(*(f.name for f in kept), F.array(F.lit(0.0)).alias(FEATURE_COLUMN)).schema
     return texts.mapInArrow(run, schema)
 
 
@@ -183,7 +185,8 @@ def learned_lexicon(sample: DataFrame, most: int = 1000, times_likelier: float =
 def toxicity_scorer(docs: DataFrame, labels: DataFrame, most_labelled: int = 30_000) -> Callable[..., DataFrame]:
     """Learn from ``labels`` (doc_id, toxic) on ``docs``; gives a function that adds ``score`` to (text, ...).
 
-    That function drops the text unless called with ``keep_text=True``.
+    That function drops the text unless called with ``keep_text=True``; other columns pass, whatever
+    their names, but one called score, which raises.
 
     Learned from are labelled, not held-out documents, about ``most_labelled`` of them if there
     are more, chosen by a hash of doc_id; equal texts count once. Repeated labels: toxic if one
@@ -205,19 +208,22 @@ def toxicity_scorer(docs: DataFrame, labels: DataFrame, most_labelled: int = 30_
         only = float(classes[0]) if classes else 0.0
         return lambda d, keep_text=False: (d if keep_text else d.drop("text")).withColumn("score", F.lit(only))
     lexicon = learned_lexicon(sample.where("part < 10"))
-    rated = staged(with_features(sample.where("part >= 6"), lexicon).withColumn("vector", array_to_vector("features")).withColumn("label", F.col("toxic").cast("double")), "features")
+    rated = staged(with_features(sample.where("part >= 6"), lexicon).withColumn(VECTOR, array_to_vector(FEATURE_COLUMN)).withColumn(LABEL, F.col("toxic").cast("double")), "features")
     # The sample is bounded, and growing trees is many short jobs: few partitions keep them short.
     grown, rest = rated.where("part < 16").coalesce(2), rated.where("part >= 14").coalesce(2)
-    if grown.select("label").distinct().count() < 2:
+    if grown.select(LABEL).distinct().count() < 2:
         grown = rated
-    trees = GBTClassifier(featuresCol="vector", labelCol="label", maxIter=12, maxDepth=4, stepSize=0.3, maxBins=32, minInstancesPerNode=4, seed=5).fit(grown)
-    raw = lambda d: trees.transform(d).withColumn("raw", vector_to_array("probability")[1])
-    calibration = IsotonicRegression(featuresCol="raw", labelCol="label", predictionCol="score").fit(raw(rest).select("raw", "label"))
+    trees = GBTClassifier(featuresCol=VECTOR, labelCol=LABEL, predictionCol="__prediction", maxIter=12, maxDepth=4, stepSize=0.3, maxBins=32, minInstancesPerNode=4, seed=5).fit(grown)
+    trees = trees.setProbabilityCol("__probability").setRawPredictionCol("__raw_prediction")
+    raw = lambda d: trees.transform(d).withColumn(RAW, vector_to_array("__probability")[1])
+    calibration = IsotonicRegression(featuresCol=RAW, labelCol=LABEL, predictionCol="score").fit(raw(rest).select(RAW, LABEL))
 
     def score(d: DataFrame, keep_text: bool = False) -> DataFrame:
-        vectors = with_features(d, lexicon, keep_text).withColumn("vector", array_to_vector("features"))
+        if "score" in d.columns:
+            raise ValueError("the texts have a column score already")
+        vectors = with_features(d, lexicon, keep_text).withColumn(VECTOR, array_to_vector(FEATURE_COLUMN))
         scored = calibration.transform(raw(vectors)).withColumn("score", F.greatest(F.lit(0.0), F.least(F.lit(1.0), "score")))
-        return scored.drop("features", "vector", "rawPrediction", "probability", "prediction", "raw")
+        return scored.drop(FEATURE_COLUMN, VECTOR, RAW, "__prediction", "__probability", "__raw_prediction")
 
     return score
 
@@ -226,7 +232,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, most_la
     """(doc_id, held_out, score, predicted) of every row of ``docs`` (doc_id, text).
 
     Whole texts are scored; the score depends on the text alone. Null text is empty. Null and
-    repeated doc_ids: one row each. Empty docs: no rows.
+    repeated doc_ids: one row each. A text of any length is one list of words, in some 35 times
+    its own memory. Empty docs: no rows.
     """
     score = toxicity_scorer(docs, labels, most_labelled)
     return score(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))).select(
