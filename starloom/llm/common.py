@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from contextvars import ContextVar
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.sources.session import shared_folder
+from starloom.sources.session import remove_folder, shared_folder
+
+#: The folders made since ``tidy`` began, if it did.
+_MADE: ContextVar[list[str] | None] = ContextVar("made", default=None)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,7 +22,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def fresh_folder(spark: SparkSession, name: str) -> str:
     """A new folder name below the folder that all executors share."""
-    return f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
+    if (made := _MADE.get()) is not None:
+        made.append(path)
+    return path
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -27,6 +35,27 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def tidy(spark: SparkSession, work: Callable[[], DataFrame], name: str) -> DataFrame:
+    """The result of ``work`` staged; of the folders made for it nothing else stays, also after an error."""
+    made: list[str] = []
+    before = _MADE.set(made)
+    try:
+        result = work()
+        _MADE.reset(before)
+        return staged(result, name)
+    finally:
+        if _MADE.get() is made:
+            _MADE.reset(before)
+        for path in made:
+            remove_folder(spark, path)
+
+
+def remove_table(df: DataFrame) -> None:
+    """Delete the folder that a frame read back by ``staged`` stands for."""
+    if files := df.inputFiles():
+        remove_folder(df.sparkSession, files[0].rsplit("/", 1)[0])
+
+
 #: The columns of a row key.
 ROW_KEY = "struct<file:long,row:long>"
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from starloom.llm.centroids import clustered
 from starloom.llm.chat import digests, format_log
-from starloom.llm.common import fresh_folder, table
+from starloom.llm.common import fresh_folder, table, tidy
 from starloom.llm.importance import resampled
 from starloom.llm.lattice import lattice_links
 from starloom.llm.lines import line_dedup
@@ -116,21 +116,28 @@ def q_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def _tidied(name: str, query: Query) -> Query:
+    """``query`` with its result staged and all that it staged on the way removed."""
+    return lambda spark, sf_dir: tidy(spark, lambda: query(spark, sf_dir), name)
+
+
+#: Of these nothing is staged, so there is nothing to remove.
+ONE_PASS: dict[str, Query] = {"op2_sentencepiece": q_sentencepiece, "op3_packing": q_packing, "op10_chat": q_chat, "op12_secrets": q_secrets}
+STAGED: dict[str, Query] = {
     "op1_toxicity": q_toxicity,
-    "op2_sentencepiece": q_sentencepiece,
-    "op3_packing": q_packing,
     "op4_simhash": q_simhash,
     "op5_lattice": q_embeddings,
     "op6_tokens": q_tokens,
     "op7_lines": q_lines,
     "op8_suffix": q_suffix,
     "op9_topk": q_topk,
-    "op10_chat": q_chat,
     "op11_centroids": q_centroids,
-    "op12_secrets": q_secrets,
     "op13_importance": q_importance,
 }
+QUERIES: dict[str, Query] = {**ONE_PASS, **{name: _tidied(name, query) for name, query in STAGED.items()}}
 
 LINES_SQL = """
 WITH lines AS (

@@ -1,6 +1,12 @@
+from pathlib import Path
+
+import public_tokenizers
+from tokenizers import Tokenizer
+
 import __spark_entry__
 import corpus_pipeline
 from starloom.llm.queries import ORACLES, QUERIES
+from starloom.sources import shared_folder
 from tests.llm.edge_rows import DOCS_SCHEMA, edge_docs, sentence, stored
 from tests.llm.test_suffix import brute
 
@@ -40,7 +46,16 @@ def test_stages_keep_the_columns_and_take_effect(spark, tmp_path):
     expected = sorted((k.decode() for _, k in brute([r.text for r in before], 200)))
     assert sorted(r.text for r in cut.collect()) == expected
     pieces = corpus_pipeline.STAGES[-1][1](spark, cut, base)
-    assert pieces.select("doc_id").distinct().count() == cut.select("doc_id").distinct().count()
+    ids = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    expected = sorted(((r.doc_id, len(ids.encode(r.text, add_special_tokens=False).ids) + 1) for r in cut.collect()), key=repr)
+    # All stages at once give the same documents, and leave only their result.
+    shared = Path(shared_folder(spark).removeprefix("file:")) / "llm"
+    left = {p.name for p in shared.glob("*")}
+    whole = corpus_pipeline.run(spark, base)
+    assert len({p.name for p in shared.glob("*")} - left) == 1
+    for found in (pieces, whole):
+        assert sorted(((r.doc_id, r.doc_tokens) for r in found.where("start = 0").collect()), key=repr) == expected
+        assert found.agg({"length": "sum"}).first()[0] == sum(n for _, n in expected)
 
 
 def test_toxic_documents_go(spark, tmp_path):
