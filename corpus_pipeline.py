@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm.common import staged, table
+from starloom.llm.common import remove_table, table, tidy
 from starloom.llm.lines import line_dedup
 from starloom.llm.packing import packed
 from starloom.llm.simhash import simhash_dedup
@@ -68,8 +68,14 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order over ``documents``; each result is written as Parquet and read again."""
+    """All stages in order over ``documents``; each result is written as Parquet and read again.
+
+    What a stage put into the shared folder goes once its result is written, and that result
+    once the next one is.
+    """
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), name)
+    for number, (name, stage) in enumerate(STAGES):
+        before, docs = docs, tidy(spark, lambda stage=stage, docs=docs: stage(spark, docs, sf_dir), name)
+        if number:
+            remove_table(before)
     return docs
