@@ -107,7 +107,8 @@ def q_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_secrets(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["kind"].isin(*BASE_KINDS))
     joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in BASE_KINDS]
+    kinds = F.transform("spans", lambda s: s["kind"])
+    counts = [F.size(F.filter(kinds, F.lit(kind).eqNullSafe)).cast("long").alias(f"n_{kind}") for kind in BASE_KINDS]
     return found.select("doc_id", *counts, F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
 
