@@ -3,7 +3,7 @@ import zlib
 
 import pytest
 
-from starloom.llm.toxicity import FEATURES, Features, Lexicon, held_out, toxicity
+from starloom.llm.toxicity import FEATURES, Features, Lexicon, held_out, toxicity, toxicity_scorer
 from tests.llm.edge_rows import DOCS_SCHEMA, edge_docs, sentence
 
 LEXICON = Lexicon({"idiot": 4.0}, {"vilw": 3.0})
@@ -63,3 +63,13 @@ def test_edge_rows_and_missing_labels(spark, labelled):
     for some, score in ((labels.limit(0), 0.0), (labels.where("toxic = 1"), 1.0)):
         assert {r.score for r in toxicity(docs, some).collect()} == {score}
     assert toxicity(docs.limit(0), labels).count() == 0
+
+
+def test_callers_columns_pass_whatever_their_names(spark, labelled):
+    docs, labels = labelled
+    score = toxicity_scorer(docs, labels)
+    named = docs.limit(5).selectExpr("doc_id", "text", "1 AS features", "2 AS vector", "3 AS raw", "4 AS prediction", "5 AS probability", "6 AS rawPrediction", "7 AS label")
+    out = score(named, keep_text=True)
+    assert out.columns == [*named.columns, "score"] and {tuple(r)[2:9] for r in out.collect()} == {(1, 2, 3, 4, 5, 6, 7)}
+    with pytest.raises(ValueError, match="score"):
+        score(named.withColumnRenamed("raw", "score"))
