@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.operators.quality import CheckFailed
@@ -96,13 +96,12 @@ def append_new_keys(
     is pushed into its scan. ``new`` is read more than once, so pass a staged frame.
     """
     with scratch_folder(new.sparkSession, "append") as folder:
-        append(new_rows(new, _around(existing, key, *_bounds(new, key)), key, folder))
+        append(new_rows(new, _around(existing, key, *new.agg(*_bounds(key)).first()), key, folder))
 
 
-def _bounds(df: DataFrame, key: str) -> tuple[object, object, bool]:
+def _bounds(key: str) -> list[Column]:
     """Smallest and largest key, and whether one is NULL."""
-    lowest, highest, nulls = df.agg(F.min(key), F.max(key), F.count_if(F.col(key).isNull()) > 0).first()
-    return lowest, highest, nulls
+    return [F.min(key), F.max(key), F.count_if(F.col(key).isNull()) > 0]
 
 
 def _around(df: DataFrame, key: str, lowest: object, highest: object, nulls: bool) -> DataFrame:
@@ -119,9 +118,10 @@ def require_loaded(table: str, staged: DataFrame, loaded: DataFrame, key: str) -
     Else the target holds more, or less, and rows are counted per key.
     """
     kind = staged.schema[key].dataType
-    loaded = _around(loaded, key, *_bounds(staged, key)).select(F.col(key).cast(kind).alias(key))
     mark = [F.count(F.lit(1)), F.sum(F.xxhash64(key).cast("decimal(38,0)"))]
-    if staged.agg(*mark).first() == loaded.agg(*mark).first():
+    *bounds, rows, hashes = staged.agg(*_bounds(key), *mark).first()
+    loaded = _around(loaded, key, *bounds).select(F.col(key).cast(kind).alias(key))
+    if (rows, hashes) == tuple(loaded.agg(*mark).first()):
         return
     wanted = staged.groupBy(F.col(key).alias("k")).agg(F.count(F.lit(1)).alias("n"))
     found = loaded.groupBy(F.col(key).alias("k")).agg(F.count(F.lit(1)).alias("m"))
