@@ -36,11 +36,16 @@ ODD_CUT = re.compile(r"(?<=[A-Za-z0-9])(?= [A-Za-z0-9])")
 SPACED = re.compile(f" [^{BLANK}\x1c-\x1f\u180e\u200b\ufeff]+")
 MARKS, MARKS_APART = r"(\pL)([,.;:!?%&*$]+) ", r"\1 \2 "
 #: Words a worker remembers; beyond that, and at a task's end, the most used of them stay. That changes speed only.
-REMEMBERED, KEPT = 500_000, 200_000
+REMEMBERED, KEPT = 600_000, 300_000
 #: Words encoded in one call; the library's results are large until they are cut to ids.
 AT_ONCE = 10_000
 
 
+def _strings(texts: pa.Array) -> list[str]:
+    """``to_pylist``, without a scalar object for each."""
+    return texts.to_numpy(zero_copy_only=False).tolist()
+
+
 class Encoder:
     def __init__(self, path: str, spaces: str | None) -> None:
         self.tokenizer = Tokenizer.from_file(path)
@@ -138,7 +143,7 @@ class Encoder:
             apart = pc.replace_substring_regex(pc.replace_substring(texts, "\n", " "), MARKS, MARKS_APART)
             words = pc.split_pattern(apart, " ")
             coded = words.flatten().dictionary_encode()
-            at = self._indices(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+            at = self._indices(_strings(coded.dictionary))[coded.indices.to_numpy()]
             offsets = words.offsets.to_numpy().astype(np.int64)
             return self._joined(at, offsets - offsets[0])
         if self.spaces == "leading":
@@ -155,9 +160,9 @@ class Encoder:
         flat, offsets = words.flatten(), words.offsets.to_numpy().astype(np.int64)
         offsets -= offsets[0]
         coded = flat.dictionary_encode()
-        inner = [w if w[:1] == "\n" else " " + w for w in coded.dictionary.to_pylist()]
+        inner = [w if w[:1] == "\n" else " " + w for w in _strings(coded.dictionary)]
         at = self._indices(inner)[coded.indices.to_numpy()]
-        at[offsets[:-1]] = self._indices(flat.take(pa.array(offsets[:-1])).to_pylist())
+        at[offsets[:-1]] = self._indices(_strings(flat.take(pa.array(offsets[:-1]))))
         runs: list[np.ndarray | None] = [None] * len(texts)
         for i, (a, b) in zip(np.flatnonzero(~unsafe & ~empty), zip(offsets[:-1], offsets[1:], strict=True), strict=True):
             runs[i] = at[a:b]
