@@ -35,8 +35,8 @@ from starloom.llm.simhash import text_groups, xxh64
 ANCHOR = 48
 #: Contexts of one anchor that one index takes; beyond, the group is halved (step 4).
 INDEXED = 256
-#: Bytes that one index takes, and bytes of text that are searched for anchors together.
-INDEX_BYTES, GROUP_BYTES = 1 << 20, 2 << 20
+#: Bytes that one index takes, and bytes of text that are searched for anchors together (what a core's cache holds).
+INDEX_BYTES, GROUP_BYTES = 1 << 20, 1 << 19
 
 
 @lru_cache(maxsize=1)
@@ -77,8 +77,8 @@ def anchors(data: np.ndarray, bounds: np.ndarray, length: int, k: int) -> tuple[
     return at, h[at]
 
 
-def _anchored(docs: DataFrame, length: int, k: int) -> DataFrame:
-    """One row per anchor of ``docs`` (key, text): h, c (its context's content), key, pos, left, size."""
+def _anchored(docs: DataFrame, length: int, k: int, contexts: bool = True) -> DataFrame:
+    """One row per anchor of ``docs`` (key, text): h, c (its context's content), key, pos, left, size; or h alone."""
     reach = length - k
     key_type = pa.struct([("file", pa.int64()), ("row", pa.int64())])
     kinds = {"h": pa.int64(), "c": pa.int64(), "key": key_type, "pos": pa.int32(), "left": pa.int32(), "size": pa.int32()}
@@ -96,6 +96,9 @@ def _anchored(docs: DataFrame, length: int, k: int) -> DataFrame:
                     if not len(at):
                         continue
                     last = int(at[-1])
+                    if not contexts:
+                        yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], ["h"])
+                        continue
                     doc = np.searchsorted(bounds, at, "right") - 1
                     left = np.minimum(at - bounds[doc], reach)
                     size = left + k + np.minimum(bounds[doc + 1] - at - k, reach)
@@ -105,24 +108,38 @@ def _anchored(docs: DataFrame, length: int, k: int) -> DataFrame:
                     arrays = {"key": keys.take(pa.array(i + doc))} | {n: pa.array(x, kinds[n]) for n, x in columns.items()}
                     yield pa.RecordBatch.from_arrays([arrays[n] for n in kinds], list(kinds))
 
+    if not contexts:
+        return docs.select("key", "text").mapInArrow(run, "h long")
     return docs.select("key", "text").mapInArrow(run, f"h long, c long, key {ROW_KEY}, pos int, left int, size int")
 
 
-def suffix_order(symbols: np.ndarray) -> np.ndarray:
-    """The suffix array of ``symbols``, by doubling the compared length."""
-    n, known = len(symbols), 1
-    key = symbols
-    while True:
-        order = np.argsort(key)
-        fresh = np.concatenate([[True], key[order[1:]] != key[order[:-1]]])
-        if known >= n or fresh.all():
-            return order
-        rank = np.empty(n, dtype=np.uint64)
-        rank[order] = np.cumsum(fresh, dtype=np.uint64)
-        after = np.zeros(n, dtype=np.uint64)
-        after[: n - known] = rank[known:]
-        key = (rank << np.uint64(32)) | after
+def suffix_order(key: np.ndarray, known: int = 1, room: np.ndarray | None = None, piece: np.ndarray | None = None) -> np.ndarray:
+    """The order of all suffixes, by doubling the compared length of those that are still equal.
+
+    ``key`` orders suffixes by their first ``known`` symbols. A suffix has ``room`` symbols (by default
+    all to the array's end); of those that end equal the one of the smaller ``piece`` comes first.
+    """
+    n = len(key)
+    place = np.arange(n)
+    room = n - place if room is None else room
+    piece = np.zeros(n, np.int64) if piece is None else piece
+    many = int(piece.max(initial=0)) + 1
+    order = np.argsort(key)
+    rank, tied = np.zeros(n, np.int64), place
+    ordered = key[order]
+    while len(tied):
+        fresh = np.concatenate([[True], ordered[1:] != ordered[:-1]])
+        own = order[tied]
+        # A rank is the place of the first of those that are still equal, so it stays when others are split.
+        rank[own] = np.maximum.accumulate(np.where(fresh, tied, 0))
+        left = ~(fresh & np.concatenate([fresh[1:], [True]]))
+        tied, own = tied[left], own[left]
+        after = np.where(room[own] > known, rank[np.minimum(own + known, n - 1)] + many, piece[own])
+        ordered = (rank[own] << 32) | after
+        by = np.argsort(ordered)
+        order[tied], ordered = own[by], ordered[by]
         known *= 2
+    return order
 
 
 def _common(text: np.ndarray, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
@@ -157,7 +174,13 @@ def matching_statistics(pieces: Sequence[bytes], slots: np.ndarray) -> tuple[np.
     slot = np.repeat(slots - firsts[:-1], sizes + 1) + place
     symbols = (slot.astype(np.uint64) << np.uint64(9)) | text
     symbols[~solid] = (np.uint64(1) << np.uint64(60)) + np.arange(len(pieces), dtype=np.uint64)
-    order = suffix_order(symbols)
+    # Several symbols a key: those after the first are at the slots that follow.
+    slot_bits = int(slot.max(initial=0)).bit_length()
+    known = max(1, (63 - slot_bits) // 9)
+    key, padded = slot.copy(), np.concatenate([text, np.zeros(known, np.uint16)])
+    for k in range(known):
+        key = (key << 9) | np.where(k < room, padded[k : k + len(text)], 0)
+    order = suffix_order(key, known, room + 1, np.repeat(np.arange(len(pieces)), sizes + 1))
     bwt = symbols[order - 1]  # the symbol before each suffix; before the first, the last
     cut = bwt[1:] != bwt[:-1]
     best = np.zeros(len(text), np.int64)
@@ -281,7 +304,7 @@ def repeated_passages(docs: DataFrame, length: int = 200, anchor: int = ANCHOR)
         raise ValueError("the anchor must be 8 bytes or more and shorter than the passages")
     rows = _anchored(docs, length, anchor)
     # Staged, so that the join has a plain shuffle on both sides, which AQE can split at a hot anchor.
-    twice = staged(rows.groupBy("h").agg(F.count("*").alias("times")).where("times > 1").select("h"), "twice")
+    twice = staged(_anchored(docs, length, anchor, contexts=False).groupBy("h").agg(F.count("*").alias("times")).where("times > 1").select("h"), "twice")
     seen = staged(rows.join(twice, "h", "left_semi"), "anchors")
     contents = staged(
         seen.groupBy("h", "c").agg(
