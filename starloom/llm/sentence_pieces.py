@@ -37,6 +37,8 @@ SPACE = "▁"
 #: Characters indexed together, and the word length up to which words are relaxed side by side.
 INDEXED, SIDE_BY_SIDE = 400_000, 48
 REMEMBERED = 600_000
+#: Words longer than that are cut where no piece occurs across; characters searched for cuts at once, and remembered.
+LONG_WORD, SEARCHED, REMEMBERED_CHARS = 20_000, 200_000, 20_000_000
 
 
 class Pieces:
@@ -77,6 +79,7 @@ class Pieces:
 
     def _forget(self) -> None:
         self.known: dict[str, int] = {}
+        self.held_chars = 0
         self.pool = np.zeros(1 << 16, np.int32)
         self.ends = np.zeros(1 << 16, np.int64)
 
@@ -252,15 +255,51 @@ class Pieces:
         np.add.at(totals, word, sizes)
         return out, totals
 
+    def _cut(self, word: str) -> Iterator[str]:
+        """Parts of a long word, cut where no piece occurs across: no join can reach over such a place.
+
+        Parts have about ``LONG_WORD`` characters, or more where pieces overlap without an end.
+        """
+        done = 0
+        for low in range(0, len(word), SEARCHED):
+            begin = max(0, low - self.longest)
+            stop = min(len(word), low + SEARCHED + self.longest)
+            start, length, _ = self.edges(np.frombuffer(word[begin:stop].encode("utf-32-le"), np.uint32))
+            crossed = np.zeros(stop - begin + 2, np.int64)
+            np.add.at(crossed, start + 1, 1)
+            np.add.at(crossed, start + length, -1)
+            free = np.flatnonzero(np.cumsum(crossed) == 0) + begin
+            for at in free[(free > low) & (free <= low + SEARCHED)].tolist():
+                if at - done >= LONG_WORD and at < len(word):
+                    yield word[done:at]
+                    done = at
+        yield word[done:]
+
+    def _encoded_long(self, word: str) -> np.ndarray:
+        found: list[np.ndarray] = []
+        group, chars = [], 0
+        for part in self._cut(word):
+            if chars + len(part) > INDEXED and group:
+                found.append(self._encoded(group)[0])
+                group, chars = [], 0
+            group.append(part)
+            chars += len(part)
+        return np.concatenate([*found, self._encoded(group)[0]])
+
     def _indices(self, words: list[str]) -> np.ndarray:
         new = list(dict.fromkeys(w for w in words if w not in self.known))
         i = 0
         while i < len(new):
             j, chars = i, 0
-            while j < len(new) and (j == i or chars + len(new[j]) <= INDEXED):
+            while j < len(new) and len(new[j]) <= LONG_WORD and (j == i or chars + len(new[j]) <= INDEXED):
                 chars += len(new[j])
                 j += 1
-            ids, counts = self._encoded(new[i:j])
+            if j == i:
+                ids, chars, j = self._encoded_long(new[i]), len(new[i]), i + 1
+                counts = np.array([len(ids)])
+            else:
+                ids, counts = self._encoded(new[i:j])
+            self.held_chars += chars
             n, filled = len(self.known), int(self.ends[len(self.known)])
             while n + j - i + 1 > len(self.ends):
                 self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
@@ -274,7 +313,7 @@ class Pieces:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids as int32 and the bounds of each text among them. Null is an empty text."""
-        if len(self.known) > REMEMBERED:
+        if len(self.known) > REMEMBERED or self.held_chars > REMEMBERED_CHARS:
             self._forget()
         texts = pa.array(texts).fill_null("")
         # A word is a run of spaces with what follows it, so only the last of a run cuts.
@@ -326,7 +365,9 @@ def encoded(docs: DataFrame, model: str, carry: Sequence[str] = ("doc_id",)) ->
     """The ``carry`` columns of ``docs`` and ids, those of its text (little-endian int32, binary).
 
     Whole texts are encoded, without marks of begin and end. Null and empty texts: no ids.
-    Null and repeated doc_ids: one row each. One pass, no shuffle. Empty table: no rows.
+    Null and repeated doc_ids: one row each. A long text is indexed by its different words, and a
+    long word by parts that no piece reaches over; only a run without any such place, as of one
+    letter, takes some 400 bytes a character. One pass, no shuffle. Empty table: no rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

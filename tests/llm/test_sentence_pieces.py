@@ -1,10 +1,12 @@
 import random
+import resource
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import sentencepiece
 
+from starloom.llm import sentence_pieces
 from starloom.llm.sentence_pieces import Pieces, decoded, encoded
 from tests.llm.edge_rows import DOCS_SCHEMA, edge_docs
 
@@ -43,3 +45,30 @@ def test_operator_on_edge_rows(spark):
         expected.append((r.doc_id, 7, ids, library.decode(ids)))
     assert sorted(got, key=repr) == sorted(expected, key=repr)
     assert encoded(spark.createDataFrame([], DOCS_SCHEMA), MODEL).count() == 0
+
+
+def test_long_words_are_cut_where_no_piece_reaches_over(monkeypatch):
+    rng = random.Random(5)
+    monkeypatch.setattr(sentence_pieces, "LONG_WORD", 300)
+    monkeypatch.setattr(sentence_pieces, "SEARCHED", 700)
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    library = sentencepiece.SentencePieceProcessor(model_file=model)
+    vocabulary = Pieces(model)
+    for alphabet in ("abcdefghijklmnopqrstuvwxyz", "etaoinshr", "中文字的一是不了人我在", "a", "x中"):
+        word = "".join(rng.choice(alphabet) for _ in range(5000))
+        parts = list(vocabulary._cut(word))
+        assert "".join(parts) == word and (len(parts) > 3 or alphabet in ("a", "etaoinshr"))
+        text = f"short {word} words {word[:400]}"
+        ids, _ = vocabulary.encode(pa.array([text]))
+        assert ids.tolist() == library.encode(text)
+
+
+def test_memory_of_a_long_word():
+    """A million characters without a blank, far below a full table for them."""
+    rng = np.random.default_rng(6)
+    word = "".join(map(chr, rng.integers(0x4E00, 0x5E00, 1_000_000)))
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    vocabulary = Pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    ids, bounds = vocabulary.encode(pa.array([word]))
+    assert vocabulary.decode(ids, bounds) == [word]
+    assert (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) / 1024 < 300
