@@ -135,8 +135,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: float = 64
     of one vec_id share one ranking of what all of them find. Empty tables: no rows.
 
     Queries are taken in blocks and candidates in chunks of bounded size; each pair of the
-    two is one unit of work, so no task holds more than one of each. A query goes only to
-    buckets whose longest vector can reach its bound.
+    two is one unit of work, so no task holds more than one of each. Queries of a block need
+    about the same length of a vector to reach their bounds: a query goes only to buckets whose
+    longest vector can, and a vector only to blocks of queries that need no longer ones.
     """
     candidates, asked = staged(scaled_vectors(vectors, scale), "vectors"), staged(scaled_vectors(queries, scale), "queries")
     seeds = candidates.orderBy(F.desc("norm"), "vec_id").limit(SEEDS).select("vec_id", "dim", "body").collect()
@@ -155,7 +156,11 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: float = 64
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(bounds, pa.float64())], [*batch.schema.names, "bound"])
 
     asked = staged(asked.mapInArrow(bounded, "vec_id long, dim int, norm double, bucket int, body binary, bound double"), "bounds")
-    blocks = asked.groupBy("dim").agg(F.ceil(F.count("*") / QUERY_BLOCK).cast("int").alias("blocks"))
+    # The bucket of the shortest vector that can reach the bound; a little less, so that rounding loses none.
+    need = F.expr(f"CASE WHEN bound > 0 AND norm > 0 THEN CAST(floor({STEPS} * log2(bound * (1 - {2 * SLACK}D) / norm)) AS INT) END")
+    asked = asked.withColumn("need", F.coalesce(need, F.lit(-(1 << 31))))
+    blocks = asked.groupBy("dim", "need").agg(F.ceil(F.count("*") / QUERY_BLOCK).cast("int").alias("blocks"))
+    needs = blocks.groupBy("dim").agg(F.collect_list(F.struct("need", "blocks")).alias("needs"))
     chunks = candidates.groupBy("dim", "bucket").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"), F.max("norm").alias("longest"))
     every = chunks.groupBy("dim").agg(F.collect_list(F.struct("bucket", "chunks", "longest")).alias("buckets"))
     chunks = chunks.drop("longest")
@@ -163,16 +168,16 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: float = 64
     reached = f"filter(buckets, b -> bound IS NULL OR bound <= 0 OR NOT coalesce(norm * b.longest < bound * (1 - {SLACK}D), false))"
     hashed = F.xxhash64("vec_id", F.lit(7))
     left = (
-        asked.join(blocks, "dim").join(every, "dim")
+        asked.join(blocks, ["dim", "need"]).join(every, "dim")
         .withColumn("block", F.pmod(hashed, F.col("blocks")).cast("int"))
         .withColumn("at", F.explode(F.expr(f"flatten(transform({reached}, b -> transform(sequence(0, b.chunks - 1), c -> struct(b.bucket AS bucket, c AS chunk))))")))
-        .select("dim", "block", "at.bucket", "at.chunk", F.lit(True).alias("asks"), "vec_id", "norm", "body", "bound")
+        .select("dim", "need", "block", "at.bucket", "at.chunk", F.lit(True).alias("asks"), "vec_id", "norm", "body", "bound")
     )
     right = (
-        candidates.join(chunks, ["dim", "bucket"]).join(blocks, "dim")
+        candidates.join(chunks, ["dim", "bucket"]).join(needs, "dim")
         .withColumn("chunk", F.pmod(hashed, F.col("chunks")).cast("int"))
-        .withColumn("block", F.explode(F.expr("sequence(0, blocks - 1)")))
-        .select("dim", "block", "bucket", "chunk", F.lit(False).alias("asks"), "vec_id", "norm", "body", F.lit(None).cast("double").alias("bound"))
+        .withColumn("to", F.explode(F.expr("flatten(transform(filter(needs, x -> x.need <= bucket), x -> transform(sequence(0, x.blocks - 1), b -> struct(x.need AS need, b AS block))))")))
+        .select("dim", "to.need", "to.block", "bucket", "chunk", F.lit(False).alias("asks"), "vec_id", "norm", "body", F.lit(None).cast("double").alias("bound"))
     )
 
     def search(unit: pa.Table) -> pa.Table:
@@ -191,7 +196,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: float = 64
             }
         )
 
-    units = left.union(right).groupBy("dim", "block", "bucket", "chunk")
+    units = left.union(right).groupBy("dim", "need", "block", "bucket", "chunk")
     found = units.applyInArrow(search, "query_id long, vec_id long, score long")
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", place).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
