@@ -8,8 +8,8 @@ zstandard, an all-zero plane is stored as nothing. A shard is one file:
 The footer is the chunk index (for each block: its ids and the length of each plane) and the
 document table (doc_id, null flag, ids). Any block can be read by itself.
 
-Shards hold ranges of doc_id in ascending order, so their concatenation is the corpus.
-Each is written under a name of its own attempt and then renamed, and a task that runs again
+Shards hold ranges of doc_id in ascending order, so their concatenation is the corpus. A task
+starts another shard when one has ``SHARD_IDS`` ids, so footers stay small. Each is written under a name of its own attempt and then renamed, and a task that runs again
 writes the same bytes; a lost executor leaves at most an unused file.
 """
 
@@ -32,6 +32,8 @@ from starloom.llm.encoding import byte_slices, encoder, release
 
 MAGIC = b"PLANES01"
 BLOCK = 1 << 16
+#: Ids from which on a shard is closed, and shards a task can have.
+SHARD_IDS, SHARDS_A_TASK = 1 << 28, 1 << 20
 
 
 def _system(folder: str) -> tuple[fs.FileSystem, str]:
@@ -149,36 +151,47 @@ class ShardReader:
 
 
 def write_tokens(
-    docs: DataFrame, folder: str, vocabulary: str, spaces: str | None, end_id: int, planes: str = "bit", block: int = BLOCK
+    docs: DataFrame, folder: str, vocabulary: str, spaces: str | None, end_id: int, planes: str = "bit", block: int = BLOCK, shard_ids: int = SHARD_IDS
 ) -> DataFrame:
     """Encode ``docs`` (doc_id, text) into shards below ``folder``; one row per shard: shard, path, n_ids, n_docs.
 
-    Shards follow doc_id, nulls first; rows of one doc_id follow their text. Null text is
-    empty; each document ends with ``end_id``. Empty table: no shard, no row.
+    Shards follow doc_id, nulls first; rows of one doc_id follow their text. A document is in one
+    shard, which is closed once it has ``shard_ids`` ids. Null text is empty; each document ends
+    with ``end_id``. A text of any length is encoded in one piece, in some 30 times its own
+    memory, or 180 times where it has no blank to cut at. Empty table: no shard, no row.
     """
+    kinds = pa.schema([("shard", pa.int64()), ("path", pa.string()), ("n_ids", pa.int64()), ("n_docs", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        writer = None
         system, base = _system(folder)
-        shard = TaskContext.get().partitionId()
-        path = f"{base}/shard-{shard:06d}.planes"
-        temporary = f"{path}.{uuid.uuid4().hex}"
+        task, number = TaskContext.get().partitionId(), 0
+        writer = sink = None
+        path = temporary = ""
+
+        def closed() -> pa.RecordBatch:
+            writer.close()
+            sink.close()
+            system.move(temporary, path)
+            row = {"shard": [task * SHARDS_A_TASK + number], "path": [path], "n_ids": [writer.n_ids], "n_docs": [len(writer.docs)]}
+            return pa.RecordBatch.from_pydict(row, kinds)
+
         for batch in batches:
             for i, j in byte_slices(batch.column("text")):
-                if writer is None:
-                    system.create_dir(base, recursive=True)
-                    sink = system.open_output_stream(temporary)
-                    writer = ShardWriter(sink, planes, block)
                 ids, bounds = encoder(vocabulary, spaces).encode(batch.column("text")[i:j])
                 for k, doc_id in enumerate(batch.column("doc_id")[i:j].to_pylist()):
+                    if writer is None:
+                        system.create_dir(base, recursive=True)
+                        path = f"{base}/shard-{task:06d}-{number:06d}.planes"
+                        temporary = f"{path}.{uuid.uuid4().hex}"
+                        sink = system.open_output_stream(temporary)
+                        writer = ShardWriter(sink, planes, block)
                     writer.add(doc_id, np.append(ids[bounds[k] : bounds[k + 1]], np.uint32(end_id)))
+                    if writer.n_ids >= shard_ids:
+                        yield closed()
+                        writer, number = None, number + 1
         if writer is not None:
-            writer.close()
-            sink.close()
-            system.move(temporary, path)
-            release(vocabulary, spaces)
-            row = {"shard": [shard], "path": [path], "n_ids": [writer.n_ids], "n_docs": [len(writer.docs)]}
-            yield pa.RecordBatch.from_pydict(row, pa.schema([("shard", pa.int64()), ("path", pa.string()), ("n_ids", pa.int64()), ("n_docs", pa.int64())]))
+            yield closed()
+        release(vocabulary, spaces)
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     ordered = rows.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")

@@ -146,10 +146,13 @@ def test_shards_round_trip_and_single_blocks(tmp_path, planes):
         ShardReader(source)
 
 
-def test_write_and_read_edge_rows(spark, tmp_path):
+@pytest.mark.parametrize("shard_ids", [1 << 28, 50, 1], ids=["one a task", "several a task", "one a document"])
+def test_write_and_read_edge_rows(spark, tmp_path, shard_ids):
     docs, tokenizer = edge_docs(spark), Tokenizer.from_file(BYTE)
     folder = f"file://{tmp_path}/tokens"
-    shards = write_tokens(docs, folder, BYTE, "leading", 2, block=100)
+    shards = write_tokens(docs, folder, BYTE, "leading", 2, block=100, shard_ids=shard_ids)
+    assert shards.count() == docs.count() if shard_ids == 1 else shards.count() <= 8 + 2 * (shard_ids == 50) * docs.count()
+    assert shards.agg({"n_docs": "sum"}).first()[0] == docs.count()
     rows = sorted(read_tokens(spark, shards, folder).collect(), key=lambda r: r.start)
     crc = lambda t: zlib.crc32(np.array(tokenizer.encode(t or "", add_special_tokens=False).ids + [2], "<u4").tobytes())
     assert sorted(((r.doc_id, zlib.crc32(r.ids)) for r in rows), key=repr) == sorted(((r.doc_id, crc(r.text)) for r in docs.collect()), key=repr)
