@@ -35,8 +35,8 @@ from starloom.llm.encoding import byte_slices
 
 SPACE = "▁"
 #: Characters indexed together, and the word length up to which words are relaxed side by side.
-INDEXED, SIDE_BY_SIDE = 400_000, 48
-REMEMBERED = 600_000
+INDEXED, SIDE_BY_SIDE = 200_000, 48
+REMEMBERED = 400_000
 #: Words longer than that are cut where no piece occurs across; characters searched for cuts at once, and remembered.
 LONG_WORD, SEARCHED, REMEMBERED_CHARS = 20_000, 200_000, 20_000_000
 
