@@ -9,8 +9,9 @@ The footer is the chunk index (for each block: its ids and the length of each pl
 document table (doc_id, null flag, ids). Any block can be read by itself.
 
 Shards hold ranges of doc_id in ascending order, so their concatenation is the corpus. A task
-starts another shard when one has ``SHARD_IDS`` ids, so footers stay small. Each is written under a name of its own attempt and then renamed, and a task that runs again
-writes the same bytes; a lost executor leaves at most an unused file.
+starts another shard when one has ``SHARD_IDS`` ids or ``SHARD_DOCS`` documents, so footers stay
+small. Each is written under a name of its own attempt and then renamed, and a task that runs
+again writes the same bytes; a lost executor leaves at most an unused file.
 """
 
 from __future__ import annotations
@@ -32,8 +33,8 @@ from starloom.llm.encoding import byte_slices, encoder, release
 
 MAGIC = b"PLANES01"
 BLOCK = 1 << 16
-#: Ids from which on a shard is closed, and shards a task can have.
-SHARD_IDS, SHARDS_A_TASK = 1 << 28, 1 << 20
+#: Ids and documents from which on a shard is closed, and shards a task can have.
+SHARD_IDS, SHARD_DOCS, SHARDS_A_TASK = 1 << 28, 1 << 20, 1 << 20
 
 
 def _system(folder: str) -> tuple[fs.FileSystem, str]:
@@ -151,13 +152,21 @@ class ShardReader:
 
 
 def write_tokens(
-    docs: DataFrame, folder: str, vocabulary: str, spaces: str | None, end_id: int, planes: str = "bit", block: int = BLOCK, shard_ids: int = SHARD_IDS
+    docs: DataFrame,
+    folder: str,
+    vocabulary: str,
+    spaces: str | None,
+    end_id: int,
+    planes: str = "bit",
+    block: int = BLOCK,
+    shard_ids: int = SHARD_IDS,
+    shard_docs: int = SHARD_DOCS,
 ) -> DataFrame:
     """Encode ``docs`` (doc_id, text) into shards below ``folder``; one row per shard: shard, path, n_ids, n_docs.
 
     Shards follow doc_id, nulls first; rows of one doc_id follow their text. A document is in one
-    shard, which is closed once it has ``shard_ids`` ids. Null text is empty; each document ends
-    with ``end_id``. A text of any length is encoded in one piece, in some 30 times its own
+    shard, which is closed once it has ``shard_ids`` ids or ``shard_docs`` documents. Null text is
+    empty; each document ends with ``end_id``. A text of any length is encoded in one piece, in some 30 times its own
     memory, or 180 times where it has no blank to cut at. Empty table: no shard, no row.
     """
     kinds = pa.schema([("shard", pa.int64()), ("path", pa.string()), ("n_ids", pa.int64()), ("n_docs", pa.int64())])
@@ -186,7 +195,7 @@ def write_tokens(
                         sink = system.open_output_stream(temporary)
                         writer = ShardWriter(sink, planes, block)
                     writer.add(doc_id, np.append(ids[bounds[k] : bounds[k + 1]], np.uint32(end_id)))
-                    if writer.n_ids >= shard_ids:
+                    if writer.n_ids >= shard_ids or len(writer.docs) >= shard_docs:
                         yield closed()
                         writer, number = None, number + 1
         if writer is not None:

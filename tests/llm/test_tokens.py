@@ -146,12 +146,16 @@ def test_shards_round_trip_and_single_blocks(tmp_path, planes):
         ShardReader(source)
 
 
-@pytest.mark.parametrize("shard_ids", [1 << 28, 50, 1], ids=["one a task", "several a task", "one a document"])
-def test_write_and_read_edge_rows(spark, tmp_path, shard_ids):
+@pytest.mark.parametrize(
+    ("shard_ids", "shard_docs"),
+    [(1 << 28, 1 << 20), (50, 1 << 20), (1, 1 << 20), (1 << 28, 1)],
+    ids=["one a task", "several a task", "one a document", "one a document by number"],
+)
+def test_write_and_read_edge_rows(spark, tmp_path, shard_ids, shard_docs):
     docs, tokenizer = edge_docs(spark), Tokenizer.from_file(BYTE)
     folder = f"file://{tmp_path}/tokens"
-    shards = write_tokens(docs, folder, BYTE, "leading", 2, block=100, shard_ids=shard_ids)
-    assert shards.count() == docs.count() if shard_ids == 1 else shards.count() <= 8 + 2 * (shard_ids == 50) * docs.count()
+    shards = write_tokens(docs, folder, BYTE, "leading", 2, block=100, shard_ids=shard_ids, shard_docs=shard_docs)
+    assert shards.count() == docs.count() if 1 in (shard_ids, shard_docs) else shards.count() <= 8 + 2 * (shard_ids == 50) * docs.count()
     assert shards.agg({"n_docs": "sum"}).first()[0] == docs.count()
     rows = sorted(read_tokens(spark, shards, folder).collect(), key=lambda r: r.start)
     crc = lambda t: zlib.crc32(np.array(tokenizer.encode(t or "", add_special_tokens=False).ids + [2], "<u4").tobytes())
