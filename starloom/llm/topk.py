@@ -21,8 +21,8 @@ from starloom.llm.common import staged
 
 #: Rows of a chunk or query block on average, and how many buckets a doubling of the length has.
 CHUNK, QUERY_BLOCK, STEPS = 4096, 4096, 4
-#: Longest vectors that give the first bounds.
-SEEDS = 2048
+#: Longest vectors that give the first bounds, which each task gets: at most so many, and so many bytes.
+SEEDS, SEED_BYTES = 2048, 4 << 20
 #: Local cosine from which the largest coordinate prunes, and the slack of a bound.
 COORDINATE_FROM, SLACK = 0.5, 1e-9
 LARGEST = (1 << 63) - 1
@@ -137,10 +137,12 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: float = 64
     Queries are taken in blocks and candidates in chunks of bounded size; each pair of the
     two is one unit of work, so no task holds more than one of each. Queries of a block need
     about the same length of a vector to reach their bounds: a query goes only to buckets whose
-    longest vector can, and a vector only to blocks of queries that need no longer ones.
+    longest vector can, and a vector only to blocks of queries that need no longer ones. Fewer
+    seeds, as for very wide vectors, make bounds looser and the result no other.
     """
     candidates, asked = staged(scaled_vectors(vectors, scale), "vectors"), staged(scaled_vectors(queries, scale), "queries")
-    seeds = candidates.orderBy(F.desc("norm"), "vec_id").limit(SEEDS).select("vec_id", "dim", "body").collect()
+    widest = candidates.agg(F.max("dim")).first()[0] or 1
+    seeds = candidates.orderBy(F.desc("norm"), "vec_id").limit(min(SEEDS, SEED_BYTES // (8 * widest))).select("vec_id", "dim", "body").collect()
     by_dim: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     for dim in {r["dim"] for r in seeds}:
         rows = [r for r in seeds if r["dim"] == dim]

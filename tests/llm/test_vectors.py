@@ -3,6 +3,7 @@ import math
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from starloom.llm import lattice, topk
 from starloom.llm.lattice import cells, decode, forest, lattice_links, roots
@@ -45,7 +46,9 @@ def brute_top(rows, k, scale=64.0):
     return sorted((q, n + 1, i, -s) for q, scores in found.items() for n, (s, i) in enumerate(sorted(scores)[:k]))
 
 
-def test_top_k_matches_brute_force(spark, monkeypatch):
+@pytest.mark.parametrize("seed_bytes", [1 << 20, 8 * 8 * 9, 0], ids=["bounded by rows", "bounded by bytes", "no seeds"])
+def test_top_k_matches_brute_force(spark, monkeypatch, seed_bytes):
+    monkeypatch.setattr(topk, "SEED_BYTES", seed_bytes)
     monkeypatch.setattr(topk, "CHUNK", 16)
     monkeypatch.setattr(topk, "QUERY_BLOCK", 4)
     monkeypatch.setattr(topk, "SEEDS", 30)
