@@ -23,6 +23,8 @@ BROADCAST_MAX_ROWS = 500_000
 BROADCAST_MAX_BYTES = 32 * 1024 * 1024
 # A key is hot if it has this many times the rows of an average reducer.
 HOT_REDUCERS = 2.0
+# Hash buckets in which rows are counted before keys are, for each shuffle partition.
+BUCKETS_A_REDUCER = 64
 
 
 def declared_join(left: DataFrame, right: DataFrame, key: str, lookup: str = "") -> DataFrame:
@@ -144,21 +146,29 @@ class HotKeys:
 def hot_keys(df: DataFrame, key: str, hot_reducers: float = HOT_REDUCERS) -> HotKeys:
     """Keys of ``df`` with the rows of ``hot_reducers`` average reducers or more.
 
-    All rows are counted, per key inside each task first. No more than the number of shuffle
-    partitions over ``hot_reducers`` keys can be that large, so looking at that many of the
-    largest leaves none out.
+    All rows are counted, first per bucket of the keys' hashes, so that few counts are shuffled
+    however many keys there are. A bucket has no fewer rows than any key in it, so only keys of
+    buckets that are that large are then counted one by one. No more than the number of shuffle
+    partitions over ``hot_reducers`` buckets can be, so looking at that many of the largest
+    leaves none out.
     """
     partitions = _shuffle_partitions(df)
-    counts = df.select(F.col(key).alias("k")).where(F.col("k").isNotNull()).groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    keys = df.select(F.col(key).alias("k")).where(F.col("k").isNotNull())
+    bucket, count = F.pmod(F.xxhash64("k"), F.lit(BUCKETS_A_REDUCER * partitions)), F.count(F.lit(1)).alias("n")
     seen = Observation()
     largest = (
-        counts.observe(seen, F.coalesce(F.sum("n"), F.lit(0)).alias("rows"))
+        keys.groupBy(bucket.alias("bucket"))
+        .agg(count)
+        .observe(seen, F.coalesce(F.sum("n"), F.lit(0)).alias("rows"))
         .orderBy(F.desc("n"))
         .limit(max(1, int(partitions / hot_reducers)))
         .collect()
     )
     reducer = seen.get["rows"] / partitions
-    return HotKeys({r["k"]: r["n"] for r in largest if r["n"] >= max(2, hot_reducers * reducer)}, max(reducer, 1.0))
+    least = max(2, hot_reducers * reducer)
+    large = [r["bucket"] for r in largest if r["n"] >= least]
+    hot = keys.where(bucket.isin(large)).groupBy("k").agg(count).where(F.col("n") >= least).collect() if large else []
+    return HotKeys({r["k"]: r["n"] for r in hot}, max(reducer, 1.0))
 
 
 def split_join(left: DataFrame, right: DataFrame, key: str, hot: HotKeys) -> DataFrame:

@@ -340,14 +340,14 @@ def q_write_both_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _load(spark: SparkSession, sf_dir: str, folder: str, run_id: str, **choices: object) -> dict[str, DataFrame]:
     def read_back(name: str) -> DataFrame | None:
-        path = f"{folder}/warehouse/{name}"
-        return spark.read.schema(WIDE[name].schema()).parquet(path) if name in loaded else None
+        return spark.read.schema(WIDE[name].schema()).parquet(f"{base}/{name}") if name in loaded else None
 
     def warehouse(name: str, df: DataFrame) -> None:
-        df.write.mode("append").parquet(f"{folder}/warehouse/{name}")
+        df.write.mode("append").option("compression", "zstd").parquet(f"{base}/{name}")
         loaded.add(name)
 
     loaded: set[str] = set(choices.pop("loaded", ()))
+    base = choices.pop("base", f"{folder}/warehouse")
     return load_star(
         spark, source_tables(spark, sf_dir), run_id, folder, f"{folder}/extracts", warehouse,
         contracts=WIDE, read_back=read_back, **choices,
@@ -365,15 +365,20 @@ def q_load_star_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_load_star_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two loads of landed sources, the second by new keys only; the warehouse's sales."""
-
-    def loaded_twice(folder: str) -> DataFrame:
-        for run_id in ("1", "2"):
-            loaded = () if run_id == "1" else tuple(WIDE)
-            _load(spark, sf_dir, folder, run_id, new_keys=True, open_only=False, loaded=loaded)
-        return spark.read.parquet(f"{folder}/warehouse/fact_sales")
-
-    return _tidy(spark, loaded_twice)
+    """Two loads of landed sources, the second by new keys only; the warehouse's sales, which stay where they were loaded."""
+    base = _run_folder(spark)
+    others = [base]
+    try:
+        with scratch_folder(spark, "query") as folder:
+            for run_id in ("1", "2"):
+                loaded = () if run_id == "1" else tuple(WIDE)
+                _load(spark, sf_dir, folder, run_id, new_keys=True, open_only=False, loaded=loaded, base=base)
+        sales = spark.read.parquet(f"{base}/fact_sales")
+        others = [f"{base}/{name}" for name in WIDE if name != "fact_sales"]
+        return sales
+    finally:
+        for path in others:
+            remove_folder(spark, path)
 
 
 QUERIES: dict[str, Query] = {

@@ -231,6 +231,7 @@ def load_star(
     create: Callable[[Contract], None] | None = None,
     highest: Highest | None = None,
     keep_work: bool = False,
+    compression: str | None = "gzip",
 ) -> dict[str, DataFrame]:
     """Build, check and load the star, or the tables in ``only``; the staged tables come back.
 
@@ -250,7 +251,8 @@ def load_star(
     a referenced one first. ``highest`` tells the largest key of a source: with it a cut is
     taken once a run, see ``take_cut``, so tables that grow while they are read fit each other.
     Of the run's folder only the staged tables and marks stay once it has succeeded, unless
-    ``keep_work``.
+    ``keep_work``. Extracts are compressed, as text they are several times the tables they
+    hold; None for ``compression`` leaves them plain.
     """
     if new_keys and read_back is None:
         raise ValueError("new_keys needs read_back")
@@ -279,7 +281,7 @@ def load_star(
     def load(name: str) -> None:
         if preview_rows:
             preview(staged[name], preview_rows)
-        write_csv_extract(staged[name], run_path(extract_base, name, run_id), lossless, replace=True)
+        write_csv_extract(staged[name], run_path(extract_base, name, run_id), lossless, replace=True, compression=compression)
         done = f"{work}/loaded/{name}"
         if not _exists(spark, done):
             existing = read_back(name) if new_keys else None

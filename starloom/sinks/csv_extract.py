@@ -26,19 +26,22 @@ def write_csv_extract(
     rows_per_file: int | None = None,
     replace: bool = False,
     bytes_per_file: int = BYTES_PER_FILE,
+    compression: str | None = None,
 ) -> None:
     """Write an extract with header; an existing path raises, or is replaced on demand.
 
     Files hold ``rows_per_file`` rows at most. Without that number, frames with text are measured
     in a scan of their own (so pass a staged frame): a file of a plain extract, which is
     read by one task, then holds no more than ``bytes_per_file`` or one row; files of a lossless
-    one, which can be split, hold that much on average.
+    one, which can be split, hold that much on average. ``compression`` names a codec of Spark's
+    CSV writer, whose reader knows it by the file name; bytes are counted before it, and a
+    compressed file is read by one task.
     """
     if rows_per_file is None:
         rows_per_file = _rows_within(df, bytes_per_file, lossless)
     (
         (escaped(df) if lossless else df)
-        .write.options(maxRecordsPerFile=rows_per_file, **dialect_options(lossless))
+        .write.options(maxRecordsPerFile=rows_per_file, compression=compression or "none", **dialect_options(lossless))
         .mode("overwrite" if replace else "errorifexists")
         .csv(path)
     )

@@ -10,6 +10,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from starloom.operators.joins import is_small
 from starloom.operators.quality import CheckFailed
 from starloom.sources.session import scratch_folder, shared_folder
 
@@ -29,7 +30,7 @@ def stage(df: DataFrame, path: str) -> DataFrame:
     and later scans are columnar with known sizes. The path belongs to one run, so a
     rerun replaces what a failed attempt left.
     """
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -49,20 +50,24 @@ def new_rows(new: DataFrame, existing: DataFrame, key: str, folder: str | None =
     their number differs, because a row was changed since, are the first n - m of them taken in
     the order of all columns. NULL is a key like any other.
 
-    Rows of keys that are absent or not repeated are never compared. ``new`` is read more than
-    once, so pass a staged frame; ``folder`` (by default one below the shared folder, which
-    stays) holds what is worked out about short keys.
+    The keys of both sides are counted in one shuffle; whole rows move only where keys are lacking,
+    and if those are few, only their rows. Rows of keys that are absent or not repeated are never
+    compared. ``new`` is read more than once, so pass a staged frame; ``folder`` (by default one
+    below the shared folder, which stays) holds what is worked out about short keys.
     """
     folder = folder or f"{shared_folder(new.sparkSession)}/starloom/append-{uuid.uuid4().hex}"
-    fresh = _matched(new, existing.select(key).distinct(), [key], "left_anti")
     count = F.count(F.lit(1))
-    repeated = new.groupBy(key).agg(count.alias("_n")).where("_n > 1")
-    if repeated.isEmpty():
-        return fresh
-    have = existing.groupBy(key).agg(count.alias("_m"))
-    short = _matched(repeated, have, [key]).where("_n > _m").select(key, (F.col("_n") - F.col("_m")).alias("_need"))
+    sides = [df.select(F.col(key), F.lit(n).cast("bigint").alias("_n"), F.lit(1 - n).cast("bigint").alias("_m")) for n, df in ((1, new), (0, existing))]
+    keys = sides[0].unionAll(sides[1]).groupBy(key).agg(F.sum("_n").alias("_n"), F.sum("_m").alias("_m"))
+    lacking = keys.where("_n > _m").select(key, (F.col("_n") - F.col("_m")).alias("_need"), "_m")
     # Staged, here and below, so that the joins have a plain shuffle on both sides, which AQE can split at a hot key.
-    short = stage(short, f"{folder}/short")
+    lacking = stage(lacking, f"{folder}/lacking")
+    absent, short = lacking.where("_m = 0").select(key), lacking.where("_m > 0").select(key, "_need")
+    if absent.isEmpty():
+        fresh = new.limit(0)
+    else:  # the target is asked again by the append itself, for keys that have come since
+        fresh = _matched(new, F.broadcast(absent), [key], "left_semi") if is_small(absent) else new
+        fresh = _matched(fresh, existing.select(key).distinct(), [key], "left_anti")
     if short.isEmpty():
         return fresh
     columns = new.columns

@@ -178,3 +178,13 @@ def test_dropped_rows(sources, spark):
     assert dropped_rows(s["payment"], s["rental"], "rental_id").first()["dropped"] == 2
     assert dropped_rows(s["city"], s["city"], "city_id").first()["dropped"] == 0
     assert dropped_rows(s["city"].limit(0), s["city"], "city_id").first()["dropped"] == 0
+
+
+@pytest.mark.parametrize("buckets", [1, 64])
+def test_hot_keys_count_keys_of_large_buckets_only(spark, monkeypatch, buckets):
+    monkeypatch.setattr("starloom.operators.joins.BUCKETS_A_REDUCER", buckets)
+    df = spark.range(40_000).select(F.expr("IF(id % 4 = 0, -3, IF(id % 4 = 1, -1, id))").alias("k"))
+    hot = hot_keys(df, "k")
+    assert hot.rows == {-3: 10_000, -1: 10_000} and hot.reducer == 5_000
+    small = spark.createDataFrame([(None,), (7,), (7,), (7,), (8,)], "k int")
+    assert hot_keys(small, "k").rows == {7: 3}

@@ -300,3 +300,22 @@ def test_a_scratch_folder_goes_also_after_an_error(spark):
         assert Path(folder.removeprefix("file:")).exists()
         raise ZeroDivisionError
     assert not Path(folder.removeprefix("file:")).exists()
+
+
+def test_two_loads_leave_the_sales_where_they_were_loaded(spark, monkeypatch):
+    def copied(df, path):
+        raise AssertionError("the result is copied")
+
+    monkeypatch.setattr("starloom.plans.queries.stage", copied)
+    before = folders(spark)
+    result = QUERIES["load_star_twice"](spark, "/root/testdata/sf0.001")
+    (left,) = folders(spark) - before
+    base = Path(f"{shared_folder(spark).removeprefix('file:')}/starloom/{left}")
+    assert {p.name for p in base.glob("*")} == {"fact_sales"} and result.count()
+
+
+@pytest.mark.parametrize(("choice", "ending"), [({}, ".csv.gz"), ({"compression": None}, ".csv")])
+def test_extracts_of_a_load_are_compressed_unless_told(spark, sources, tmp_path, choice, ending):
+    load_star(spark, sources, "1", f"{tmp_path}/work", f"{tmp_path}/extracts", lambda n, d: None, only=["dim_staff"], **choice)
+    parts = [p.name for p in (tmp_path / "extracts/dim_staff/1.csv").glob("part-*")]
+    assert parts and all(p.endswith(ending) for p in parts)

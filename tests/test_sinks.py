@@ -1,5 +1,6 @@
 from datetime import datetime as dt
 from decimal import Decimal as D
+from pathlib import Path
 
 import pytest
 
@@ -187,3 +188,23 @@ def test_types_survive_staging(spark, tmp_path, rows):
     staged = stage(df, f"{tmp_path}/types")
     assert [f.dataType for f in staged.schema] == [f.dataType for f in df.schema]
     assert str(rows(staged)) == str(rows(df))
+
+
+def test_new_rows_move_keys_only_where_few_are_lacking(spark, rows, tmp_path):
+    old = stage(spark.range(2_000).selectExpr("IF(id < 3, NULL, id) AS k", "uuid() AS v"), f"{tmp_path}/old")
+    more = spark.createDataFrame([(None, "x"), (5, "y"), (9_000, "z"), (9_000, "z")], "k bigint, v string")
+    new = stage(old.unionAll(more), f"{tmp_path}/new")
+    same = new_rows(old, old, "k", f"{tmp_path}/none")
+    assert rows(same) == []
+    fresh = new_rows(new, old.where("k IS NULL OR k != 7"), "k", f"{tmp_path}/some")
+    assert rows(fresh) == sorted([(7, old.where("k = 7").first()["v"]), *((r["k"], r["v"]) for r in more.collect())], key=repr)
+    assert "Exchange hashpartitioning" not in same._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_compressed_extract_reads_back(spark, rows, tmp_path):
+    df = spark.createDataFrame([(1, "a\nb"), (2, None), (3, 'c"d')], "k int, v string")
+    for lossless in (False, True):
+        path = f"{tmp_path}/{lossless}.csv"
+        write_csv_extract(df, path, lossless, compression="gzip")
+        assert list(Path(path).glob("*.csv.gz")) and not list(Path(path).glob("*.csv"))
+        assert rows(read_csv_extract(spark, path, df.schema, lossless)) == rows(df)
