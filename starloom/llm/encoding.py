@@ -19,6 +19,7 @@ Tests hold all of them against encoding the text as a whole.
 from __future__ import annotations
 
 import re
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ PIECES = re.compile(f" ?[^{BLANK}]+|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]+")
 UNSAFE = f"[{BLANK_RE2}][{BLANK_RE2}]|^[{BLANK_RE2}]|[{BLANK_RE2}]$"
 ODD_CUT = re.compile(r"(?<=[A-Za-z0-9])(?= [A-Za-z0-9])")
 #: Words that begin with their only blank, and marks between a word and a space.
-SPACED = re.compile(f" [^{BLANK}\x1c-\x1f\u180e\u200b\ufeff]+")
+SPACED = f"^ [^{BLANK_RE2}{ODD_RE2}]+$"
 MARKS, MARKS_APART = r"(\pL)([,.;:!?%&*$]+) ", r"\1 \2 "
 #: Words a worker remembers; beyond that, and at a task's end, the most used of them stay. That changes speed only.
 REMEMBERED, KEPT = 600_000, 300_000
@@ -82,21 +83,23 @@ class Encoder:
         to = np.concatenate([[0], np.cumsum(sizes)])
         return self.pool[np.arange(to[-1]) + np.repeat(self.ends[at] - to[:-1], sizes)], to
 
-    def _joins(self, word: str) -> bool:
-        """Whether a word may be encoded as part of a long text and told apart by its tokens."""
+    def _joins(self, words: list[str]) -> list[bool]:
+        """Whether each word may be encoded as part of a long text and told apart by its tokens."""
         if self.spaces == "dropped":
-            return word.isalpha() and word.lower().isalpha()
-        return self.spaces == "leading" and SPACED.fullmatch(word) is not None
+            return [w.isalpha() and w.lower().isalpha() for w in words]
+        if self.spaces == "leading":
+            return pc.match_substring_regex(pa.array(words, pa.large_string()), SPACED).to_pylist()
+        return [False] * len(words)
 
     def _encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of ``texts`` joined, and how many each has."""
         found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         sizes = np.fromiter(map(len, found), np.int64, len(found))
-        return np.fromiter((i for f in found for i in f), np.uint32, int(sizes.sum())), sizes
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes
 
-    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _words(self, words: list[str], together: bool) -> tuple[np.ndarray, np.ndarray]:
         """As ``_encoded``; if each word has one word end, or beginning, as a few long texts."""
-        if self._joins(words[0]):
+        if together:
             between = " " if self.spaces == "dropped" else ""
             ids, _ = self._encoded([between.join(words[i : i + 500]) for i in range(0, len(words), 500)])
             if self.spaces == "dropped":
@@ -109,13 +112,15 @@ class Encoder:
 
     def _indices(self, words: list[str]) -> np.ndarray:
         """Places of ``words`` in the memory; unknown ones are encoded first."""
-        new = list(dict.fromkeys(w for w in words if w not in self.known))
-        if new:
+        at = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+        unknown = np.flatnonzero(at < 0).tolist()
+        if unknown:
             n, filled = len(self.known), int(self.ends[len(self.known)])
-            joins = [self._joins(w) for w in new]
+            new = list(dict.fromkeys(map(words.__getitem__, unknown)))
+            joins = self._joins(new)
             alone, together = [w for w, j in zip(new, joins, strict=True) if not j], [w for w, j in zip(new, joins, strict=True) if j]
             new = alone + together
-            parts = [self._words(group[i : i + AT_ONCE]) for group in (alone, together) for i in range(0, len(group), AT_ONCE)]
+            parts = [self._words(group[i : i + AT_ONCE], group is together) for group in (alone, together) for i in range(0, len(group), AT_ONCE)]
             ids, sizes = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
             while n + len(new) + 1 > len(self.ends):
                 self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
@@ -124,7 +129,8 @@ class Encoder:
             self.ends[n + 1 : n + 1 + len(new)] = filled + np.cumsum(sizes)
             self.pool[filled : filled + len(ids)] = ids
             self.known.update(zip(new, range(n, n + len(new)), strict=True))
-        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+            at[unknown] = [self.known[words[i]] for i in unknown]
+        return at
 
     def _joined(self, at: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of runs of remembered words, run i being ``at[bounds[i]:bounds[i + 1]]``."""
@@ -160,8 +166,10 @@ class Encoder:
         flat, offsets = words.flatten(), words.offsets.to_numpy().astype(np.int64)
         offsets -= offsets[0]
         coded = flat.dictionary_encode()
-        inner = [w if w[:1] == "\n" else " " + w for w in _strings(coded.dictionary)]
-        at = self._indices(inner)[coded.indices.to_numpy()]
+        inner = coded.dictionary
+        blank, nothing = pa.scalar(" ", inner.type), pa.scalar("", inner.type)
+        inner = pc.if_else(pc.starts_with(inner, "\n"), inner, pc.binary_join_element_wise(blank, inner, nothing))
+        at = self._indices(_strings(inner))[coded.indices.to_numpy()]
         at[offsets[:-1]] = self._indices(_strings(flat.take(pa.array(offsets[:-1]))))
         runs: list[np.ndarray | None] = [None] * len(texts)
         for i, (a, b) in zip(np.flatnonzero(~unsafe & ~empty), zip(offsets[:-1], offsets[1:], strict=True), strict=True):

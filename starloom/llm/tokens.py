@@ -44,10 +44,12 @@ def _system(folder: str) -> tuple[fs.FileSystem, str]:
 
 def shuffled(ids: np.ndarray, planes: str) -> list[bytes]:
     """The planes of one block, least significant first: 4 byte planes or 32 bit planes."""
-    cells = np.ascontiguousarray(ids, "<u4").view(np.uint8).reshape(-1, 4).T
+    cells = np.ascontiguousarray(np.ascontiguousarray(ids, "<u4").view(np.uint8).reshape(-1, 4).T)
     if planes == "byte":
-        return [np.ascontiguousarray(c).tobytes() for c in cells]
-    return [np.packbits((c >> b) & 1, bitorder="little").tobytes() for c in cells for b in range(8)]
+        return [c.tobytes() for c in cells]
+    zero = bytes((len(ids) + 7) // 8)
+    used = np.bitwise_or.reduce(cells, axis=1).tolist()
+    return [np.packbits(c & (1 << b), bitorder="little").tobytes() if u >> b & 1 else zero for c, u in zip(cells, used, strict=True) for b in range(8)]
 
 
 def unshuffled(planes: list[bytes], n: int) -> np.ndarray:
@@ -81,7 +83,7 @@ class ShardWriter:
     def _flush(self, n: int) -> None:
         ids = np.concatenate(self.waiting)
         block, rest = ids[:n], ids[n:]
-        parts = [self.zip.compress(p) if any(p) else b"" for p in shuffled(block, self.planes)]
+        parts = [self.zip.compress(p) if p.strip(b"\0") else b"" for p in shuffled(block, self.planes)]
         self.sink.write(b"".join(parts))
         self.chunks.append([len(block), *map(len, parts)])
         self.waiting, self.n_waiting = [rest], len(rest)

@@ -47,6 +47,34 @@ def test_words_remembered_across_calls_keep_their_ids(path, spaces, monkeypatch)
         assert list(own.known.values()) == list(range(len(own.known))) and len(own.uses) <= len(own.known)
 
 
+@pytest.mark.parametrize(("path", "spaces"), [(WORD, "dropped"), (BYTE, "leading")])
+def test_a_distinct_word_is_looked_up_once_a_call(path, spaces):
+    class Counted(dict):
+        looked = 0
+
+        def get(self, *a):
+            Counted.looked += 1
+            return super().get(*a)
+
+        def __contains__(self, word):
+            Counted.looked += 1
+            return super().__contains__(word)
+
+        def __getitem__(self, word):
+            Counted.looked += 1
+            return super().__getitem__(word)
+
+    own, texts = Encoder(path, spaces), ["w%d of the\n%d words" % (i % 50, i % 7) for i in range(500)]
+    first = own.encode(pa.array(texts))
+    own.known = Counted(own.known)
+    for kind in (pa.string(), pa.large_string()):
+        Counted.looked = 0
+        again = own.encode(pa.array(texts, kind))
+        assert all((a == b).all() for a, b in zip(first, again, strict=True))
+        firsts = len(texts) if spaces == "leading" else 0
+        assert 0 < Counted.looked <= 50 + 2 + 2 * 7 + 1 + firsts
+
+
 def test_most_used_words_stay():
     own = Encoder(WORD, "dropped")
     own.encode(pa.array(["a b c c c d d", "c e"]))
