@@ -1,11 +1,13 @@
-"""What the operators share: staging in the shared folder, row keys and connected components."""
+"""What the operators share: staging in the shared folder, row keys, connected components, memory given back."""
 
 from __future__ import annotations
 
+import ctypes
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from contextvars import ContextVar
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -79,6 +81,30 @@ def with_files(docs: DataFrame, *columns: str) -> DataFrame:
     return rows
 
 
+def give_back() -> None:
+    """Return memory that is free, but kept by Arrow and the C library, to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc only
+    if trim is not None:
+        trim(0)
+
+
+def sparing(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run``, a function for mapInArrow, that gives memory back at its end.
+
+    A worker outlives its task and counts towards its executor's memory, also while another
+    stage runs whose own memory is elsewhere.
+    """
+
+    def spared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return spared
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component) of every node of ``links`` (a, b); component is the smallest node reachable.
 

@@ -10,7 +10,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.llm.common import row_key, staged, with_files
+from starloom.llm.common import row_key, sparing, staged, with_files
+from starloom.llm.encoding import byte_slices
+
+#: Bytes of text that are cut together.
+CUT_BYTES = 1 << 20
 
 
 def _windows(docs: DataFrame, width: int) -> DataFrame:
@@ -66,9 +70,9 @@ def line_dedup(docs: DataFrame, width: int = 3, carry: Sequence[str] = ("doc_id"
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for part in (b.slice(i, j - i) for b in batches for i, j in byte_slices(b.column("__text"), CUT_BYTES)):
             counts, removed, kept = [], [], []
-            for text, starts in zip(batch.column("__text"), batch.column("__starts"), strict=True):
+            for text, starts in zip(part.column("__text"), part.column("__starts"), strict=True):
                 lines = text.as_py().split("\n") if text.is_valid else []
                 gone = np.zeros(len(lines), bool)
                 if starts.is_valid:
@@ -81,7 +85,7 @@ def line_dedup(docs: DataFrame, width: int = 3, carry: Sequence[str] = ("doc_id"
                     kept.append(text.as_py())
                 else:
                     kept.append("\n".join(line for line, g in zip(lines, gone.tolist(), strict=True) if not g))
-            columns = [*(batch.column(c) for c in carry), pa.array(counts, pa.int64()), pa.array(removed, pa.list_(pa.int32())), pa.array(kept, pa.string())]
+            columns = [*(part.column(c) for c in carry), pa.array(counts, pa.int64()), pa.array(removed, pa.list_(pa.int32())), pa.array(kept, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, [*carry, "n_lines", "removed", "kept"])
 
-    return joined.mapInArrow(run, schema)
+    return joined.mapInArrow(sparing(run), schema)

@@ -22,9 +22,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.llm.common import sparing
 from starloom.llm.encoding import byte_slices, encoder, release
 
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
+#: Bytes of text encoded together.
+GROUP_BYTES = 4 << 20
 
 
 class SumOfSquares:
@@ -127,7 +130,7 @@ def packed(docs: DataFrame, vocabulary: str, spaces: str | None, end_id: int, si
             return batch
 
         for batch in batches:
-            for i, j in byte_slices(batch.column("text")):
+            for i, j in byte_slices(batch.column("text"), GROUP_BYTES):
                 ids, bounds = encoder(vocabulary, spaces).encode(batch.column("text")[i:j])
                 for k, doc_id in enumerate(batch.column("doc_id")[i:j].to_pylist()):
                     own = np.append(ids[bounds[k] : bounds[k + 1]], np.uint32(end_id)).astype("<u4")
@@ -137,4 +140,4 @@ def packed(docs: DataFrame, vocabulary: str, spaces: str | None, end_id: int, si
         release(vocabulary, spaces)
         yield out()
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, PIECES)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(sparing(run), PIECES)

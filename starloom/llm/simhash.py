@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.llm.common import components, row_key, staged, with_files
+from starloom.llm.common import components, row_key, sparing, staged, with_files
 
 SEED = 42
 #: Constants of the public XXH64 definition.
@@ -42,8 +42,8 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[32, *range(9, 14)]] = True
-#: Bytes of text handled together, and the shingle length from which the library hashes one by one.
-GROUP_BYTES, LONG_SHINGLE = 4 << 20, 1024
+#: Bytes of text handled together, in some 35 times their memory, and the shingle length from which the library hashes one by one.
+GROUP_BYTES, LONG_SHINGLE = 1 << 20, 1024
 
 
 def _rotl(x: np.ndarray, r: int) -> np.ndarray:
@@ -160,7 +160,7 @@ def fingerprinted(docs: DataFrame, words: int = 4, carry: Sequence[str] = ("doc_
                 found = fingerprints(data, bounds, words).view(np.int64)
                 yield pa.RecordBatch.from_arrays([*(batch.column(c)[i:j] for c in carry), pa.array(found)], [*carry, "fp"])
 
-    return docs.select(*carry, F.col("text").cast("string")).mapInArrow(run, schema)
+    return docs.select(*carry, F.col("text").cast("string")).mapInArrow(sparing(run), schema)
 
 
 def _mask(low: int, width: int) -> Column:

@@ -29,14 +29,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.llm.common import ROW_KEY, row_key, staged, with_files
+from starloom.llm.common import ROW_KEY, row_key, sparing, staged, with_files
+from starloom.llm.encoding import byte_slices
 from starloom.llm.simhash import text_groups, xxh64
 
 ANCHOR = 48
 #: Contexts of one anchor that one index takes; beyond, the group is halved (step 4).
 INDEXED = 256
-#: Bytes that one index takes, and bytes of text that are searched for anchors together (what a core's cache holds).
-INDEX_BYTES, GROUP_BYTES = 1 << 20, 1 << 19
+#: Bytes that one index takes, in some 170 times their memory, bytes of text that are searched for anchors together
+#: (what a core's cache holds), and bytes of text that are cut together.
+INDEX_BYTES, GROUP_BYTES, CUT_BYTES = 1 << 18, 1 << 19, 1 << 20
 
 
 @lru_cache(maxsize=1)
@@ -109,8 +111,8 @@ def _anchored(docs: DataFrame, length: int, k: int, contexts: bool = True) -> Da
                     yield pa.RecordBatch.from_arrays([arrays[n] for n in kinds], list(kinds))
 
     if not contexts:
-        return docs.select("key", "text").mapInArrow(run, "h long")
-    return docs.select("key", "text").mapInArrow(run, f"h long, c long, key {ROW_KEY}, pos int, left int, size int")
+        return docs.select("key", "text").mapInArrow(sparing(run), "h long")
+    return docs.select("key", "text").mapInArrow(sparing(run), f"h long, c long, key {ROW_KEY}, pos int, left int, size int")
 
 
 def suffix_order(key: np.ndarray, known: int = 1, room: np.ndarray | None = None, piece: np.ndarray | None = None) -> np.ndarray:
@@ -252,7 +254,7 @@ def _indexed(contexts: DataFrame, length: int, k: int) -> DataFrame:
             yield marks(rows)
 
     grouped = contexts.select("h", "c", "n", "left", "body").repartition("h").sortWithinPartitions("h")
-    return grouped.mapInArrow(run, f"h long, c long, spans {SPANS}")
+    return grouped.mapInArrow(sparing(run), f"h long, c long, spans {SPANS}")
 
 
 def _halved(contexts: DataFrame, length: int, k: int) -> DataFrame | None:
@@ -389,17 +391,17 @@ def suffix_dedup(
     span_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for part in (b.slice(i, j - i) for b in batches for i, j in byte_slices(b.column("__text"), CUT_BYTES)):
             sizes, removed, kept = [], [], []
-            for text, spans in zip(batch.column("__text"), batch.column("__spans").to_pylist(), strict=True):
+            for text, spans in zip(part.column("__text"), part.column("__spans").to_pylist(), strict=True):
                 data = text.as_buffer().to_pybytes()
                 runs = merged(spans, data, characters)
                 edges = [0, *(x for r in runs for x in r), len(data)]
                 sizes.append(len(data))
                 removed.append([{"start": s, "end": e} for s, e in runs])
                 kept.append(b"".join(data[s:e] for s, e in zip(edges[::2], edges[1::2], strict=True)))
-            columns = [batch.column(c) for c in carry]
+            columns = [part.column(c) for c in carry]
             columns += [pa.array(sizes, pa.int64()), pa.array(removed, span_type), pa.array(kept, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, [*carry, "n_bytes", "removed", "kept"])
 
-    return joined.mapInArrow(run, schema)
+    return joined.mapInArrow(sparing(run), schema)

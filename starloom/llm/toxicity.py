@@ -25,7 +25,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import staged
+from starloom.llm.common import sparing, staged
 from starloom.llm.encoding import byte_slices
 
 #: Insults that count in any corpus, before anything is learned.
@@ -46,6 +46,8 @@ FEATURES = (
 FEATURE_COLUMN, VECTOR, LABEL, RAW = "__features", "__vector", "__label", "__raw"
 INNER = re.compile(r"[^\w]|_")
 MEMO = 200_000
+#: Bytes of text handled together, and terms that are counted before the counts are passed on.
+GROUP_BYTES, COUNTED = 1 << 20, 200_000
 
 
 def core(word: str) -> str:
@@ -133,13 +135,13 @@ def with_features(texts: DataFrame, lexicon: Lexicon, keep_text: bool = False) -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features(lexicon)
         for batch in batches:
-            for i, j in byte_slices(batch.column("text"), 4 << 20):
+            for i, j in byte_slices(batch.column("text"), GROUP_BYTES):
                 found = [features.of(t or "") for t in batch.column("text")[i:j].to_pylist()]
                 columns = [*(batch.column(f.name)[i:j] for f in kept), pa.array(found, pa.list_(pa.float64()))]
                 yield pa.RecordBatch.from_arrays(columns, [*(f.name for f in kept), FEATURE_COLUMN])
 
     schema = texts.select(*(f.name for f in kept), F.array(F.lit(0.0)).alias(FEATURE_COLUMN)).schema
-    return texts.mapInArrow(run, schema)
+    return texts.mapInArrow(sparing(run), schema)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -152,20 +154,27 @@ def learned_lexicon(sample: DataFrame, most: int = 1000, times_likelier: float =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[int, Counter] = {0: Counter(), 1: Counter()}
-        for batch in batches:
-            for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
+
+        def counted() -> Iterator[pa.RecordBatch]:
+            for toxic, found in counts.items():
+                terms, times = list(found), list(found.values())
+                found.clear()
+                for i in range(0, len(terms), 50_000):
+                    part = terms[i : i + 50_000], [toxic] * len(terms[i : i + 50_000]), times[i : i + 50_000]
+                    yield pa.RecordBatch.from_arrays([pa.array(part[0]), pa.array(part[1], pa.int32()), pa.array(part[2], pa.int64())], ["term", "toxic", "times"])
+
+        for part in (b.slice(i, j - i) for b in batches for i, j in byte_slices(b.column("text"), GROUP_BYTES)):
+            for text, toxic in zip(part.column("text").to_pylist(), part.column("toxic").to_pylist(), strict=True):
                 words = {INNER.sub("", core(w).translate(LOOKALIKES)) for w in (text or "").lower().split()}
                 counts[toxic].update({w + "$" for w in words} | {w[:n] for w in words for n in PREFIXES if len(w) >= n})
                 counts[toxic][""] += 1  # the text itself
-        for toxic, found in counts.items():
-            terms, times = list(found), list(found.values())
-            for i in range(0, len(terms), 50_000):
-                part = terms[i : i + 50_000], [toxic] * len(terms[i : i + 50_000]), times[i : i + 50_000]
-                yield pa.RecordBatch.from_arrays([pa.array(part[0]), pa.array(part[1], pa.int32()), pa.array(part[2], pa.int64())], ["term", "toxic", "times"])
+            if sum(map(len, counts.values())) >= COUNTED:
+                yield from counted()
+        yield from counted()
 
-    counted = sample.select("text", F.col("toxic").cast("int")).mapInArrow(run, "term string, toxic int, times long")
+    parts = sample.select("text", F.col("toxic").cast("int")).mapInArrow(sparing(run), "term string, toxic int, times long")
     sums = staged(
-        counted.groupBy("term").agg(
+        parts.groupBy("term").agg(
             F.sum(F.when(F.col("toxic") == 1, F.col("times")).otherwise(0)).alias("bad"), F.sum(F.when(F.col("toxic") == 0, F.col("times")).otherwise(0)).alias("good")
         ),
         "terms",

@@ -1,0 +1,67 @@
+import tracemalloc
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from starloom.llm import common, lines, simhash, suffix, toxicity
+from tests.llm.edge_rows import sentence, stored
+
+
+def peak_mb(work):
+    tracemalloc.start()
+    try:
+        work()
+        return tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_groups_of_a_worker_take_little_memory():
+    texts = pa.array([sentence(i, 400) for i in range(1_500)])
+    assert texts.nbytes > 2 << 20
+
+    def prints():
+        for _, _, data, bounds in simhash.text_groups(texts):
+            simhash.fingerprints(data, bounds, 4)
+
+    pieces = [sentence(i // 2, 60).encode()[:352] for i in range(2 * (suffix.INDEX_BYTES // 704))]
+    assert peak_mb(prints) < 60
+    assert peak_mb(lambda: suffix.repeated_spans(pieces, np.arange(len(pieces)) // 2 * 400, 200)) < 80
+
+
+@pytest.mark.parametrize("module, work, name", [(lines, lines.line_dedup, "__starts"), (suffix, suffix.suffix_dedup, "__spans")])
+def test_large_batches_are_cut_part_by_part(spark, tmp_path, monkeypatch, module, work, name):
+    runs = []
+    monkeypatch.setattr(module, "sparing", lambda run: runs.append(run) or run)
+    texts = [f"{i}\nsame\nsame\nsame\n" + "x" * 9_000 for i in range(300)] + [None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r for r in work(stored(docs, tmp_path / "d")).collect()}
+    assert len(found) == 302
+    hits = pa.array([[1]] * 300 + [None] * 2, pa.list_(pa.int32())) if name == "__starts" else pa.array([[{"s": 2, "e": 250}]] * 300 + [None] * 2)
+    whole = pa.RecordBatch.from_arrays([pa.array(range(302)), pa.array([t or "" for t in texts]), hits], ["doc_id", "__text", name])
+    parts = list(runs[-1](iter([whole])))
+    assert len(parts) > 2 and max(p.nbytes for p in parts) < 2 << 20
+    assert [i for p in parts for i in p.column("doc_id").to_pylist()] == list(range(302))
+    alone = [x for i in range(302) for x in next(runs[-1](iter([whole.slice(i, 1)]))).to_pylist()]
+    assert [x for p in parts for x in p.to_pylist()] == alone
+
+
+def test_counts_of_terms_are_passed_on_in_parts(spark, monkeypatch):
+    rows = [(sentence(i % 60, 40) + (" zonk" if i % 4 == 0 else ""), int(i % 4 == 0)) for i in range(400)]
+    sample = spark.createDataFrame(rows, "text string, toxic int").coalesce(1)
+    whole = toxicity.learned_lexicon(sample)
+    monkeypatch.setattr(toxicity, "GROUP_BYTES", 2_000)
+    monkeypatch.setattr(toxicity, "COUNTED", 50)
+    assert toxicity.learned_lexicon(sample) == whole and "zonk" in whole.words
+
+
+def test_workers_give_memory_back(monkeypatch):
+    back = []
+    monkeypatch.setattr(common, "give_back", lambda: back.append(1))
+    assert list(common.sparing(lambda batches: (b + 1 for b in batches))(iter([1, 2]))) == [2, 3] and back == [1]
+    with pytest.raises(ZeroDivisionError):
+        list(common.sparing(lambda batches: (1 // b for b in batches))(iter([0])))
+    assert back == [1, 1]
+    monkeypatch.undo()
+    common.give_back()
