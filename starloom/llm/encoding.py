@@ -11,7 +11,8 @@ cut. ``spaces`` names the rule that holds for a vocabulary:
   between ASCII letters or digits;
 * ``None``: no cut.
 
-A worker remembers words from one task to the next. Where there are too many, the most used stay.
+A worker remembers words from one task to the next. Where there are too many, the most used stay;
+other work ends that where it needs the memory.
 
 Tests hold all of them against encoding the text as a whole.
 """
@@ -196,6 +197,11 @@ def release(path: str, spaces: str | None) -> None:
     encoder(path, spaces).keep(KEPT)
 
 
+def forget() -> None:
+    """Forget all words, in a worker that turns to other work."""
+    _ENCODERS.clear()
+
+
 def byte_slices(texts: pa.Array, most: int = 8 << 20) -> list[tuple[int, int]]:
     """Row ranges of at most ``most`` bytes of text, one row at least."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))

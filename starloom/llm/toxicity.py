@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.common import sparing, staged
-from starloom.llm.encoding import byte_slices
+from starloom.llm.encoding import byte_slices, forget
 
 #: Insults that count in any corpus, before anything is learned.
 INSULTS = frozenset(
@@ -133,6 +133,7 @@ def with_features(texts: DataFrame, lexicon: Lexicon, keep_text: bool = False) -
     kept = [f for f in texts.schema if keep_text or f.name != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         features = Features(lexicon)
         for batch in batches:
             for i, j in byte_slices(batch.column("text"), GROUP_BYTES):
@@ -153,6 +154,7 @@ def learned_lexicon(sample: DataFrame, most: int = 1000, times_likelier: float =
     """Words and prefixes of ``sample`` (text, toxic) that are ``times_likelier`` in toxic texts; at most ``most`` of each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         counts: dict[int, Counter] = {0: Counter(), 1: Counter()}
 
         def counted() -> Iterator[pa.RecordBatch]:

@@ -1,10 +1,11 @@
 import tracemalloc
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import pytest
 
-from starloom.llm import common, lines, simhash, suffix, toxicity
+from starloom.llm import common, encoding, lines, simhash, suffix, toxicity
 from tests.llm.edge_rows import sentence, stored
 
 
@@ -56,6 +57,14 @@ def test_counts_of_terms_are_passed_on_in_parts(spark, monkeypatch):
     assert toxicity.learned_lexicon(sample) == whole and "zonk" in whole.words
 
 
+def test_words_are_forgotten_by_other_work(spark, monkeypatch):
+    runs = []
+    monkeypatch.setattr(toxicity, "sparing", lambda run: runs.append(run) or run)
+    toxicity.with_features(spark.createDataFrame([("a b",)], "text string"), toxicity.Lexicon({}, {}))
+    encoding.encoder(public_tokenizers.path("word_bpe_49k.json"), "dropped").encode(pa.array(["some words"]))
+    assert len(list(runs[0](iter([pa.RecordBatch.from_pydict({"text": ["a b"]})])))) == 1 and not encoding._ENCODERS
+
+
 def test_workers_give_memory_back(monkeypatch):
     back = []
     monkeypatch.setattr(common, "give_back", lambda: back.append(1))
